@@ -7,6 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, functions as F
 
 
+def settle(x: Column, digits: int = 9) -> Column:
+    """Round half away from zero on the scaled double, so that sums in another order agree."""
+    scale = float(10**digits)
+    return F.round(x * scale) / scale
+
+
 def clip(x: Column, low: float, high: float) -> Column:
     return F.least(F.greatest(x, F.lit(low)), F.lit(high))
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from paceline.keys import CAR, MARKET, RACE
+from paceline.functions.rows import inline_rows
+from paceline.functions.numeric import settle
+from paceline.keys import CAR, MARKET, RACE, in_race
 from paceline.operators.ordered import distribution, mean_value
 
 
@@ -24,7 +26,7 @@ def field_pairs(runners: DataFrame, cols: Sequence[str], ordered: bool = True) -
 
 def race_share(df: DataFrame, col: str, name: str) -> DataFrame:
     """``col`` divided by its race total; races with a total of zero or less are left out."""
-    w = Window.partitionBy(*RACE)
+    w = in_race()
     return (
         df.withColumn("_sum", F.sum(col).over(w)).withColumn("_n", F.count(F.lit(1)).over(w))
         .where((F.col("_sum") > 0) & (F.col("_n") >= 2))
@@ -40,19 +42,16 @@ def harville_pairs(probs: DataFrame, col: str = "p_win") -> DataFrame:
     ij = F.when(1 - qi > 0, qi * qj / (1 - qi))
     ji = F.when(1 - qj > 0, qj * qi / (1 - qj))
     zero = F.lit(0.0)
-    tickets = F.array(
-        F.struct(F.lit("ST2").alias("bet_type"), F.concat_ws("-", "i", "j").alias("kumi_ban"), ij.alias("p_combo")),
-        F.struct(F.lit("ST2"), F.concat_ws("-", "j", "i"), ji),
-        F.struct(F.lit("SH2"), F.concat_ws("=", "i", "j"), F.coalesce(ij, zero) + F.coalesce(ji, zero)),
+    rows = inline_rows(
+        ["bet_type", "kumi_ban", "p_combo"],
+        ["ST2", F.concat_ws("-", "i", "j"), ij],
+        ["ST2", F.concat_ws("-", "j", "i"), ji],
+        ["SH2", F.concat_ws("=", "i", "j"), F.coalesce(ij, zero) + F.coalesce(ji, zero)],
     )
-    return pairs.select(*RACE, F.inline(tickets)).where(F.col("p_combo").isNotNull())
+    return pairs.select(*RACE, rows).where(F.col("p_combo").isNotNull())
 
 
 def combo_mass_check(combos: DataFrame) -> DataFrame:
     """Median and mean over races of the total probability per bet type."""
-    mass = combos.groupBy(*MARKET).agg(F.round(F.sum("p_combo"), 9).alias("mass"))
+    mass = combos.groupBy(*MARKET).agg(settle(F.sum("p_combo"), 6).alias("mass"))
     return distribution(mass, ["bet_type"], F.col("mass"), {"median_mass": 0.5}, [mean_value().alias("mean_mass")])
-
-
-def rounded(c: Column, digits: int = 6) -> Column:
-    return F.round(c, digits)

@@ -6,12 +6,40 @@ capture attempts = raw line items. Each function has a twin of the same name in
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from paceline.functions.regions import PREFECTURES
+from paceline.functions.rows import inline_rows
+from paceline.functions.numeric import settle
 from paceline.keys import CAPTURE_OFFSETS, CAR, MAX_CARS, RACE, VENUE_DAY
 from paceline.operators.combos import harville_pairs
 from paceline.operators.dedup import newest_per_key
+from paceline.session import scratch_path
+
+
+_LANDED: dict[tuple[str, str, str], str] = {}
+
+
+def landed(fn):
+    """Land a domain table once per application and read it from there, as the daily load would.
+
+    The table is written to the shared folder in Parquet, so later reads prune columns and push
+    filters down, and the loss of an executor costs no recomputation.
+    """
+
+    @functools.wraps(fn)
+    def read(spark: SparkSession, sf: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf, fn.__name__)
+        if key not in _LANDED:
+            df = fn(spark, sf)
+            path = scratch_path(spark, fn.__name__)
+            df.write.parquet(path)
+            _LANDED[key] = path
+        return spark.read.parquet(_LANDED[key])
+
+    return read
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -64,6 +92,7 @@ def latest_lines(spark: SparkSession, sf: str) -> DataFrame:
     return newest_per_key(li, ["l_orderkey", "l_linenumber"], [F.col(c) for c in LINE_ORDER], LINE_ORDER)
 
 
+@landed
 def runners(spark: SparkSession, sf: str) -> DataFrame:
     """race_entries and race_stats in one: one row per (race, car)."""
     li = latest_lines(spark, sf).withColumnRenamed("l_orderkey", "race_no")
@@ -83,7 +112,7 @@ def runners(spark: SparkSession, sf: str) -> DataFrame:
         F.nullif(F.col("l_discount") * 100, F.lit(0.0)).alias("syouritu"),
         (F.col("l_tax") * 100).alias("rentairitu2"),
         F.col("l_quantity").alias("rentairitu3"),
-        F.round(F.col("l_extendedprice") / 1000, 2).alias("heikin_tokuten"),
+        (F.col("l_extendedprice") / 1000).alias("heikin_tokuten"),
         qty.alias("age"),
         (qty % 7).alias("nige_cnt"),
         (qty % 5).alias("makuri_cnt"),
@@ -105,6 +134,7 @@ def narabi(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@landed
 def results(spark: SparkSession, sf: str) -> DataFrame:
     """race_results: finish order by quantity; no discount = no finish; open races have no rows."""
     w = Window.partitionBy(*RACE).orderBy(F.desc("qty"), "car_no")
@@ -117,12 +147,13 @@ def results(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@landed
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
     """Scores per car, six digits, each adding up to about one in a race."""
     w = Window.partitionBy(*RACE)
 
     def part(x: Column) -> Column:
-        return F.round(x / F.sum(x).over(w), 6)
+        return settle(x / F.sum(x).over(w), 6)
 
     return runners(spark, sf).select(
         *CAR,
@@ -133,11 +164,12 @@ def predictions(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@landed
 def payouts(spark: SparkSession, sf: str) -> DataFrame:
     """Winning combinations per race and bet type; open 5-LOW races are not paid yet."""
     paid = races(spark, sf).where(
         (F.col("status") == "F") | ((F.col("status") == "O") & (F.col("priority") != "5-LOW"))
-    ).select(*RACE, (F.round(F.col("total") / 1000).cast("int") + 100).alias("base"))
+    ).select(*RACE, (F.floor(F.col("total") / 1000).cast("int") + 100).alias("base"))
     w = Window.partitionBy(*RACE).orderBy("tyaku")
     done = results(spark, sf).where(F.col("tyaku").isNotNull()).withColumn("r", F.row_number().over(w))
     podium = done.where(F.col("r") <= 3).groupBy(*RACE).agg(
@@ -148,23 +180,21 @@ def payouts(spark: SparkSession, sf: str) -> DataFrame:
     def pair(a: Column, b: Column) -> Column:
         return F.concat_ws("=", F.least(a, b), F.greatest(a, b))
 
-    tickets = F.array(
-        F.struct(F.lit("SH2").alias("bet_type"), pair(c1, c2).alias("kumi_ban"), base.alias("payout"), c2.alias("need")),
-        F.struct(F.lit("ST2"), F.concat_ws("-", c1, c2), base * 2, c2),
-        F.struct(F.lit("RH3"), F.array_join(F.array_sort(F.array(c1, c2, c3)).cast("array<string>"), "="), base * 3, c3),
-        F.struct(F.lit("RT3"), F.concat_ws("-", c1, c2, c3), base * 6, c3),
-        F.struct(F.lit("W"), pair(c1, c2), base, c3),
-        F.struct(F.lit("W"), pair(c1, c3), base + 10, c3),
-        F.struct(F.lit("W"), pair(c2, c3), base + 20, c3),
-    )
-    return (
-        podium.join(paid, RACE)
-        .select(*RACE, F.inline(tickets))
-        .where(F.col("need").isNotNull())
-        .drop("need")
+    trio = F.array_join(F.array_sort(F.array(c1, c2, c3)).cast("array<string>"), "=")
+    tickets = inline_rows(
+        ["bet_type", "kumi_ban", "payout", "need"],
+        ["SH2", pair(c1, c2), base, c2],
+        ["ST2", F.concat_ws("-", c1, c2), base * 2, c2],
+        ["RH3", trio, base * 3, c3],
+        ["RT3", F.concat_ws("-", c1, c2, c3), base * 6, c3],
+        ["W", pair(c1, c2), base, c3],
+        ["W", pair(c1, c3), base + 10, c3],
+        ["W", pair(c2, c3), base + 20, c3],
     )
+    return podium.join(paid, RACE).select(*RACE, tickets).where(F.col("need").isNotNull()).drop("need")
 
 
+@landed
 def snapshots(spark: SparkSession, sf: str) -> DataFrame:
     """race_odds_prerace: every line item quotes one combination at one time."""
     car, step = F.col("l_linenumber"), (F.col("l_partkey") % 6 + 1).cast("int")
@@ -183,7 +213,7 @@ def snapshots(spark: SparkSession, sf: str) -> DataFrame:
         .when(F.col("bet_type") == "RH3", F.array_join(F.array_sort(trio).cast("array<string>"), "="))
         .otherwise(F.concat_ws("=", F.least(car, "b"), F.greatest(car, "b")))
     )
-    odds = F.round(1 + F.col("l_extendedprice") / 10000, 1)
+    odds = 1 + F.floor(F.col("l_extendedprice") / 1000) / 10
     return base.select(
         *RACE,
         "bet_type",
@@ -207,22 +237,23 @@ def offset_of(qty: str) -> Column:
     return F.element_at(offsets, F.least(F.floor((F.col(qty) - 1) / 10), F.lit(4)).cast("int") + 1)
 
 
+@landed
 def market(spark: SparkSession, sf: str) -> DataFrame:
     """A complete price list per race from the win scores: ST2, SH2 and W (with a price range)."""
     pairs = harville_pairs(predictions(spark, sf).select(*CAR, "p_win"))
     st_sh = pairs.where(F.col("p_combo") > 0).select(
         *RACE, "bet_type", "kumi_ban", (0.75 / F.col("p_combo")).alias("odds")
     )
-    quotes = F.when(
-        F.col("bet_type") == "SH2",
-        F.array(
-            F.struct(F.lit("SH2").alias("bet_type"), F.col("odds").alias("odds"), F.lit(None).cast("double").alias("max_odds")),
-            F.struct(F.lit("W"), F.col("odds") * 0.4, F.col("odds") * 0.7),
-        ),
-    ).otherwise(F.array(F.struct(F.lit("ST2"), F.col("odds"), F.lit(None).cast("double"))))
-    return st_sh.withColumnRenamed("bet_type", "_bet").withColumn("bet_type", F.col("_bet")).withColumn(
-        "q", quotes
-    ).select(*RACE, "kumi_ban", F.inline("q"))
+    wide = F.col("bet_type") == "SH2"
+    quotes = inline_rows(
+        ["bet", "price", "max_odds"],
+        [F.col("bet_type"), F.col("odds"), F.lit(None).cast("double")],
+        [F.when(wide, "W"), F.col("odds") * 0.4, F.col("odds") * 0.7],
+    )
+    return (
+        st_sh.select(*RACE, "kumi_ban", quotes).where(F.col("bet").isNotNull())
+        .select(*RACE, F.col("bet").alias("bet_type"), "kumi_ban", F.col("price").alias("odds"), "max_odds")
+    )
 
 
 def market_by_offset(spark: SparkSession, sf: str) -> DataFrame:
@@ -238,6 +269,7 @@ def market_by_offset(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@landed
 def capture_log(spark: SparkSession, sf: str) -> DataFrame:
     """prerace_snapshot_log: one capture attempt per line item."""
     start = races(spark, sf).select(
@@ -280,7 +312,7 @@ def official_runs(spark: SparkSession, sf: str) -> DataFrame:
     """shadow_predictions: every raw line item is one prediction of one run."""
     return raw_lines(spark, sf).select(
         *RACE, F.col("l_linenumber").alias("car_no"),
-        F.round(F.col("l_extendedprice") / 110000, 6).alias("p_win"),
+        settle(F.col("l_extendedprice") / 110000, 6).alias("p_win"),
         F.col("l_shipdate").alias("predicted_at"),
         F.when(F.col("l_returnflag") == "A", "official").when(F.col("l_returnflag") == "N", "rerun")
         .otherwise("legacy_unverifiable").alias("run_type"),

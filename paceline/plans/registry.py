@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from paceline.functions.numeric import settle
 from paceline.plans.sqlkit import with_ctes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,7 +28,8 @@ def query(
             raise ValueError(f"query {name} is registered twice")
         QUERIES[name] = lambda spark, sf: tidy(fn(spark, sf))
         if sql is not None:
-            forms = [f"round(CAST({c} AS DOUBLE), 6) + 0.0 AS {c}" for c in dbl.split()]
+            forms = [f"CASE WHEN abs({c}) < 1000 THEN round(CAST({c} AS DOUBLE) * 1e9) / 1e9 + 0.0 "
+                     f"ELSE round(CAST({c} AS DOUBLE) * 1e4) / 1e4 + 0.0 END AS {c}" for c in dbl.split()]
             forms += [f"strftime({c}, '%Y-%m-%d') AS {c}" for c in dt.split()]
             forms += [f"strftime({c}, '%Y-%m-%d %H:%M:%S.%g') AS {c}" for c in ts.split()]
             body = sql.strip()
@@ -40,14 +42,13 @@ def query(
 
 
 def tidy(df: DataFrame) -> DataFrame:
-    """Result form: doubles at six digits, dates and timestamps as text."""
-    from pyspark.sql import functions as F
-
+    """Result form: doubles at nine digits (four from 1000 on), dates and timestamps as text."""
     out = []
     for name, kind in df.dtypes:
         c = F.col(name)
         if kind in ("double", "float"):
-            c = F.round(c.cast("double"), 6) + F.lit(0.0)
+            x = c.cast("double")
+            c = F.when(F.abs(x) < 1000, settle(x, 9) + F.lit(0.0)).otherwise(settle(x, 4) + F.lit(0.0))
         elif kind == "date":
             c = F.date_format(c, "yyyy-MM-dd")
         elif kind in ("timestamp_ntz", "timestamp"):

@@ -28,7 +28,7 @@ CTES: dict[str, str] = {
       CASE l_returnflag WHEN 'A' THEN '逃' WHEN 'N' THEN '追' ELSE '両' END AS kyaku,
       CASE l_linestatus WHEN 'O' THEN 'S1' ELSE 'A1' END AS kyuhan,
       nullif(l_discount * 100, 0) AS syouritu, l_tax * 100 AS rentairitu2, l_quantity AS rentairitu3,
-      round(l_extendedprice / 1000, 2) AS heikin_tokuten, CAST(l_quantity AS INT) AS age,
+      l_extendedprice / 1000 AS heikin_tokuten, CAST(l_quantity AS INT) AS age,
       CAST(l_quantity AS INT) % 7 AS nige_cnt, CAST(l_quantity AS INT) % 5 AS makuri_cnt,
       CAST(l_suppkey % 4 AS INT) AS sasi_cnt, l_extendedprice AS price, l_quantity AS qty, l_discount AS disc,
       l_tax AS tax, CAST(l_shipdate AS DATE) AS ship_date
@@ -38,15 +38,15 @@ CTES: dict[str, str] = {
     "results": """SELECT race_date, place_code, race_no, car_no, CASE WHEN disc <> 0 THEN CAST(row_number() OVER (
       PARTITION BY race_date, place_code, race_no ORDER BY qty DESC, car_no) AS INT) END AS tyaku
       FROM runners WHERE status <> 'P'""",
-    "predictions": """SELECT race_date, place_code, race_no, car_no, round(price / sum(price) OVER w, 6) AS p_win,
-      round(qty / sum(qty) OVER w, 6) AS p_top2, round(price * qty / sum(price * qty) OVER w, 6) AS p_top3, ship_date
+    "predictions": """SELECT race_date, place_code, race_no, car_no, round((price / sum(price) OVER w) * 1e6) / 1e6 AS p_win,
+      round((qty / sum(qty) OVER w) * 1e6) / 1e6 AS p_top2, round((price * qty / sum(price * qty) OVER w) * 1e6) / 1e6 AS p_top3, ship_date
       FROM runners WINDOW w AS (PARTITION BY race_date, place_code, race_no)""",
     "podium": """SELECT race_date, place_code, race_no, max(CASE WHEN r = 1 THEN car_no END) AS c1,
       max(CASE WHEN r = 2 THEN car_no END) AS c2, max(CASE WHEN r = 3 THEN car_no END) AS c3
       FROM (SELECT *, row_number() OVER (PARTITION BY race_date, place_code, race_no ORDER BY tyaku) AS r
         FROM results WHERE tyaku IS NOT NULL) WHERE r <= 3 GROUP BY 1, 2, 3""",
     "payouts": """SELECT race_date, place_code, race_no, bet_type, kumi_ban, payout FROM (
-      SELECT p.*, CAST(round(total / 1000) AS INT) + 100 AS base, list_sort([c1, c2, c3]) AS s
+      SELECT p.*, CAST(floor(total / 1000) AS INT) + 100 AS base, list_sort([c1, c2, c3]) AS s
       FROM podium p JOIN races USING (race_date, place_code, race_no)
       WHERE status = 'F' OR (status = 'O' AND priority <> '5-LOW')) b,
       LATERAL (VALUES ('SH2', concat(least(c1, c2), '=', greatest(c1, c2)), base, c2),
@@ -62,7 +62,7 @@ CTES: dict[str, str] = {
       CASE concat(l_returnflag, l_linestatus) WHEN 'AF' THEN 'ST2' WHEN 'AO' THEN 'SH2' WHEN 'NF' THEN 'W'
         WHEN 'NO' THEN 'RH3' WHEN 'RF' THEN 'RT3' ELSE 'ST2' END AS bet_type,
       ([5.0::DOUBLE, 3.0, 2.0, 1.0, 0.5])[least(CAST(floor((l_quantity - 1) / 10) AS INT), 4) + 1] AS target_offset_min,
-      round(1 + l_extendedprice / 10000, 1) AS quoted FROM raw_lines""",
+      1 + floor(l_extendedprice / 1000) / 10 AS quoted FROM raw_lines""",
     "snapshots": """SELECT race_date, place_code, race_no, bet_type,
       CASE bet_type WHEN 'ST2' THEN concat(a, '-', b) WHEN 'RT3' THEN concat(a, '-', b, '-', c)
         WHEN 'RH3' THEN array_to_string(list_sort([a, b, c]), '=')
@@ -109,7 +109,7 @@ CTES: dict[str, str] = {
       CASE WHEN priority = '3-MEDIUM' THEN 'full_refund' ELSE 'day_canceled' END AS reason
       FROM races WHERE status = 'P' AND priority IN ('2-HIGH', '3-MEDIUM')""",
     "official_runs": """SELECT race_date, place_code, race_no, l_linenumber AS car_no,
-      round(l_extendedprice / 110000, 6) AS p_win, l_shipdate AS predicted_at, CASE l_returnflag WHEN 'A' THEN 'official'
+      round(l_extendedprice / 110000 * 1e6) / 1e6 AS p_win, l_shipdate AS predicted_at, CASE l_returnflag WHEN 'A' THEN 'official'
       WHEN 'N' THEN 'rerun' ELSE 'legacy_unverifiable' END AS run_type, l_partkey, l_suppkey, l_quantity FROM raw_lines""",
     "official": """SELECT * FROM official_runs WHERE run_type = 'official' QUALIFY row_number() OVER (
       PARTITION BY race_date, place_code, race_no, car_no
