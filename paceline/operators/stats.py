@@ -137,26 +137,34 @@ def t_pvalues(stats: DataFrame) -> DataFrame:
 
 # --- resampling -------------------------------------------------------------------------------
 
-# Poisson(1) cut points in units of 1/65536: P(K<=0), P(K<=1), … rounded to the draw's resolution.
-POISSON_CUTS = [round(65536 * sum(math.exp(-1) / math.factorial(j) for j in range(k + 1))) for k in range(7)]
+# Poisson(1) cut points on a 20-bit draw: P(K<=0), P(K<=1), … as whole numbers of 2^-20.
+DRAW_BITS = 20
+DRAWS_PER_DIGEST = 6
+POISSON_CUTS = [
+    round(2**DRAW_BITS * sum(math.exp(-1) / math.factorial(j) for j in range(k + 1))) for k in range(8)
+]
 
 
 def poisson_weights(clusters: DataFrame, key: Column, replicates: int, seed: str) -> DataFrame:
     """Add ``rep`` and a Poisson(1) weight ``w`` per cluster and replicate; weight 0 is left out.
 
-    One digest of (seed, cluster, block) serves eight replicates, four hex digits each. The draw is
-    a function of the cluster key alone, so a recomputed task gives the same weights.
+    One digest of (seed, cluster, block) gives two 60-bit words and so six draws. A draw depends on
+    the cluster key alone, so a recomputed task gives the same weights.
     """
-    blocks = (replicates + 7) // 8
+    blocks = -(-replicates // DRAWS_PER_DIGEST)
     hashed = clusters.withColumn("_blk", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn(
         "_h", F.md5(F.concat_ws("|", F.lit(seed), key, F.col("_blk"))))
-    draws = hashed.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(7)))).withColumn(
-        "rep", F.col("_blk") * 8 + F.col("_slot")).where(F.col("rep") < replicates)
-    u = F.conv(F.substring(F.col("_h"), F.col("_slot") * 4 + 1, F.lit(4)), 16, 10).cast("int")
+    word = lambda at: F.conv(F.substring("_h", at, 15), 16, 10).cast("long")
+    words = hashed.select("*", word(1).alias("_w0"), word(17).alias("_w1")).drop("_h")
+    draws = words.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(DRAWS_PER_DIGEST - 1)))).withColumn(
+        "rep", F.col("_blk") * DRAWS_PER_DIGEST + F.col("_slot")).where(F.col("rep") < replicates)
+    bits = F.when(F.col("_slot") < 3, F.col("_w0")).otherwise(F.col("_w1"))
+    shifted = F.call_function("shiftright", bits, (F.col("_slot") % 3 * DRAW_BITS))
+    draws = draws.withColumn("_u", shifted.bitwiseAND(F.lit(2**DRAW_BITS - 1)))
     weight = F.lit(0)
     for cut in POISSON_CUTS:
-        weight = weight + (u >= cut).cast("int")
-    return draws.withColumn("w", weight).where("w > 0").drop("_blk", "_h", "_slot")
+        weight = weight + (F.col("_u") >= cut).cast("int")
+    return draws.withColumn("w", weight).where("w > 0").drop("_blk", "_w0", "_w1", "_slot", "_u")
 
 
 def bootstrap_days(days: DataFrame, by: Sequence[str], replicates: int = 2000, seed: str = "days") -> DataFrame:

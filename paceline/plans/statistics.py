@@ -28,9 +28,10 @@ def scored(spark, sf):
 def draws_sql(source: str, key: str, seed: str, reps: int = REPLICATES) -> str:
     """Poisson weights from the same digests: one row per cluster and replicate with weight > 0."""
     cuts = " + ".join(f"(u >= {c})::INT" for c in st.POISSON_CUTS)
-    return f"""SELECT * FROM (SELECT * EXCLUDE (u), {cuts} AS w FROM (SELECT *, blk * 8 + slot AS rep,
-      CAST('0x' || substr(h, slot * 4 + 1, 4) AS INT) AS u FROM (SELECT *, md5(concat('{seed}|', {key}, '|', blk)) AS h FROM {source},
-      (SELECT unnest(range({(reps + 7) // 8})) AS blk)), (SELECT unnest(range(8)) AS slot)) WHERE rep < {reps}) WHERE w > 0"""
+    return f"""SELECT * FROM (SELECT * EXCLUDE (u), {cuts} AS w FROM (SELECT *, blk * 6 + slot AS rep,
+      (CAST('0x' || substr(h, CASE WHEN slot < 3 THEN 1 ELSE 17 END, 15) AS BIGINT) >> (slot % 3 * 20)) & 1048575 AS u FROM (
+      SELECT *, md5(concat('{seed}|', {key}, '|', blk)) AS h FROM {source},
+      (SELECT unnest(range({-(-reps // 6)})) AS blk)), (SELECT unnest(range(6)) AS slot)) WHERE rep < {reps}) WHERE w > 0"""
 
 
 @query("log_loss", """SELECT count(*) AS n, avg(-(y_win * ln(least(greatest(p_win, 1e-6), 1 - 1e-6))
