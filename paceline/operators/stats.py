@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from paceline.functions.numeric import clip, settle
 from paceline.operators.ordered import distribution, running
 from paceline.operators.picks import bin_of, quantile_edges
+from paceline.session import staged
 
 
 def log_loss(y: Column, p: Column, eps: float = 1e-6) -> Column:
@@ -152,8 +153,10 @@ def poisson_weights(clusters: DataFrame, key: Column, replicates: int, seed: str
     the cluster key alone, so a recomputed task gives the same weights.
     """
     blocks = -(-replicates // DRAWS_PER_DIGEST)
-    hashed = clusters.withColumn("_blk", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn(
-        "_h", F.md5(F.concat_ws("|", F.lit(seed), key, F.col("_blk"))))
+    # The key text is built once per cluster, below the explode.
+    named = clusters.withColumn("_key", F.concat_ws("|", F.lit(seed), key))
+    hashed = named.withColumn("_blk", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn(
+        "_h", F.md5(F.concat_ws("|", "_key", "_blk"))).drop("_key")
     word = lambda at: F.conv(F.substring("_h", at, 15), 16, 10).cast("long")
     words = hashed.select("*", word(1).alias("_w0"), word(17).alias("_w1")).drop("_h")
     draws = words.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(DRAWS_PER_DIGEST - 1)))).withColumn(
@@ -169,6 +172,7 @@ def poisson_weights(clusters: DataFrame, key: Column, replicates: int, seed: str
 
 def bootstrap_days(days: DataFrame, by: Sequence[str], replicates: int = 2000, seed: str = "days") -> DataFrame:
     """ROI per group by resampling days: point value, 95% interval and P(ROI <= 100)."""
+    days = staged(days, "days")
     draws = poisson_weights(days, F.concat_ws("|", *by, "race_date"), replicates, seed)
     reps = draws.groupBy(*by, "rep").agg((F.sum(F.col("w") * F.col("ret")) / F.sum(F.col("w") * F.col("stake")) * 100).alias("roi"))
     spread = distribution(reps, by, settle(F.col("roi"), 6), {"ci_low": 0.025, "ci_high": 0.975}, [
@@ -177,26 +181,33 @@ def bootstrap_days(days: DataFrame, by: Sequence[str], replicates: int = 2000, s
     return point.join(spread, list(by))
 
 
-def _interval(reps: DataFrame, value: str) -> DataFrame:
-    return distribution(reps.withColumn("_k", F.lit(1)), ["_k"], settle(F.col(value), 6), {"ci_low": 0.025, "ci_high": 0.975})
+# Replicates of an interval are few (at most some thousand per group), their clusters are not.
+_INTERVAL = {"ci_low": 0.025, "ci_high": 0.975}
+_RACE_KEY = ("race_date", "place_code", "race_no")
 
 
 def bootstrap_race_cluster(races: DataFrame, replicates: int = 1000, seed: str = "races") -> DataFrame:
     """Difference of log losses with races as clusters; needs ``lla``, ``llb``, ``n`` per race."""
-    draws = poisson_weights(races, F.concat_ws("|", "race_date", "place_code", "race_no"), replicates, seed)
-    reps = draws.groupBy("rep").agg((F.sum(F.col("w") * (F.col("lla") - F.col("llb"))) / F.sum(F.col("w") * F.col("n"))).alias("d"))
-    point = races.agg(((F.sum("lla") - F.sum("llb")) / F.sum("n")).alias("delta"), F.count(F.lit(1)).alias("n_races"))
-    return point.withColumn("_k", F.lit(1)).join(_interval(reps, "d"), "_k").drop("_k")
-
-
-def bootstrap_paired(pairs: DataFrame, replicates: int = 2000, seed: str = "pairs", key: Sequence[str] = ("race_date", "place_code", "race_no")) -> DataFrame:
-    """Paired difference of mean returns, candidate − champion, in points of ROI."""
-    rows = pairs.where("champ_ret IS NOT NULL AND cand_ret IS NOT NULL")
+    races = staged(races.withColumn("_k", F.lit(1)), "clusters")
+    draws = poisson_weights(races, F.concat_ws("|", *_RACE_KEY), replicates, seed)
+    diff = F.sum(F.col("w") * (F.col("lla") - F.col("llb"))) / F.sum(F.col("w") * F.col("n"))
+    reps = draws.groupBy("_k", "rep").agg(diff.alias("d"))
+    point = races.groupBy("_k").agg(((F.sum("lla") - F.sum("llb")) / F.sum("n")).alias("delta"), F.count(F.lit(1)).alias("n_races"))
+    return point.join(distribution(reps, ["_k"], settle(F.col("d"), 6), _INTERVAL), "_k").drop("_k")
+
+
+def bootstrap_paired(
+    pairs: DataFrame, replicates: int = 2000, seed: str = "pairs", by: Sequence[str] = (), key: Sequence[str] = _RACE_KEY
+) -> DataFrame:
+    """Paired difference of mean returns, candidate − champion, in points of ROI, per run ``by``."""
+    keys = [*by, "_k"]
+    rows = staged(pairs.where("champ_ret IS NOT NULL AND cand_ret IS NOT NULL").withColumn("_k", F.lit(1)), "pairs")
     draws = poisson_weights(rows, F.concat_ws("|", *key), replicates, seed)
     gain = F.col("cand_ret") - F.col("champ_ret")
-    reps = draws.groupBy("rep").agg((F.sum(F.col("w") * gain) / F.sum("w") * 100).alias("d"))
-    point = rows.agg(
+    reps = draws.groupBy(*keys, "rep").agg((F.sum(F.col("w") * gain) / F.sum("w") * 100).alias("d"))
+    point = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_bets"), (F.avg("champ_ret") * 100).alias("roi_champion"),
         (F.avg("cand_ret") * 100).alias("roi_candidate"), (F.avg(gain) * 100).alias("roi_delta_pt"))
-    spread = _interval(reps, "d").withColumnsRenamed({"ci_low": "roi_ci_low", "ci_high": "roi_ci_high"})
-    return point.withColumn("_k", F.lit(1)).join(spread, "_k", "left").drop("_k")
+    spread = distribution(reps, keys, settle(F.col("d"), 6), _INTERVAL).withColumnsRenamed(
+        {"ci_low": "roi_ci_low", "ci_high": "roi_ci_high"})
+    return point.join(spread, keys, "left").drop("_k")

@@ -117,7 +117,7 @@ def _(spark, sf):
 
 @query("filter_normal_days", f"""
 SELECT e.race_date, e.place_code, e.race_no, car_no FROM runners e JOIN quality q ON e.race_date = q.race_date AND e.place_code = q.place_code
-WHERE status = 'normal'""", dt="race_date", ctes=QUALITY)
+WHERE q.status = 'normal'""", dt="race_date", ctes=QUALITY)
 def _(spark, sf):
     normal = quality(spark, sf).where(F.col("status") == "normal").select(*VENUE_DAY)
     return b.runners(spark, sf).select(*CAR).join(normal, VENUE_DAY, "left_semi")
