@@ -58,3 +58,8 @@ def delay_bin(minutes: Column) -> Column:
         F.when(minutes < -10, "<-10").when(minutes < 0, "-10..-1").when(minutes == 0, "0")
         .when(minutes <= 5, "1..5").otherwise(">5")
     )
+
+
+def offset_label(offset: Column) -> Column:
+    """Capture offset as text: 5.0 gives ``5``, 0.5 stays ``0.5``."""
+    return F.when(offset == F.floor(offset), offset.cast("int").cast("string")).otherwise(offset.cast("string"))

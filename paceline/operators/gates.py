@@ -177,7 +177,7 @@ def attention_level(runs: DataFrame) -> DataFrame:
     """Which runs need a person: from the model verdict and the return verdict."""
     v, r = F.col("verdict"), F.coalesce("roi_verdict", F.lit(""))
     return runs.withColumn(
-        "attention", F.when((v == "NG") | (r == "NG"), "NG").when((v == "WARN") | (r == "ERROR"), "WARN").when(r == "WARN", "WARN").otherwise("none"))
+        "attention", F.when((v == "NG") | (r == "NG"), "NG").when((v == "WARN") | (r == "ERROR"), "WARN").otherwise("none"))
 
 
 def champion_rescore(scored: DataFrame, champions: DataFrame, oos_start: str, metrics: DataFrame) -> DataFrame:

@@ -187,7 +187,7 @@ def _(spark, sf):
 
 
 @query("attention_level", f"""
-SELECT run, c.verdict, v.verdict AS roi_verdict, CASE WHEN c.verdict = 'NG' OR v.verdict = 'NG' THEN 'NG' WHEN c.verdict = 'WARN' OR v.verdict IN ('ERROR', 'WARN') THEN 'WARN'
+SELECT run, c.verdict, v.verdict AS roi_verdict, CASE WHEN c.verdict = 'NG' OR v.verdict = 'NG' THEN 'NG' WHEN c.verdict = 'WARN' OR v.verdict = 'ERROR' THEN 'WARN'
   ELSE 'none' END AS attention FROM (SELECT run, {_chain(ga.CROSS)} AS verdict FROM cross_runs) c JOIN veto v ON c.run = v.place_code""",
        ctes={**RUNS, **VETO})
 def _(spark, sf):
