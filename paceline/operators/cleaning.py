@@ -21,19 +21,24 @@ def positive_odds(df: DataFrame) -> DataFrame:
     return df.withColumn("odds", F.col("odds").try_cast("double")).where(F.col("odds") > 0)
 
 
+def where_over(df: DataFrame, keep: Column) -> DataFrame:
+    """Filter on a window expression."""
+    return df.withColumn("_keep", keep).where("_keep").drop("_keep")
+
+
 def clean_races(df: DataFrame, win: str = "y_win") -> DataFrame:
     """Races with exactly one winner."""
-    return df.where(F.sum(win).over(in_race()) == 1)
+    return where_over(df, F.sum(win).over(in_race()) == 1)
 
 
 def complete_market(df: DataFrame, price: str = "mkt_win") -> DataFrame:
     """Races in which every runner has a market price."""
-    return df.where(F.count(F.lit(1)).over(in_race()) == F.count(price).over(in_race()))
+    return where_over(df, F.count(F.lit(1)).over(in_race()) == F.count(price).over(in_race()))
 
 
 def mass_band(df: DataFrame, col: str, low: float = 0.995, high: float = 1.005, min_cars: int = 5) -> DataFrame:
     total = F.sum(col).over(in_race())
-    return df.where((F.count("car_no").over(in_race()) >= min_cars) & (total > low) & (total < high))
+    return where_over(df, (F.count("car_no").over(in_race()) >= min_cars) & (total > low) & (total < high))
 
 
 def payouts_clean(payouts: DataFrame, order: Sequence[Column], keep: str = "last") -> DataFrame:

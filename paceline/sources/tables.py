@@ -1,8 +1,135 @@
-"""Landing, partitions and ledgers (2.1)."""
+"""Scans, appends, monthly partitions and keyed ledgers (2.1)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from paceline.functions.moments import month_of
+from paceline.keys import RACE
+from paceline.schemas import schema_for
+
+MONTH = "race_month"
+
+
+def _read(spark: SparkSession, path: str, fmt: str, schema, **options) -> DataFrame:
+    """Read with a fixed schema; a path that is not there is an empty table."""
+    try:
+        return spark.read.schema(schema).options(**options).format(fmt).load(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], schema)
+        raise
+
+
+def scan_table(spark: SparkSession, root: str, name: str, fmt: str = "csv") -> DataFrame:
+    options = {"header": "true"} if fmt == "csv" else {}
+    return _read(spark, f"{root}/{name}", fmt, schema_for(name), **options)
+
+
+def scan_headerless(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """CSV files that start with data: the names come from the schema."""
+    return _read(spark, path, "csv", schema_for(name), header="false")
+
+
+def conform(df: DataFrame, name: str) -> DataFrame:
+    """Schema columns in order: extra ones are left out, missing ones are NULL."""
+    have = set(df.columns)
+    return df.select(*[
+        (F.col(f.name).cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in schema_for(name)
+    ])
+
+
+def append_rows(df: DataFrame, root: str, name: str, fmt: str = "csv") -> None:
+    writer = conform(df, name).write.mode("append").format(fmt)
+    (writer.option("header", "true") if fmt == "csv" else writer).save(f"{root}/{name}")
+
+
+def append_snapshots(df: DataFrame, store: str, batch: str) -> None:
+    """Add price snapshots to the monthly store under their own batch.
+
+    A batch overwrites only its own partitions, so a retried or repeated load changes nothing, and
+    a late file is one more batch.
+    """
+    rows = conform(df, "race_odds_prerace").withColumn(MONTH, month_of(F.col("race_date"))).withColumn("batch", F.lit(batch))
+    # One shuffle by month keeps the files per partition few without putting a month into one task.
+    rows.repartition(MONTH, "race_no").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        MONTH, "batch").parquet(store)
+
+
+def scan_partitions(
+    spark: SparkSession, store: str, start: str | None = None, end: str | None = None, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Rows of a closed date range; the month filter prunes partitions, the date filter goes to the scan."""
+    schema = schema_for("race_odds_prerace").add(MONTH, "string").add("batch", "string")
+    df = _read(spark, store, "parquet", schema)
+    if start:
+        df = df.where((F.col(MONTH) >= start[:7]) & (F.col("race_date") >= F.lit(start).cast("date")))
+    if end:
+        df = df.where((F.col(MONTH) <= end[:7]) & (F.col("race_date") <= F.lit(end).cast("date")))
+    return df.select(*columns) if columns else df.drop(MONTH, "batch")
+
+
+def scan_with_legacy(store: DataFrame, legacy: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Monthly store plus the old single table, aligned by column name."""
+    from paceline.operators.cleaning import date_range
+
+    return store.unionByName(date_range(legacy, start, end), allowMissingColumns=True)
+
+
+def row_count(df: DataFrame) -> DataFrame:
+    return df.agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def existing_keys(keys: DataFrame, table: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Mark which keys are already loaded."""
+    have = table.select(*on).distinct().withColumn("_have", F.lit(True))
+    return keys.join(have, list(on), "left").withColumn("loaded", F.coalesce("_have", F.lit(False))).drop("_have")
+
+
+def key_sizes(tables: dict[str, DataFrame], on: Sequence[str]) -> DataFrame:
+    """Distinct keys per table."""
+    parts = [t.agg(F.countDistinct(*on).alias("n_keys")).select(F.lit(n).alias("table_name"), "n_keys") for n, t in tables.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def partition_migrate(legacy: DataFrame, store: str, quarantine: str, batch: str) -> DataFrame:
+    """Split a single table into the monthly store; rows without a valid date go to quarantine.
+
+    Returns rows in and out per month (``bad`` for the quarantine); they have to agree.
+    """
+    spark = legacy.sparkSession
+    dated = legacy.withColumn("_day", F.col("race_date").cast("string").try_cast("date"))
+    good = dated.where(F.col("_day").isNotNull()).withColumn("race_date", F.col("_day")).drop("_day")
+    bad = dated.where(F.col("_day").isNull()).drop("_day").withColumn("batch", F.lit(batch))
+    append_snapshots(good, store, batch)
+    bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(quarantine)
+    month = F.coalesce(month_of(F.col("_day")), F.lit("bad"))
+    before = dated.groupBy(month.alias("month")).agg(F.count(F.lit(1)).alias("n_in"))
+    mine = F.col("batch") == batch
+    schema = schema_for("race_odds_prerace").add(MONTH, "string").add("batch", "string")
+    after = _read(spark, store, "parquet", schema).where(mine).groupBy(F.col(MONTH).alias("month")).agg(F.count(F.lit(1)).alias("n_out"))
+    kept = _read(spark, quarantine, "parquet", bad.schema).where(mine).groupBy(F.lit("bad").alias("month")).agg(F.count(F.lit(1)).alias("n_out"))
+    out = before.join(after.unionByName(kept), "month", "full").fillna(0, ["n_in", "n_out"])
+    return out.withColumn("agrees", F.col("n_in") == F.col("n_out"))
+
+
+def salvage_rows(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """Lines of a damaged headerless file that start with a date, parsed with the table's schema."""
+    lines = spark.read.text(path).where(F.col("value").rlike(r"^\d{4}-\d{2}-\d{2},"))
+    return lines.select(F.from_csv("value", schema_for(name).simpleString()[7:-1].replace(":", " ").replace(",", ", ")).alias("r")).select("r.*")
+
+
+def merge_replace(old: DataFrame, new: DataFrame, regen_start: str, date: str = "race_date") -> DataFrame:
+    """Rows before ``regen_start`` from the old table, all others from the new one; old column order."""
+    kept = old.where(F.col(date) < F.lit(regen_start).cast("date"))
+    return kept.unionByName(new, allowMissingColumns=True).select(*old.columns)
 
 
 def refresh_window(old: DataFrame, fresh: DataFrame, today: str, days: int | None) -> DataFrame:
@@ -11,3 +138,28 @@ def refresh_window(old: DataFrame, fresh: DataFrame, today: str, days: int | Non
         return fresh
     start = F.date_sub(F.lit(today).cast("date"), days)
     return old.where(F.col("race_date") < start).unionByName(fresh.where(F.col("race_date") >= start))
+
+
+def fill_missing(scores: DataFrame, existing: DataFrame, train_end: str, regen_start: str) -> DataFrame:
+    """Add scores of races absent from the output, between the training end and the regenerated part."""
+    day = F.col("race_date")
+    gap = (day > F.lit(train_end).cast("date")) & (day < F.lit(regen_start).cast("date"))
+    fresh = scores.where(gap).join(existing.select(*RACE).distinct(), RACE, "left_anti")
+    return existing.unionByName(fresh.select(*existing.columns))
+
+
+def append_history(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Append by name; columns that either side lacks are NULL."""
+    return old.unionByName(new, allowMissingColumns=True)
+
+
+def keyed_insert(ledger: DataFrame, rows: DataFrame, keys: Sequence[str], reasons: Sequence[str]) -> DataFrame:
+    """Add rows whose key is new and whose reason is allowed; a NULL key part equals a NULL."""
+    allowed = rows.where(F.col("reason").isin(*reasons)).dropDuplicates(list(keys))
+    a, z = allowed.alias("a"), ledger.select(*keys).distinct().alias("z")
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(f"a.{k}").eqNullSafe(F.col(f"z.{k}"))
+    return ledger.unionByName(a.join(z, same, "left_anti").select(*ledger.columns))
+
+
