@@ -77,9 +77,10 @@ def meta(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def raw_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Line items with the race key; car numbers outside 1..9 are no runners."""
-    li = table(spark, sf, "lineitem").where(F.col("l_linenumber").between(1, MAX_CARS))
+def raw_lines(spark: SparkSession, sf: str, feed: DataFrame | None = None) -> DataFrame:
+    """Line items (the table, or a stream of it) with the race key; cars outside 1..9 are no runners."""
+    lines = table(spark, sf, "lineitem") if feed is None else feed
+    li = lines.where(F.col("l_linenumber").between(1, MAX_CARS))
     return li.withColumnRenamed("l_orderkey", "race_no").join(race_keys(spark, sf), "race_no")
 
 
@@ -197,6 +198,10 @@ def payouts(spark: SparkSession, sf: str) -> DataFrame:
 @landed
 def snapshots(spark: SparkSession, sf: str) -> DataFrame:
     """race_odds_prerace: every line item quotes one combination at one time."""
+    return snapshot_rows(raw_lines(spark, sf))
+
+
+def snapshot_rows(lines: DataFrame) -> DataFrame:
     car, step = F.col("l_linenumber"), (F.col("l_partkey") % 6 + 1).cast("int")
     flag = F.concat("l_returnflag", "l_linestatus")
     b = (car - 1 + step) % 7 + 1
@@ -205,7 +210,7 @@ def snapshots(spark: SparkSession, sf: str) -> DataFrame:
         F.when(flag == "AF", "ST2").when(flag == "AO", "SH2").when(flag == "NF", "W")
         .when(flag == "NO", "RH3").when(flag == "RF", "RT3").otherwise("ST2")
     )
-    base = raw_lines(spark, sf).withColumn("bet_type", bet).withColumn("b", b).withColumn("c", c)
+    base = lines.withColumn("bet_type", bet).withColumn("b", b).withColumn("c", c)
     trio = F.array(car, F.col("b"), F.col("c"))
     kumi = (
         F.when(F.col("bet_type") == "ST2", F.concat_ws("-", car, "b"))
@@ -272,6 +277,10 @@ def market_by_offset(spark: SparkSession, sf: str) -> DataFrame:
 @landed
 def capture_log(spark: SparkSession, sf: str) -> DataFrame:
     """prerace_snapshot_log: one capture attempt per line item."""
+    return capture_rows(spark, sf, raw_lines(spark, sf))
+
+
+def capture_rows(spark: SparkSession, sf: str, lines: DataFrame) -> DataFrame:
     start = races(spark, sf).select(
         "race_no", F.to_timestamp_ntz(F.concat_ws(" ", "race_date", "st_time"), F.lit("yyyy-MM-dd HH:mm")).alias("start_dt")
     )
@@ -280,7 +289,7 @@ def capture_log(spark: SparkSession, sf: str) -> DataFrame:
     late = F.coalesce(F.col("capture_lag_sec"), F.lit(0.0))
     us = lambda sec: F.make_dt_interval(secs=sec.cast("decimal(18,6)"))
     return (
-        raw_lines(spark, sf).join(start, "race_no")
+        lines.join(start, "race_no")
         .withColumn("target_offset_min", offset_of("l_quantity"))
         .withColumn("capture_lag_sec", lag)
         .select(
