@@ -76,8 +76,8 @@ def attach_sparse(df: DataFrame, features: DataFrame) -> DataFrame:
 
 def top_n_report(df: DataFrame, order: Sequence[Column], n: int = 15) -> DataFrame:
     """The first ``n`` rows of a report, with the number of rows not shown."""
-    rest = df.agg(F.greatest(F.count(F.lit(1)) - n, F.lit(0)).alias("n_rest")).withColumn("_k", F.lit(1))
-    return df.orderBy(*order).limit(n).withColumn("_k", F.lit(1)).join(rest, "_k").drop("_k")
+    rest = df.agg(F.greatest(F.count(F.lit(1)) - n, F.lit(0)).alias("n_rest"))
+    return df.orderBy(*order).limit(n).withColumn("n_rest", rest.scalar())
 
 
 def stratified_head(df: DataFrame, stratum: str, order: Sequence[Column], per_stratum: int, total: int) -> DataFrame:

@@ -67,8 +67,8 @@ def gate_timing(entries: DataFrame, log: DataFrame, wedges: DataFrame, missing:
         (F.abs("median") <= MAX_MEDIAN) & (F.col("p90") <= MAX_P90) & (F.col("share10") <= MAX_SHARE10), F.lit(False))
     by_bet = bets.join(medians, [*key, "bet_type"], "left").join(p90, [*key, "bet_type"], "left").withColumn("_ok", bet_ok).groupBy(
         "target_offset_min", "bet_type").agg(F.bool_and("_ok").alias("bet_pass"))
-    gone = missing.agg(F.count(F.lit(1)).alias("missing_14d")).withColumn("_k", F.lit(1))
-    out = by_bet.join(by_offset, "target_offset_min").withColumn("_k", F.lit(1)).join(gone, "_k").drop("_k")
+    gone = missing.agg(F.count(F.lit(1)).alias("missing_14d"))
+    out = by_bet.join(by_offset, "target_offset_min").withColumn("missing_14d", gone.scalar())
     clean = F.col("shared_pass") & (F.col("missing_14d") == 0)
     return out.withColumn("shared_pass", clean).withColumn("verdict", clean & F.col("bet_pass"))
 
@@ -96,10 +96,10 @@ def gate_strategy(policies: DataFrame) -> DataFrame:
 def sunset_rules(reports: DataFrame, policies: DataFrame, n_gate_pass: Column, lock_date: str) -> DataFrame:
     """Per report day: which of the four end-of-observation messages apply."""
     lock = F.lit(lock_date).cast("date")
-    state = policies.agg(
+    state = policies.agg(F.struct(
         F.bool_or(F.col("verdict") == "candidate").alias("any_pass"), F.min("n_races").alias("fewest"),
-        F.count(F.lit(1)).alias("n_policies")).withColumn("_k", F.lit(1))
-    df = reports.withColumn("_k", F.lit(1)).join(state, "_k").drop("_k")
+        F.count(F.lit(1)).alias("n_policies")).alias("state"))
+    df = reports.select("today").withColumn("_state", state.scalar()).select("today", "_state.*")
     none = ~F.coalesce("any_pass", F.lit(False))
     today = F.col("today")
     return df.select(
@@ -165,12 +165,12 @@ def evaluate_roi_gate(df: DataFrame, replicates: int = 2000, min_bets: int = ROI
     """The veto for one run as a one-row frame; a missing column is the verdict ERROR."""
     need = {*RACE, "car_no", "p_champion", "p_candidate", "is_win", "odds"}
     lacking = sorted(need - set(df.columns))
-    one = df.sparkSession.range(1).select(F.lit(1).alias("_k"))
     if lacking:
-        return one.select(F.lit("ERROR").alias("verdict"), F.lit(f"missing columns: {', '.join(lacking)}").alias("reason"))
-    tested = gate_roi_veto(race_pair_returns(df), replicates=replicates, min_bets=min_bets).withColumn("_k", F.lit(1))
-    out = one.join(tested, "_k", "left").drop("_k")
-    return out.withColumns({"n_bets": F.coalesce("n_bets", F.lit(0)), "verdict": F.coalesce("verdict", F.lit("SKIP"))})
+        return df.sparkSession.range(1).select(F.lit("ERROR").alias("verdict"), F.lit(f"missing columns: {', '.join(lacking)}").alias("reason"))
+    tested = gate_roi_veto(race_pair_returns(df), replicates=replicates, min_bets=min_bets)
+    # Without a race to settle there is no row to judge; a global aggregate gives one either way.
+    one = tested.agg(*[F.max(c).alias(c) for c in tested.columns])
+    return one.withColumns({"n_bets": F.coalesce("n_bets", F.lit(0)), "verdict": F.coalesce("verdict", F.lit("SKIP"))})
 
 
 def attention_level(runs: DataFrame) -> DataFrame:

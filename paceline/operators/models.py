@@ -372,6 +372,6 @@ def market_residual_model(df: DataFrame, features: Sequence[str], train_end: str
     if top is None:
         return df.sparkSession.createDataFrame([], "a double, c double, n_races long, ll_market double, ll_market_plus_line double")
     races = staged(race_rows(oos.withColumn("p_win", F.exp(F.col("f") - F.lit(top)))), "races")
-    fit = cond_logit_fit(races).withColumnRenamed("b", "c").withColumnRenamed("nll", "ll_market_plus_line").withColumn("_k", F.lit(1))
-    plain = cond_logit_nll(races, 1.0, 0.0).select(F.col("nll").alias("ll_market"), F.lit(1).alias("_k"))
-    return fit.join(plain, "_k").select("a", "c", "n_races", "ll_market", "ll_market_plus_line")
+    fit = cond_logit_fit(races).withColumnRenamed("b", "c").withColumnRenamed("nll", "ll_market_plus_line")
+    plain = cond_logit_nll(races, 1.0, 0.0).select("nll")
+    return fit.withColumn("ll_market", plain.scalar()).select("a", "c", "n_races", "ll_market", "ll_market_plus_line")

@@ -43,6 +43,7 @@ def running(
         "running",
     )
     part = rows.groupBy(*by, "_slab").agg(*[_FOLD[k](f"_in_{n}").alias(f"_part_{n}") for n, (k, _) in folds.items()])
+    # Without ``by`` this window is over one row per slab.
     group = Window.partitionBy(*by)
     before = group.orderBy("_slab").rowsBetween(Window.unboundedPreceding, -1)
     offsets = part.select(

@@ -12,6 +12,7 @@ from paceline.functions.rows import inline_rows
 from paceline.functions.text import join_cars, pair_of
 from paceline.keys import COMBO, RACE
 from paceline.operators.ordered import distribution, positions
+from paceline.session import staged
 
 # Share of races bought by confidence, price thresholds, stake.
 TOP_SHARES = [1.0, 0.50, 0.25, 0.10, 0.05]
@@ -126,11 +127,15 @@ def annotate_payouts(picks: DataFrame, payouts: DataFrame) -> DataFrame:
 
 
 def quantile_edges(df: DataFrame, by: Sequence[str], value: str, bins: int) -> DataFrame:
-    """Distinct quantile edges per group as a sorted array (equal edges merge)."""
+    """Distinct quantile edges per group as a sorted array (equal edges merge).
+
+    The edges (one row per group) are written out, so the planner knows their size when it joins
+    them to the rows and broadcasts them only below its threshold.
+    """
     probs = {f"e{i}": i / bins for i in range(bins + 1)}
     out = distribution(df, by, F.col(value), probs)
     edges = F.array_sort(F.array_distinct(F.array(*[settle(F.col(e)) for e in probs])))
-    return out.select(*by, edges.alias("edges"))
+    return staged(out.select(*by, edges.alias("edges")), "edges")
 
 
 def bin_of(value: Column, edges: Column) -> Column:

@@ -172,9 +172,8 @@ def overall_status(daily: DataFrame, missing: DataFrame) -> DataFrame:
         F.count(F.when(F.col("status") == "no_data", 1)).alias("n_nodata"),
         F.count(F.when(~ok & (F.col("status") != "no_data"), 1)).alias("n_warn"))
     gone = missing.agg(F.count(F.lit(1)).alias("n_missing"))
-    one = lambda df: df.withColumn("_k", F.lit(1))
     level = F.when(F.col("n_nodata") > 0, "NG").when((F.col("n_warn") > 0) | (F.col("n_missing") > 0), "WARN").otherwise("OK")
-    return one(days).join(one(gone), "_k").drop("_k").withColumn("level", level)
+    return days.withColumn("n_missing", gone.scalar()).withColumn("level", level)
 
 
 def capture_timing(timing: DataFrame) -> DataFrame:

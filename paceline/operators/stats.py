@@ -42,14 +42,14 @@ def auc(df: DataFrame, y: str, p: str, by: Sequence[str] = ()) -> DataFrame:
 
 def ece(df: DataFrame, y: str, p: str, bins: int = 10, by: Sequence[str] = ()) -> DataFrame:
     """Expected calibration error over quantile bins; equal edges merge."""
-    rows = df.withColumn("_all", F.lit(1)).select(*by, "_all", F.col(y).alias("y"), F.col(p).alias("p"))
-    keys = [*by, "_all"]
+    keys = list(by)
+    rows = df.select(*keys, F.col(y).alias("y"), F.col(p).alias("p"))
     edges = quantile_edges(rows, keys, "p", bins)
-    binned = rows.join(edges, keys).withColumn("bin", bin_of(F.col("p"), F.col("edges")))
-    per_bin = binned.groupBy(*keys, "bin").agg(
+    edged = rows.join(edges, keys) if keys else rows.withColumn("edges", edges.scalar())
+    per_bin = edged.groupBy(*keys, bin_of(F.col("p"), F.col("edges")).alias("bin")).agg(
         F.count(F.lit(1)).alias("n"), F.avg("y").alias("my"), F.avg("p").alias("mp"))
     weight = F.sum(F.col("n") * F.abs(F.col("my") - F.col("mp"))) / F.sum("n")
-    return per_bin.groupBy(*keys).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_bins"), weight.alias("ece")).drop("_all")
+    return per_bin.groupBy(*keys).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_bins"), weight.alias("ece"))
 
 
 def reliability_table(df: DataFrame, y: str, p: str, width: float = 0.1) -> DataFrame:

@@ -55,8 +55,8 @@ def append_snapshots(df: DataFrame, store: str, batch: str) -> None:
     a late file is one more batch.
     """
     rows = conform(df, "race_odds_prerace").withColumn(MONTH, month_of(F.col("race_date"))).withColumn("batch", F.lit(batch))
-    # One shuffle by month keeps the files per partition few without putting a month into one task.
-    rows.repartition(MONTH, "race_no").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+    # Rebalancing by month keeps the files of a month few; a month above the advisory size is split.
+    rows.hint("rebalance", F.col(MONTH)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         MONTH, "batch").parquet(store)
 
 
