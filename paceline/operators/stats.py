@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from paceline.functions.numeric import clip, settle
+from paceline.functions.rows import inline_rows
 from paceline.operators.ordered import distribution, running
 from paceline.operators.picks import bin_of, quantile_edges
 from paceline.session import staged
@@ -146,35 +147,65 @@ POISSON_CUTS = [
 ]
 
 
-def poisson_weights(clusters: DataFrame, key: Column, replicates: int, seed: str) -> DataFrame:
-    """Add ``rep`` and a Poisson(1) weight ``w`` per cluster and replicate; weight 0 is left out.
-
-    One digest of (seed, cluster, block) gives two 60-bit words and so six draws. A draw depends on
-    the cluster key alone, so a recomputed task gives the same weights.
-    """
+def _draw_words(clusters: DataFrame, key: Column, replicates: int, seed: str) -> DataFrame:
+    """One row per cluster and block of six replicates, with two 60-bit words of the digest."""
     blocks = -(-replicates // DRAWS_PER_DIGEST)
-    # The key text is built once per cluster, below the explode.
-    named = clusters.withColumn("_key", F.concat_ws("|", F.lit(seed), key))
+    # A small cluster table would be read by one task and then multiplied there; the key text is built
+    # once per cluster, below the explode.
+    tasks = max(int(clusters.sparkSession.conf.get("spark.sql.shuffle.partitions")), clusters.sparkSession.sparkContext.defaultParallelism)
+    named = clusters.withColumn("_key", F.concat_ws("|", F.lit(seed), key)).repartition(tasks, "_key")
     hashed = named.withColumn("_blk", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn(
         "_h", F.md5(F.concat_ws("|", "_key", "_blk"))).drop("_key")
     word = lambda at: F.conv(F.substring("_h", at, 15), 16, 10).cast("long")
-    words = hashed.select("*", word(1).alias("_w0"), word(17).alias("_w1")).drop("_h")
-    draws = words.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(DRAWS_PER_DIGEST - 1)))).withColumn(
-        "rep", F.col("_blk") * DRAWS_PER_DIGEST + F.col("_slot")).where(F.col("rep") < replicates)
-    bits = F.when(F.col("_slot") < 3, F.col("_w0")).otherwise(F.col("_w1"))
-    shifted = F.call_function("shiftright", bits, (F.col("_slot") % 3 * DRAW_BITS))
-    draws = draws.withColumn("_u", shifted.bitwiseAND(F.lit(2**DRAW_BITS - 1)))
+    return hashed.select("*", word(1).alias("_w0"), word(17).alias("_w1")).drop("_h")
+
+
+def _slot_weight(slot: int) -> Column:
+    """Poisson(1) weight of one of the six replicates of a block."""
+    bits = F.shiftright(F.col("_w0" if slot < 3 else "_w1"), slot % 3 * DRAW_BITS).bitwiseAND(F.lit(2**DRAW_BITS - 1))
     weight = F.lit(0)
     for cut in POISSON_CUTS:
-        weight = weight + (F.col("_u") >= cut).cast("int")
-    return draws.withColumn("w", weight).where("w > 0").drop("_blk", "_w0", "_w1", "_slot", "_u")
+        weight = weight + (bits >= cut).cast("int")
+    return weight
+
+
+def poisson_weights(clusters: DataFrame, key: Column, replicates: int, seed: str) -> DataFrame:
+    """Add ``rep`` and a Poisson(1) weight ``w`` per cluster and replicate; weight 0 is left out.
+
+    A draw depends on the cluster key alone, so a recomputed task gives the same weights.
+    """
+    slots = inline_rows(["_slot", "w"], *[[s, _slot_weight(s)] for s in range(DRAWS_PER_DIGEST)])
+    draws = _draw_words(clusters, key, replicates, seed).select("*", slots)
+    draws = draws.withColumn("rep", F.col("_blk") * DRAWS_PER_DIGEST + F.col("_slot"))
+    return draws.where((F.col("rep") < replicates) & (F.col("w") > 0)).drop("_blk", "_w0", "_w1", "_slot")
+
+
+def replicate_sums(
+    clusters: DataFrame, key: Column, by: Sequence[str], sums: dict[str, Column], replicates: int, seed: str
+) -> DataFrame:
+    """Weighted sums per group and replicate (``rep``); replicates without any weight are left out.
+
+    The six replicates of a block are summed side by side, so a cluster gives one row per block
+    instead of one per replicate, and the sums combine on the map side.
+    """
+    names = ["_weight", *sums]
+    values = {"_weight": F.lit(1), **sums}
+    staged_in = clusters.withColumns({f"_v_{n}": v for n, v in values.items()}).select(
+        *by, key.alias("_name"), *[f"_v_{n}" for n in names])
+    words = _draw_words(staged_in, F.col("_name"), replicates, seed)
+    wide = words.groupBy(*by, "_blk").agg(*[
+        F.sum(_slot_weight(s) * F.col(f"_v_{n}")).alias(f"{n}_{s}") for s in range(DRAWS_PER_DIGEST) for n in names])
+    rows = inline_rows(["_slot", *names], *[[s, *[F.col(f"{n}_{s}") for n in names]] for s in range(DRAWS_PER_DIGEST)])
+    long = wide.select(*by, "_blk", rows).withColumn("rep", F.col("_blk") * DRAWS_PER_DIGEST + F.col("_slot"))
+    return long.where((F.col("rep") < replicates) & (F.col("_weight") > 0)).select(*by, "rep", "_weight", *sums)
 
 
 def bootstrap_days(days: DataFrame, by: Sequence[str], replicates: int = 2000, seed: str = "days") -> DataFrame:
     """ROI per group by resampling days: point value, 95% interval and P(ROI <= 100)."""
     days = staged(days, "days")
-    draws = poisson_weights(days, F.concat_ws("|", *by, "race_date"), replicates, seed)
-    reps = draws.groupBy(*by, "rep").agg((F.sum(F.col("w") * F.col("ret")) / F.sum(F.col("w") * F.col("stake")) * 100).alias("roi"))
+    sums = {"r": F.col("ret"), "s": F.col("stake")}
+    reps = replicate_sums(days, F.concat_ws("|", *by, "race_date"), by, sums, replicates, seed).withColumn(
+        "roi", F.col("r") / F.col("s") * 100)
     spread = distribution(reps, by, settle(F.col("roi"), 6), {"ci_low": 0.025, "ci_high": 0.975}, [
         (F.sum(F.when(F.col("v") <= 100, F.col("c")).otherwise(0)) / F.sum("c")).alias("p_le100")])
     point = days.groupBy(*by).agg(F.count(F.lit(1)).alias("days"), (F.sum("ret") / F.sum("stake") * 100).alias("roi"))
@@ -189,9 +220,9 @@ _RACE_KEY = ("race_date", "place_code", "race_no")
 def bootstrap_race_cluster(races: DataFrame, replicates: int = 1000, seed: str = "races") -> DataFrame:
     """Difference of log losses with races as clusters; needs ``lla``, ``llb``, ``n`` per race."""
     races = staged(races.withColumn("_k", F.lit(1)), "clusters")
-    draws = poisson_weights(races, F.concat_ws("|", *_RACE_KEY), replicates, seed)
-    diff = F.sum(F.col("w") * (F.col("lla") - F.col("llb"))) / F.sum(F.col("w") * F.col("n"))
-    reps = draws.groupBy("_k", "rep").agg(diff.alias("d"))
+    sums = {"gap": F.col("lla") - F.col("llb"), "rows": F.col("n")}
+    reps = replicate_sums(races, F.concat_ws("|", *_RACE_KEY), ["_k"], sums, replicates, seed).withColumn(
+        "d", F.col("gap") / F.col("rows"))
     point = races.groupBy("_k").agg(((F.sum("lla") - F.sum("llb")) / F.sum("n")).alias("delta"), F.count(F.lit(1)).alias("n_races"))
     return point.join(distribution(reps, ["_k"], settle(F.col("d"), 6), _INTERVAL), "_k").drop("_k")
 
@@ -202,9 +233,9 @@ def bootstrap_paired(
     """Paired difference of mean returns, candidate − champion, in points of ROI, per run ``by``."""
     keys = [*by, "_k"]
     rows = staged(pairs.where("champ_ret IS NOT NULL AND cand_ret IS NOT NULL").withColumn("_k", F.lit(1)), "pairs")
-    draws = poisson_weights(rows, F.concat_ws("|", *key), replicates, seed)
     gain = F.col("cand_ret") - F.col("champ_ret")
-    reps = draws.groupBy(*keys, "rep").agg((F.sum(F.col("w") * gain) / F.sum("w") * 100).alias("d"))
+    reps = replicate_sums(rows, F.concat_ws("|", *key), keys, {"gain": gain}, replicates, seed).withColumn(
+        "d", F.col("gain") / F.col("_weight") * 100)
     point = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_bets"), (F.avg("champ_ret") * 100).alias("roi_champion"),
         (F.avg("cand_ret") * 100).alias("roi_candidate"), (F.avg(gain) * 100).alias("roi_delta_pt"))
