@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from paceline.llm.decontamination import contaminated
 from paceline.llm.exact_dedup import exact_dedup
+from paceline.llm.packing import pack_documents
 from paceline.llm.sharding import shard_documents
+from paceline.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +27,21 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def public_tokenizer() -> tuple[str, str, str]:
+    """Vocabulary file, rank file and pattern of the byte-level BPE that packing counts in."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op8_differencing_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizer())
+
+
+def op10_sentence_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(_table(spark, sf_dir, "documents"), [1.0] * 40, grown_by=1.0)
 
@@ -32,7 +49,9 @@ def op9_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_exact_dedup": op3_exact_dedup,
+    "op8_differencing_packing": op8_differencing_packing,
     "op9_rendezvous_sharding": op9_rendezvous_sharding,
+    "op10_sentence_toxicity": op10_sentence_toxicity,
 }
 
 _FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -93,8 +93,11 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE) -> Iterator[pa
         begin, total = end, int(ends[end - 1])
 
 
-def _piece_words(raw: np.ndarray, fresh: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and starts of the words in folded bytes; ``fresh`` lists positions where a text begins."""
+def _piece_words(raw: np.ndarray, fresh: np.ndarray, prefixes: tuple[int, ...]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Hashes of words and of their prefixes, and the words' starts, in folded bytes.
+
+    ``fresh`` lists positions where a text begins.
+    """
     word = raw != 0
     before = np.empty_like(word)
     before[0] = False
@@ -102,7 +105,7 @@ def _piece_words(raw: np.ndarray, fresh: np.ndarray) -> tuple[np.ndarray, np.nda
     before[fresh] = False
     starts = np.flatnonzero(word & ~before)
     if not len(starts):
-        return np.zeros(0, np.uint64), starts
+        return [np.zeros(0, np.uint64)] * (1 + len(prefixes)), starts
     spans = np.diff(np.append(starts, len(raw)))
     # Position within the word; separators after a word go on counting and are masked.
     place = np.arange(starts[0], len(raw), dtype=np.int32) - np.repeat(starts.astype(np.int32), spans)
@@ -114,11 +117,27 @@ def _piece_words(raw: np.ndarray, fresh: np.ndarray) -> tuple[np.ndarray, np.nda
         values = _PLACE[place % _PLACES] * _FAR[place // _PLACES % _PLACES]
     values *= _BYTE[body]
     values[~there] = 0
-    return mix(np.add.reduceat(values, starts - starts[0])), starts
+    at = starts - starts[0]
+    whole = [mix(np.add.reduceat(values, at))]
+    for k in prefixes:
+        values[place >= k] = 0
+        whole.append(mix(np.add.reduceat(values, at) ^ np.uint64(k)))
+    return whole, starts
 
 
 def word_hashes(texts: pa.Array, table: np.ndarray) -> Sequences:
     """A hash for each word of each text."""
+    (hashes,), _, bounds = located_words(texts, table)
+    return Sequences(hashes, bounds)
+
+
+def located_words(
+    texts: pa.Array, table: np.ndarray, prefixes: tuple[int, ...] = ()
+) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Hashes of all words, then those of their first k bytes for falling k in ``prefixes``.
+
+    Also the words' starts in the bytes of ``text_buffer``, and each text's bounds in these arrays.
+    """
     raw, bounds = text_buffer(texts)
     found, at, begin = [], [], 0
     while begin < len(raw):
@@ -134,13 +153,14 @@ def word_hashes(texts: pa.Array, table: np.ndarray) -> Sequences:
                     break
                 end = min(end + PIECE, len(raw))
         first, last = np.searchsorted(bounds, [begin, end])
-        hashes, starts = _piece_words(table[raw[begin:end]], np.unique(bounds[first:last]) - begin)
+        hashes, starts = _piece_words(table[raw[begin:end]], np.unique(bounds[first:last]) - begin, prefixes)
         found.append(hashes)
         at.append(starts + begin)
         begin = end
     if not found:
-        return Sequences(np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64))
-    return Sequences(np.concatenate(found), np.searchsorted(np.concatenate(at), bounds))
+        found, at = [[np.zeros(0, np.uint64)] * (1 + len(prefixes))], [np.zeros(0, np.int64)]
+    starts = np.concatenate(at)
+    return [np.concatenate(x) for x in zip(*found, strict=True)], starts, np.searchsorted(starts, bounds)
 
 
 def shingles(words: Sequences, width: int) -> Sequences:
