@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from paceline.llm.decontamination import contaminated
 from paceline.llm.exact_dedup import exact_dedup
+from paceline.llm.jaccard_join import similarity_groups
 from paceline.llm.packing import pack_documents
 from paceline.llm.sharding import shard_documents
 from paceline.llm.toxicity import toxicity
@@ -27,6 +28,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity_groups(_table(spark, sf_dir, "documents"), width=3, threshold=0.9)
+
+
 def public_tokenizer() -> tuple[str, str, str]:
     """Vocabulary file, rank file and pattern of the byte-level BPE that packing counts in."""
     import public_tokenizers
@@ -49,6 +54,7 @@ def op9_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op8_differencing_packing": op8_differencing_packing,
     "op9_rendezvous_sharding": op9_rendezvous_sharding,
     "op10_sentence_toxicity": op10_sentence_toxicity,
