@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from paceline.llm.decontamination import contaminated
 from paceline.llm.exact_dedup import exact_dedup
 from paceline.llm.jaccard_join import similarity_groups
+from paceline.llm.license_scan import license_matches, template_table
 from paceline.llm.packing import pack_documents
+from paceline.llm.secret_scan import secret_scan
 from paceline.llm.sharding import shard_documents
+from paceline.llm.tool_calls import TURN_TOOLS, calls_of_turns, formatted, linked_calls
 from paceline.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +23,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(_table(spark, sf_dir, "documents"))
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -32,6 +39,15 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity_groups(_table(spark, sf_dir, "documents"), width=3, threshold=0.9)
 
 
+def op5_tool_call_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tools = spark.createDataFrame(TURN_TOOLS, "tool string, schema string")
+    return formatted(linked_calls(*calls_of_turns(_table(spark, sf_dir, "conversations")), tools))
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_matches(_table(spark, sf_dir, "documents"), template_table(spark))
+
+
 def public_tokenizer() -> tuple[str, str, str]:
     """Vocabulary file, rank file and pattern of the byte-level BPE that packing counts in."""
     import public_tokenizers
@@ -52,9 +68,12 @@ def op9_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op5_tool_call_chat": op5_tool_call_chat,
+    "op7_license_scan": op7_license_scan,
     "op8_differencing_packing": op8_differencing_packing,
     "op9_rendezvous_sharding": op9_rendezvous_sharding,
     "op10_sentence_toxicity": op10_sentence_toxicity,
