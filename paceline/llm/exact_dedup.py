@@ -119,14 +119,13 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     gone = verdict.groupBy("doc_id", "text_sha256").agg(
         F.max("kept").alias("_stays"), F.count(F.lit(1)).alias("_copies")
     ).where(~F.col("_stays") | (F.col("_copies") > 1))
-    gone = staged(gone.withColumnRenamed("text_sha256", "_sha").withColumnRenamed("doc_id", "_id"), "dropped")
+    gone = staged(gone.withColumnRenamed("text_sha256", "_gone_sha").withColumnRenamed("doc_id", "_gone_id"), "dropped")
     marked = docs.withColumn("_sha", sha)
-    same = F.col("_sha") == gone["_sha"]
-    left = marked.join(gone, same & F.col(id_col).eqNullSafe(gone["_id"]), "left_anti").drop("_sha")
+    same = (F.col("_sha") == F.col("_gone_sha")) & F.col(id_col).eqNullSafe(F.col("_gone_id"))
+    left = marked.join(gone, same, "left_anti").drop("_sha")
     again = gone.where("_stays")
     if again.isEmpty():
         return left
-    repeated = marked.join(again, (marked["_sha"] == again["_sha"]) & marked[id_col].eqNullSafe(again["_id"]), "left_semi")
     row = F.min(F.struct(*docs.columns)).alias("_row")
-    one = repeated.groupBy(F.col(id_col).alias("_id"), "_sha").agg(row).select("_row.*")
+    one = marked.join(again, same, "left_semi").groupBy(F.col(id_col).alias("_id"), "_sha").agg(row).select("_row.*")
     return left.unionByName(one)

@@ -13,6 +13,7 @@ from paceline.llm.license_scan import license_matches, template_table
 from paceline.llm.packing import pack_documents
 from paceline.llm.secret_scan import secret_scan
 from paceline.llm.sharding import shard_documents
+from paceline.llm.suffix_dedup import repeated_passages
 from paceline.llm.tool_calls import TURN_TOOLS, calls_of_turns, formatted, linked_calls
 from paceline.llm.toxicity import toxicity
 
@@ -44,6 +45,10 @@ def op5_tool_call_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return formatted(linked_calls(*calls_of_turns(_table(spark, sf_dir, "conversations")), tools))
 
 
+def op6_bwt_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_matches(_table(spark, sf_dir, "documents"), template_table(spark))
 
@@ -73,6 +78,7 @@ QUERIES: dict[str, Query] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_tool_call_chat": op5_tool_call_chat,
+    "op6_bwt_passage_dedup": op6_bwt_passage_dedup,
     "op7_license_scan": op7_license_scan,
     "op8_differencing_packing": op8_differencing_packing,
     "op9_rendezvous_sharding": op9_rendezvous_sharding,

@@ -12,7 +12,6 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
@@ -24,10 +23,11 @@ from paceline.session import staged
 FEATURE_BITS = 20
 PREFIXES = (5, 4)
 #: Labelled documents that the classifier is fitted on, at most (the rows of smallest hash).
-TRAIN_DOCS = 12_000
+TRAIN_DOCS = 8_000
 #: A feature enters the model if it is in this many training documents at least.
 MIN_DOCS = 3
 THRESHOLD = 0.3
+SLICE = 3 << 20
 _ENDS = np.zeros(256, bool)
 _ENDS[[ord(c) for c in ".!?\n"]] = True
 
@@ -82,11 +82,13 @@ def noisy_or(logits: np.ndarray, owner: np.ndarray, docs: int) -> np.ndarray:
 
 def screened(bags: Bags, toxic: np.ndarray, least: float) -> np.ndarray:
     """Features that stand out in toxic documents by ``least`` standard deviations of their count there."""
-    mask = (1 << FEATURE_BITS) - 1
-    seen = np.unique((bags.owner[bags.sentence].astype(np.int64) << FEATURE_BITS) | bags.feature)
-    hit = seen & mask
-    counts = np.bincount(hit, minlength=mask + 1)
-    bad = np.bincount(hit, toxic[seen >> FEATURE_BITS] > 0, mask + 1)
+    counts, bad = np.zeros((2, 1 << FEATURE_BITS), np.int32)
+    first = np.searchsorted(bags.sentence, np.searchsorted(bags.owner, np.arange(bags.docs + 1)))
+    for k, (begin, end) in enumerate(zip(first[:-1], first[1:], strict=True)):
+        present = np.unique(bags.feature[begin:end])
+        counts[present] += 1
+        if toxic[k]:
+            bad[present] += 1
     rate = max(float((toxic > 0).mean()), 1e-9) if len(toxic) else 0.0
     spread = np.sqrt(np.maximum(counts * rate * (1 - rate), 1e-12))
     return np.flatnonzero((counts >= MIN_DOCS) & (bad - counts * rate >= least * spread))
@@ -103,10 +105,10 @@ def fit(
     of toxic documents everywhere.
     """
     used = screened(bags, toxic, screen)
-    place = np.full(1 << FEATURE_BITS, -1)
+    place = np.full(1 << FEATURE_BITS, -1, np.int32)
     place[used] = np.arange(len(used))
-    keep = place[bags.feature] >= 0
-    at, inside, owner = place[bags.feature[keep]], bags.sentence[keep], bags.owner
+    kept = np.flatnonzero(place[bags.feature] >= 0)
+    at, inside, owner = place[bags.feature[kept]], bags.sentence[kept], bags.owner
     n, y = max(len(toxic), 1), toxic.astype(bool)
     theta = np.zeros(len(used) + 1)
     theta[-1] = -4.0
@@ -152,7 +154,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Model:
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in W.slices(batch, "text"):
+            for part in W.slices(batch, "text", SLICE):
                 bags = sentences(part.column("text"))
                 per_doc = np.searchsorted(bags.owner, np.arange(bags.docs + 1))
                 cut = np.searchsorted(bags.sentence, per_doc)
@@ -162,24 +164,24 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Model:
                 ]
                 yield pa.RecordBatch.from_arrays([part.column("toxic"), *lists], ["toxic", "feature", "sentence"])
 
-    def steps(rows: pd.DataFrame) -> pd.DataFrame:
-        feature, inside, owner, base = [], [], [], 0
-        for k, (f, s) in enumerate(zip(rows["feature"], rows["sentence"], strict=True)):
-            if len(s):
-                _, local = np.unique(s, return_inverse=True)
-                feature.append(np.asarray(f, np.int32))
-                inside.append(local + base)
-                count = int(local.max()) + 1
-                owner.append(np.full(count, k))
-                base += count
-        if not feature:
-            return pd.DataFrame({"weights": [], "bias": []})
-        bags = Bags(np.concatenate(feature), np.concatenate(inside), np.concatenate(owner), np.zeros(base), len(rows))
-        model = fit(bags, rows["toxic"].to_numpy())
-        return pd.DataFrame({"weights": [model.weights.tobytes()], "bias": [model.bias]})
+    def steps(rows: pa.Table) -> pa.Table:
+        lists = [rows.column(c).combine_chunks() for c in ("feature", "sentence")]
+        feature, inside = (x.flatten().to_numpy() for x in lists)
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists[0]).to_numpy())])
+        some = np.flatnonzero(np.diff(ends))
+        if not len(some):
+            return pa.table({"weights": pa.array([], pa.binary()), "bias": pa.array([], pa.float64())})
+        # A document's sentences are numbered on from where its slice began: number them from 0 over all.
+        first, counts = inside[ends[some]], np.zeros(rows.num_rows, np.int64)
+        counts[some] = inside[ends[some + 1] - 1] - first + 1
+        base = np.cumsum(counts) - counts
+        inside = inside + np.repeat((base[some] - first).astype(np.int32), np.diff(ends)[some])
+        bags = Bags(feature, inside, np.repeat(np.arange(rows.num_rows), counts), np.zeros(0), rows.num_rows)
+        model = fit(bags, rows.column("toxic").to_numpy())
+        return pa.table({"weights": pa.array([model.weights.tobytes()], pa.binary()), "bias": [model.bias]})
 
     rows = training_rows(docs, labels, most).mapInArrow(features, "toxic int, feature array<int>, sentence array<int>")
-    got = rows.withColumn("fold", F.lit("all")).groupBy("fold").applyInPandas(steps, "weights binary, bias double").collect()
+    got = rows.withColumn("fold", F.lit("all")).groupBy("fold").applyInArrow(steps, "weights binary, bias double").collect()
     if not got:
         return Model(np.zeros(1 << FEATURE_BITS, np.float32), -np.inf)
     return Model(np.frombuffer(got[0].weights, np.float32), got[0].bias)
@@ -198,7 +200,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD, id_col: s
         mine = Model(np.frombuffer(shared.value[0], np.float32), shared.value[1])
         kind = pa.list_(pa.struct([("begin", pa.int64()), ("probability", pa.float64())]))
         for batch in batches:
-            for part in W.slices(batch, "text"):
+            for part in W.slices(batch, "text", SLICE):
                 bags = sentences(part.column("text"))
                 logits = sentence_logits(bags, mine)
                 total = noisy_or(logits, bags.owner, bags.docs)
@@ -244,7 +246,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Da
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = Model(np.frombuffer(shared.value[0], np.float32), shared.value[1])
         for batch in batches:
-            for part in W.slices(batch, "text"):
+            for part in W.slices(batch, "text", SLICE):
                 bags = sentences(part.column("text"))
                 total = noisy_or(sentence_logits(bags, mine), bags.owner, bags.docs)
                 yield part.filter(pa.array(total < THRESHOLD))
