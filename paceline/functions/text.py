@@ -20,8 +20,8 @@ def half_width(col: Column) -> Column:
 
 
 def clean_text(col: Column) -> Column:
-    """Trim, full-width to half-width; blank and the word ``null`` become NULL."""
-    trimmed = half_width(F.trim(col))
+    """Full-width to half-width, then trim; blank and the word ``null`` become NULL."""
+    trimmed = F.trim(half_width(col))
     return F.when((col == "null") | (trimmed == ""), None).otherwise(trimmed)
 
 

@@ -7,8 +7,6 @@ MARKET = RACE + ["bet_type"]
 COMBO = RACE + ["bet_type", "kumi_ban"]
 
 # Fixed values of the domain.
-# A car number is one digit, so a deduplicated race holds at most nine runners.
-MAX_CARS = 9
 BET_TYPES = ["WH2", "WT2", "SH2", "ST2", "RH3", "RT3", "W"]
 ORDERED_BETS = ["ST2", "WT2", "RT3"]
 CAPTURE_OFFSETS = [5.0, 3.0, 2.0, 1.0, 0.5]

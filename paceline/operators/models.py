@@ -39,30 +39,34 @@ def anchor_frame(model: DataFrame, results: DataFrame, market: DataFrame) -> Dat
 
 
 def race_rows(frame: DataFrame) -> DataFrame:
-    """One row per race with its (at most nine) cars as an array: later passes need no shuffle."""
+    """One row per race with its cars as an array: later passes need no shuffle."""
     log = lambda c: F.ln(clip(F.col(c), 1e-9, 1.0))
     car = F.struct(log("mkt_win").alias("q"), log("p_win").alias("m"), F.col("win").cast("double").alias("y"))
     return frame.groupBy(*RACE).agg(F.collect_list(car).alias("cars"))
 
 
 def _sums(a: Column, b: Column) -> Column:
-    """Σe and its first and second moments, and the winner's logs, of one race."""
+    """Σe and its first and second moments, and the winner's logs, of one race.
+
+    The exponents are taken below the race's largest one (``top``), so that no sum underflows.
+    """
+    top = F.array_max(F.transform("cars", lambda x: a * x["q"] + b * x["m"]))
     names = ["s", "sq", "sm", "sqq", "sqm", "smm", "wq", "wm"]
     zero = F.struct(*[F.lit(0.0).alias(n) for n in names])
 
     def add(acc: Column, x: Column) -> Column:
         q, m = x["q"], x["m"]
-        e = F.exp(a * q + b * m)
+        e = F.exp(a * q + b * m - top)
         step = [e, e * q, e * m, e * q * q, e * q * m, e * m * m, x["y"] * q, x["y"] * m]
         return F.struct(*[(acc[n] + v).alias(n) for n, v in zip(names, step)])
 
-    return F.aggregate("cars", zero, add)
+    return F.aggregate("cars", zero, add, lambda acc: F.struct(*[acc[n].alias(n) for n in names], top.alias("top")))
 
 
 def race_nll(a: Column, b: Column) -> Column:
     """−ln p(winner) of one race row."""
     t = _sums(a, b)
-    return F.ln(t["s"]) - a * t["wq"] - b * t["wm"]
+    return F.ln(t["s"]) + t["top"] - a * t["wq"] - b * t["wm"]
 
 
 def cond_logit_nll(races: DataFrame, a: float, b: float) -> DataFrame:
@@ -77,7 +81,7 @@ def _derivatives(races: DataFrame, a: Column, b: Column, by: Sequence[str]) -> D
     total = lambda x: F.sum(w * x) / F.sum(w)
     return races.withColumn("_t", _sums(a, b)).groupBy(*by).agg(
         F.sum(w).alias("n"),
-        total(F.ln(t["s"]) - a * t["wq"] - b * t["wm"]).alias("nll"),
+        total(F.ln(t["s"]) + t["top"] - a * t["wq"] - b * t["wm"]).alias("nll"),
         total(mq - t["wq"]).alias("ga"), total(mm - t["wm"]).alias("gb"),
         total(t["sqq"] / t["s"] - mq * mq).alias("haa"), total(t["sqm"] / t["s"] - mq * mm).alias("hab"),
         total(t["smm"] / t["s"] - mm * mm).alias("hbb"))
@@ -99,6 +103,7 @@ class Fit:
     b: float
     nll: float
     n: float
+    converged: bool = True
 
 
 def fit_cond_logit(races: DataFrame, with_model: bool = True, max_iter: int = 25, tol: float = 1e-9) -> dict[str, Fit]:
@@ -137,14 +142,14 @@ def fit_cond_logit(races: DataFrame, with_model: bool = True, max_iter: int = 25
                 state[r["fit"]] = new
             last[r["fit"]] = r
     for n, v in state.items():
-        done[n] = Fit(float(v[0]), float(v[1]), last[n]["nll"], last[n]["n"])
+        done[n] = Fit(float(v[0]), float(v[1]), last[n]["nll"], last[n]["n"], False)
     return done
 
 
 def cond_logit_fit(races: DataFrame, with_model: bool = True) -> DataFrame:
     rows = staged(races, "races").withColumns({"fit": F.lit("all"), "w": F.lit(1.0)})
     f = fit_cond_logit(rows, with_model)
-    return races.sparkSession.createDataFrame([(v.a, v.b, v.nll, int(v.n)) for v in f.values()], "a double, b double, nll double, n_races long")
+    return races.sparkSession.createDataFrame([(v.a, v.b, v.nll, int(v.n), v.converged) for v in f.values()], "a double, b double, nll double, n_races long, converged boolean")
 
 
 def _bootstrap_rows(races: DataFrame, replicates: int, seed: str) -> DataFrame:
@@ -289,14 +294,14 @@ def model_input(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str
 def train_targets(
     df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], rounds: int = 800, depth: int = 6, rate: float = 0.05
 ) -> dict[str, PipelineModel]:
-    """Three boosted classifiers and one L1 regressor; the last tenth of the dates stops the rounds early."""
+    """Three boosted classifiers and one L1 regressor; a round that makes the last tenth of the dates worse ends the boosting."""
     rows = ranks.cum_tail_split(model_input(df, numeric, categorical), 0.9).withColumn("_valid", F.col("part") == "valid")
     need = [c for c in rows.columns if c[:3] in ("_n_", "_m_", "_c_")]
     rows = staged(rows.select(*need, "_valid", *CLF_TARGETS, "y_rank"), "train")
     prep = Pipeline(stages=feature_stages(numeric, categorical)).fit(rows)
     ready = prep.transform(rows).select("features", "_valid", *[F.col(c).cast("double").alias(c) for c in [*CLF_TARGETS, "y_rank"]])
     shared = {"featuresCol": "features", "maxIter": rounds, "maxDepth": depth, "stepSize": rate, "maxBins": 64, "seed": 7,
-              "subsamplingRate": 0.85, "minInstancesPerNode": 100, "validationIndicatorCol": "_valid"}
+              "subsamplingRate": 0.85, "minInstancesPerNode": 100, "validationIndicatorCol": "_valid", "validationTol": 0.0}
     models = {}
     for y in CLF_TARGETS:
         models[y] = PipelineModel(stages=[*prep.stages, GBTClassifier(labelCol=y, **shared).fit(ready)])

@@ -25,7 +25,7 @@ _BET_OF = {"W1": "W", "W2": "W", "W3": "W"}
 
 
 def by_score(score: str) -> Column:
-    """Cars of a race, best score first, car number on ties: at most nine per race."""
+    """Cars of a race, best score first, car number on ties."""
     best = F.sort_array(F.collect_list(F.struct((-F.col(score)).alias("s"), F.col("car_no").alias("c"))))
     return best.alias(f"_{score}")
 

@@ -1,7 +1,7 @@
 """Ranks, gaps and moments within a race, and ordered splits of the race table.
 
 The race windows run on frames with one row per (race, car); car numbers are single digits, so a
-partition holds at most nine rows. Splits over all races go through ``ordered.running``.
+partition holds the runners of one race. Splits over all races go through ``ordered.running``.
 """
 
 from __future__ import annotations

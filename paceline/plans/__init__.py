@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import importlib
-import importlib.util
 from types import SimpleNamespace
 
-_FAMILIES = ["tables", "windows", "joins", "aggregates", "scalars", "features", "market", "picks", "statistics",
+_FAMILIES = ["tables", "windows", "joins", "scalars", "features", "market", "picks", "statistics",
              "models", "quality", "gates", "raw", "streams"]
 
 
@@ -15,6 +14,5 @@ def load() -> SimpleNamespace:
     from paceline.plans import registry
 
     for name in _FAMILIES:
-        if importlib.util.find_spec(f"paceline.plans.{name}"):
-            importlib.import_module(f"paceline.plans.{name}")
+        importlib.import_module(f"paceline.plans.{name}")
     return SimpleNamespace(queries=registry.QUERIES, oracles=registry.ORACLES)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from paceline.functions.regions import PREFECTURES
 from paceline.functions.rows import inline_rows
 from paceline.functions.numeric import settle
-from paceline.keys import CAPTURE_OFFSETS, CAR, MAX_CARS, RACE, VENUE_DAY
+from paceline.keys import CAPTURE_OFFSETS, CAR, RACE, VENUE_DAY
 from paceline.operators.combos import harville_pairs
 from paceline.operators.dedup import newest_per_key
 from paceline.session import scratch_path
@@ -78,9 +78,8 @@ def meta(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_lines(spark: SparkSession, sf: str, feed: DataFrame | None = None) -> DataFrame:
-    """Line items (the table, or a stream of it) with the race key; cars outside 1..9 are no runners."""
-    lines = table(spark, sf, "lineitem") if feed is None else feed
-    li = lines.where(F.col("l_linenumber").between(1, MAX_CARS))
+    """Line items (the table, or a stream of it) with the race key."""
+    li = table(spark, sf, "lineitem") if feed is None else feed
     return li.withColumnRenamed("l_orderkey", "race_no").join(race_keys(spark, sf), "race_no")
 
 
@@ -89,7 +88,7 @@ LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedp
 
 
 def latest_lines(spark: SparkSession, sf: str) -> DataFrame:
-    li = table(spark, sf, "lineitem").where(F.col("l_linenumber").between(1, MAX_CARS))
+    li = table(spark, sf, "lineitem")
     return newest_per_key(li, ["l_orderkey", "l_linenumber"], [F.col(c) for c in LINE_ORDER], LINE_ORDER)
 
 

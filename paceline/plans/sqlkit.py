@@ -17,9 +17,8 @@ CTES: dict[str, str] = {
     "meta": """SELECT race_date, place_code, min(segment) AS grade,
       CASE WHEN bool_or(priority = '1-URGENT' AND status = 'P') THEN 'True' ELSE 'False' END AS is_canceled
       FROM races GROUP BY 1, 2""",
-    "raw_lines": """SELECT race_date, place_code, race_no, lineitem.* FROM lineitem JOIN races ON l_orderkey = race_no
-      WHERE l_linenumber BETWEEN 1 AND 9""",
-    "latest_lines": """SELECT * FROM lineitem WHERE l_linenumber BETWEEN 1 AND 9
+    "raw_lines": """SELECT race_date, place_code, race_no, lineitem.* FROM lineitem JOIN races ON l_orderkey = race_no""",
+    "latest_lines": """SELECT * FROM lineitem
       QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC,
         l_suppkey DESC, l_quantity DESC, l_extendedprice DESC, l_discount DESC, l_tax DESC, l_returnflag DESC,
         l_linestatus DESC) = 1""",

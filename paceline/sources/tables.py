@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, functions as F
 
 from paceline.functions.moments import month_of
 from paceline.keys import RACE
+from paceline.operators.dedup import first_per_key
 from paceline.schemas import schema_for
 
 MONTH = "race_month"
@@ -51,13 +53,18 @@ def append_rows(df: DataFrame, root: str, name: str, fmt: str = "csv") -> None:
 def append_snapshots(df: DataFrame, store: str, batch: str) -> None:
     """Add price snapshots to the monthly store under their own batch.
 
-    A batch overwrites only its own partitions, so a retried or repeated load changes nothing, and
-    a late file is one more batch.
+    A batch has a folder of its own with its months inside and is replaced as a whole: a repeated load
+    changes nothing, a corrected one leaves no rows of months it no longer has, and a late file is one
+    more batch.
     """
-    rows = conform(df, "race_odds_prerace").withColumn(MONTH, month_of(F.col("race_date"))).withColumn("batch", F.lit(batch))
+    rows = conform(df, "race_odds_prerace").withColumn(MONTH, month_of(F.col("race_date")))
     # Rebalancing by month keeps the files of a month few; a month above the advisory size is split.
-    rows.hint("rebalance", F.col(MONTH)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        MONTH, "batch").parquet(store)
+    _replace(rows.hint("rebalance", F.col(MONTH)).write.partitionBy(MONTH), store, batch)
+
+
+def _replace(writer: DataFrameWriter, root: str, batch: str) -> None:
+    """Write the whole of one batch, in place of what it had."""
+    writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{root}/batch={quote(batch, safe='')}")
 
 
 def scan_partitions(
@@ -107,15 +114,15 @@ def partition_migrate(legacy: DataFrame, store: str, quarantine: str, batch: str
     spark = legacy.sparkSession
     dated = legacy.withColumn("_day", F.col("race_date").cast("string").try_cast("date"))
     good = dated.where(F.col("_day").isNotNull()).withColumn("race_date", F.col("_day")).drop("_day")
-    bad = dated.where(F.col("_day").isNull()).drop("_day").withColumn("batch", F.lit(batch))
+    bad = dated.where(F.col("_day").isNull()).drop("_day")
     append_snapshots(good, store, batch)
-    bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(quarantine)
+    _replace(bad.write, quarantine, batch)
     month = F.coalesce(month_of(F.col("_day")), F.lit("bad"))
     before = dated.groupBy(month.alias("month")).agg(F.count(F.lit(1)).alias("n_in"))
     mine = F.col("batch") == batch
     schema = schema_for("race_odds_prerace").add(MONTH, "string").add("batch", "string")
     after = _read(spark, store, "parquet", schema).where(mine).groupBy(F.col(MONTH).alias("month")).agg(F.count(F.lit(1)).alias("n_out"))
-    kept = _read(spark, quarantine, "parquet", bad.schema).where(mine).groupBy(F.lit("bad").alias("month")).agg(F.count(F.lit(1)).alias("n_out"))
+    kept = _read(spark, quarantine, "parquet", bad.withColumn("batch", F.lit(batch)).schema).where(mine).groupBy(F.lit("bad").alias("month")).agg(F.count(F.lit(1)).alias("n_out"))
     out = before.join(after.unionByName(kept), "month", "full").fillna(0, ["n_in", "n_out"])
     return out.withColumn("agrees", F.col("n_in") == F.col("n_out"))
 
@@ -154,8 +161,12 @@ def append_history(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def keyed_insert(ledger: DataFrame, rows: DataFrame, keys: Sequence[str], reasons: Sequence[str]) -> DataFrame:
-    """Add rows whose key is new and whose reason is allowed; a NULL key part equals a NULL."""
-    allowed = rows.where(F.col("reason").isin(*reasons)).dropDuplicates(list(keys))
+    """Add rows whose key is new and whose reason is allowed; a NULL key part equals a NULL.
+
+    Of several allowed reasons for a key the one named first in ``reasons`` is kept.
+    """
+    rank = F.array_position(F.array(*[F.lit(r) for r in reasons]), F.col("reason"))
+    allowed = first_per_key(rows.where(F.col("reason").isin(*reasons)), list(keys), [rank])
     a, z = allowed.alias("a"), ledger.select(*keys).distinct().alias("z")
     same = F.lit(True)
     for k in keys:

@@ -170,3 +170,29 @@ def test_report_window_and_status_counts(frame):
     log = frame("target_offset_min string, status string", [("5.0", "ok"), (None, "fail"), ("0.5", "ok")])
     got = {r["target_offset_min"]: (r["n_ok"], r["n_fail"]) for r in ag.status_counts(log).collect()}
     assert got == {5.0: (1, 1), 0.5: (1, 0)}
+
+
+def test_keyed_insert_keeps_the_reason_named_first(spark):
+    from paceline.sources.tables import keyed_insert
+
+    schema = "k int, reason string"
+    rows = spark.createDataFrame([(1, "late"), (1, "void"), (2, "late"), (3, "other"), (None, "late"), (None, "void")], schema)
+    got = keyed_insert(spark.createDataFrame([(2, "void")], schema), rows, ["k"], ["void", "late"])
+    assert sorted(((r.k, r.reason) for r in got.collect()), key=str) == [(1, "void"), (2, "void"), (None, "void")]
+
+
+def test_clean_text_strips_wide_padding(spark):
+    from paceline.functions.text import clean_text
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([("　青森　",), ("　",), (" null",), ("null",), ("Ａ　Ｂ",), (None,)], "t string")
+    assert [r.c for r in df.select(clean_text(F.col("t")).alias("c")).collect()] == ["青森", None, "null", None, "A B", None]
+
+
+def test_race_losses_do_not_underflow(spark):
+    from paceline.operators.models import race_nll
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([([(-2000.0, 0.0, 1.0), (-2001.0, 0.0, 0.0)],)], "cars array<struct<q double, m double, y double>>")
+    got = df.select(race_nll(F.lit(1.0), F.lit(0.0)).alias("l")).first().l
+    assert abs(got - 0.3132616875) < 1e-9

@@ -113,3 +113,26 @@ def test_fill_missing_scores(frame):
     fresh = frame(schema, [(d, 1, 1, 0.9) for d in ("2026-09-01", "2026-09-20", "2026-10-01", "2026-10-02")])
     out = {(str(r["race_date"]), r["p_win"]) for r in tb.fill_missing(fresh, old, "2026-09-13", "2026-10-02").collect()}
     assert out == {("2026-10-01", 0.1), ("2026-09-20", 0.9)}
+
+
+def test_a_corrected_batch_leaves_no_stale_month(spark, tmp_path):
+    schema = "race_date string, place_code int, race_no int, bet_type string, kumi_ban string, odds double"
+    rows = [("1999-05-03", 1, 1, "W", "1=2", 2.0), ("1999-06-03", 1, 2, "W", "1=2", 3.0)]
+    frame = lambda part: spark.createDataFrame(part, schema)
+    store = str(tmp_path / "store")
+    tb.append_snapshots(frame(rows), store, "b1")
+    tb.append_snapshots(frame(rows[:1]), store, "b/2")
+    tb.append_snapshots(frame(rows[1:]), store, "b1")
+    got = sorted((str(r.race_date), r.race_no) for r in tb.scan_partitions(spark, store).collect())
+    assert got == [("1999-05-03", 1), ("1999-06-03", 2)]
+    assert [r.race_no for r in tb.scan_partitions(spark, store, "1999-06-01", "1999-06-30").collect()] == [2]
+
+
+def test_a_corrected_quarantine_is_emptied(spark, tmp_path):
+    schema = "race_date string, place_code int, race_no int, bet_type string, kumi_ban string, odds double"
+    store, side = str(tmp_path / "store"), str(tmp_path / "side")
+    bad = spark.createDataFrame([("never", 1, 1, "W", "1=2", 2.0), ("1999-06-03", 1, 2, "W", "1=2", 3.0)], schema)
+    first = {r.month: (r.n_in, r.n_out) for r in tb.partition_migrate(bad, store, side, "b").collect()}
+    assert first == {"bad": (1, 1), "1999-06": (1, 1)}
+    again = {r.month: (r.n_in, r.n_out) for r in tb.partition_migrate(bad.where("race_no = 2"), store, side, "b").collect()}
+    assert again == {"1999-06": (1, 1)}
