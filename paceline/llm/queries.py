@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from paceline.llm.decontamination import contaminated
 from paceline.llm.exact_dedup import exact_dedup
 from paceline.llm.jaccard_join import similarity_groups
-from paceline.llm.license_scan import license_matches, template_table
+from paceline.llm.license_scan import TEMPLATES, license_matches, template_table
 from paceline.llm.packing import pack_documents
 from paceline.llm.secret_scan import secret_scan
 from paceline.llm.sharding import shard_documents
@@ -33,11 +33,11 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(_table(spark, sf_dir, "documents"))
+    return exact_dedup(_table(spark, sf_dir, "documents")).drop("bucket", "chain")
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similarity_groups(_table(spark, sf_dir, "documents"), width=3, threshold=0.9)
+    return similarity_groups(_table(spark, sf_dir, "documents"), width=3, threshold=0.9).drop("class_id")
 
 
 def op5_tool_call_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,4 +87,60 @@ QUERIES: dict[str, Query] = {
 
 _FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
-ORACLES: dict[str, str] = {}
+
+def _shingle_sql(words: str, width: int) -> str:
+    """The word runs of a list column; a shorter list gives all of its words as one."""
+    runs = f"list_transform(range(1, len({words}) - {width - 2}), lambda i: array_to_string({words}[i:i + {width - 1}], ' '))"
+    return f"CASE WHEN len({words}) = 0 THEN [] WHEN len({words}) < {width} THEN [array_to_string({words}, ' ')] ELSE {runs} END"
+
+
+def _decontamination_sql() -> str:
+    words = r"regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9\x{80}-\x{10FFFF}]+')"
+    return f"""
+WITH dw AS (SELECT doc_id, {words} AS w FROM documents), iw AS (SELECT item_id, {words} AS w FROM benchmark),
+d AS (SELECT DISTINCT doc_id, unnest({_shingle_sql("w", 5)}) AS s FROM dw), i AS (SELECT DISTINCT item_id, unnest({_shingle_sql("w", 5)}) AS s FROM iw),
+q AS (SELECT item_id, count(*) AS item_shingles FROM i GROUP BY 1),
+n AS (SELECT doc_id, item_id, count(*) AS shared FROM d JOIN i USING (s) GROUP BY 1, 2)
+SELECT doc_id, item_id, item_shingles, shared, shared / item_shingles AS containment FROM n JOIN q USING (item_id)
+WHERE 5 * shared >= 4 * item_shingles"""
+
+
+def _jaccard_sql() -> str:
+    words = rf"regexp_extract_all({_FOLDED}, '[^\x20\x09-\x0D]+')"
+    return f"""
+WITH RECURSIVE w AS (SELECT doc_id, {words} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest({_shingle_sql("w", 3)}) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * c >= 90 * (x.n + y.n - c)),
+reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT reach.doc_id, b FROM reach JOIN links ON a = other)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(other) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) JOIN reach USING (doc_id) GROUP BY 1, 2"""
+
+
+def _license_sql() -> str:
+    rows = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in TEMPLATES)
+    norm = lambda c: f"trim(regexp_replace(lower({c}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+    pairs = "list_distinct(list_transform(range(1, len(w)), lambda i: concat(w[i], ' ', w[i + 1])))"
+    return f"""
+WITH t AS (SELECT license, string_split({norm("body")}, ' ') AS w FROM (VALUES {rows}) v(license, body)),
+tg AS (SELECT license, {pairs} AS g FROM t),
+lines AS (SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+units AS (SELECT doc_id, 0 AS unit, text AS raw FROM lines WHERE len(l) > 1
+  UNION ALL SELECT doc_id, unnest(range(1, len(l) + 1)) AS unit, unnest(l) AS raw FROM lines),
+uw AS (SELECT doc_id, unit, string_split({norm("raw")}, ' ') AS w FROM units),
+ug AS (SELECT doc_id, unit, {pairs} AS g FROM uw WHERE len(w) > 1),
+m AS (SELECT doc_id, unit, license, len(ug.g) AS a, 2 * len(list_intersect(ug.g, tg.g)) / (len(ug.g) + len(tg.g)) AS dice FROM ug, tg
+  WHERE len(ug.g) <= 1.5 * len(tg.g) AND len(tg.g) <= 1.5 * len(ug.g))
+SELECT doc_id, CAST(unit AS INT) AS unit, license, max(dice) AS dice, CAST(max(a) AS INT) AS n_bigrams FROM m WHERE dice >= 0.8 GROUP BY 1, 2, 3"""
+
+
+#: Training, hashing of placements, tokenising and byte runs have no SQL form; tests hold them against brute force.
+ORACLES: dict[str, str] = {
+    "op2_benchmark_decontamination": _decontamination_sql(),
+    "op3_exact_dedup": f"""
+WITH d AS (SELECT doc_id, {_FOLDED} AS t FROM documents), g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY 1)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM d JOIN g USING (t)""",
+    "op4_ngram_jaccard_join": _jaccard_sql(),
+    "op7_license_scan": _license_sql(),
+}
