@@ -37,7 +37,10 @@ def gate_timing(entries: DataFrame, log: DataFrame, wedges: DataFrame, missing:
     of the last 14 days.
     """
     weeks = F.col("week").between(0, GATE_WEEKS - 1)
-    in_weeks = lambda df: df.withColumn("week", week_before(end)).where(weeks)
+    # The plain date range reaches the scan, where the number of a week could not.
+    last = F.lit(end).cast("date")
+    days = F.col("race_date").between(F.date_sub(last, 7 * GATE_WEEKS - 1), last)
+    in_weeks = lambda df: df.where(days).withColumn("week", week_before(end)).where(weeks)
     key = ["target_offset_min", "week"]
     planned = in_weeks(entries).groupBy("week").agg(F.countDistinct(*RACE).alias("planned"))
     logged = in_weeks(log)
@@ -52,7 +55,8 @@ def gate_timing(entries: DataFrame, log: DataFrame, wedges: DataFrame, missing:
     medians = distribution(measured, [*key, "bet_type"], value, {"median": 0.5}, [share(F.abs(F.col("v")) > 0.10).alias("share10"), n_values().alias("n")])
     p90 = distribution(measured, [*key, "bet_type"], F.abs(value), {"p90": 0.90})
 
-    spine = log.select("target_offset_min").distinct().withColumn("week", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(GATE_WEEKS - 1).cast("long"))))
+    # Offsets in use in these weeks; one retired earlier is not judged.
+    spine = logged.select("target_offset_min").distinct().withColumn("week", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(GATE_WEEKS - 1).cast("long"))))
     rows = spine.join(planned, "week", "left").join(caught, key, "left").join(lag, key, "left").join(settled, key, "left")
     zero = lambda c: F.coalesce(c, F.lit(0))
     lag_null = F.coalesce("lag_null", F.lit(1.0))

@@ -22,7 +22,8 @@ GATE = {
     **WEDGE, **COMPLETION,
     "w4": f"SELECT *, CAST(floor(datediff('day', race_date, DATE '{END}') / 7) AS BIGINT) AS week FROM wedges WHERE bet_type IN ('SH2', 'ST2', 'RH3', 'RT3')",
     "l4": f"SELECT *, CAST(floor(datediff('day', race_date, DATE '{END}') / 7) AS BIGINT) AS week FROM capture_log WHERE status = 'ok'",
-    "spine": "SELECT * FROM (SELECT DISTINCT target_offset_min FROM capture_log), (SELECT unnest(range(4)) AS week)",
+    "spine": f"""SELECT * FROM (SELECT DISTINCT target_offset_min FROM capture_log WHERE race_date BETWEEN DATE '{END}' - 27 AND DATE '{END}'),
+      (SELECT unnest(range(4)) AS week)""",
     "shared": f"""SELECT s.target_offset_min, bool_and(coalesce(settled, 0) >= {MIN_SETTLED} AND coalesce(coalesce(ok_races, 0) / planned, 0) >= 0.98
         AND coalesce(post_start, 0) = 0 AND coalesce(lag_null, 1) <= 0.5 AND coalesce(lag_p95, 1e9) <= 10) AS shared_pass,
         CAST(sum(coalesce(settled, 0)) AS BIGINT) AS settled FROM spine s

@@ -118,10 +118,16 @@ def split_late(log: DataFrame, main: str, late: str) -> DataStreamWriter:
 
 
 def reschedule(planned: DataFrame, program: DataFrame) -> DataFrame:
-    """Planned captures against the latest program: moved races get a new time, removed ones are dropped."""
-    latest = program.select(*RACE, F.col("start_dt").alias("new_start"))
+    """Planned captures against the latest program: moved races get a new time, removed and run ones are dropped.
+
+    A race that is in the program without a start keeps its old one. A program column ``has_result``,
+    where there is one, marks races that have been run.
+    """
+    run = F.coalesce(F.col("has_result"), F.lit(False)) if "has_result" in program.columns else F.lit(False)
+    latest = program.select(*RACE, F.col("start_dt").alias("new_start"), (~run).alias("_open"))
     out = planned.join(latest, RACE, "left")
-    action = (
-        F.when(F.col("new_start").isNull(), "dropped").when(F.col("new_start") != F.col("start_dt"), "moved").otherwise("kept")
-    )
-    return out.withColumns({"action": action, "due": minus_minutes(F.col("new_start"), F.col("target_offset_min"))})
+    still = F.coalesce("_open", F.lit(False))
+    start = F.when(still, F.coalesce("new_start", "start_dt"))
+    action = F.when(~still, "dropped").when(start != F.col("start_dt"), "moved").otherwise("kept")
+    out = out.withColumn("new_start", start).withColumns({"action": action, "due": minus_minutes(start, F.col("target_offset_min"))})
+    return out.drop("_open")

@@ -196,3 +196,16 @@ def test_race_losses_do_not_underflow(spark):
     df = spark.createDataFrame([([(-2000.0, 0.0, 1.0), (-2001.0, 0.0, 0.0)],)], "cars array<struct<q double, m double, y double>>")
     got = df.select(race_nll(F.lit(1.0), F.lit(0.0)).alias("l")).first().l
     assert abs(got - 0.3132616875) < 1e-9
+
+
+def test_reschedule_keeps_blank_starts_and_drops_run_races(frame):
+    from paceline.streaming import capture as cs
+
+    key = "race_date date, place_code int, race_no int"
+    planned = frame(f"{key}, target_offset_min double, start_dt string", [("2024-01-01", 1, n, 5.0, "2024-01-01 10:00:00") for n in (1, 2, 3, 4)])
+    planned = planned.withColumn("start_dt", planned.start_dt.cast("timestamp"))
+    program = frame(f"{key}, start_dt string, has_result boolean", [
+        ("2024-01-01", 1, 1, None, None), ("2024-01-01", 1, 2, "2024-01-01 10:00:00", True), ("2024-01-01", 1, 3, "2024-01-01 10:30:00", False)])
+    program = program.withColumn("start_dt", program.start_dt.cast("timestamp"))
+    got = {r.race_no: (r.action, str(r.due)) for r in cs.reschedule(planned, program).collect()}
+    assert got == {1: ("kept", "2024-01-01 09:55:00"), 2: ("dropped", "None"), 3: ("moved", "2024-01-01 10:25:00"), 4: ("dropped", "None")}
