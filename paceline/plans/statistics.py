@@ -13,7 +13,7 @@ from paceline.plans.picks import GRID, PAIRS, bets, duel
 from paceline.plans.registry import query
 
 R = "race_date, place_code, race_no"
-REPLICATES = 200
+REPLICATES = 2000
 SCORED = {
     "scored": """SELECT p.*, coalesce(tyaku = 1, false)::INT AS y_win, coalesce(tyaku BETWEEN 1 AND 2, false)::INT AS y_top2,
       coalesce(tyaku BETWEEN 1 AND 3, false)::INT AS y_top3, coalesce(tyaku, 8) AS y_rank
