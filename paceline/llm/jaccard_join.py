@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from paceline.llm import words as W
 from paceline.llm.components import components
@@ -29,8 +29,8 @@ from paceline.session import staged
 #: Cells of the frequency table behind the rare-first order; a fixed size, whatever the corpus.
 FREQUENCY_BITS = 20
 _CHUNK_BITS = 14
-#: Classes of the suffix filter.
-CLASSES = 32
+#: Most classes of the suffix filter; smaller sets have fewer, about one for every 16 members.
+CLASSES = 256
 #: Leader rounds before the remaining pairs are listed.
 LEADER_ROUNDS = 3
 
@@ -75,6 +75,19 @@ def _digest(values: np.ndarray) -> bytes:
     return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
 
 
+def _class_counts(values: np.ndarray) -> bytes:
+    """How many members of a set (ascending) fall into each of a power of two of equal hash ranges."""
+    bits = min(max(int(len(values) // 16).bit_length(), 1), CLASSES.bit_length() - 1)
+    return np.bincount((values >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype("<u4").tobytes()
+
+
+def _apart(x: bytes, y: bytes) -> int:
+    """Members that two sets cannot share, from their class counts; finer classes are added up to the coarser."""
+    u, v = np.frombuffer(x, "<u4").astype(np.int64), np.frombuffer(y, "<u4").astype(np.int64)
+    least = min(len(u), len(v))
+    return int(np.abs(u.reshape(least, -1).sum(1) - v.reshape(least, -1).sum(1)).sum())
+
+
 def prefixes(texts: DataFrame, order: np.ndarray, width: int, threshold: float) -> DataFrame:
     """Per text: ``n`` (set size), ``sig`` (digest of the set), ``prefix`` (rare first), ``classes``."""
     shared = texts.sparkSession.sparkContext.broadcast(order.tobytes())
@@ -91,19 +104,19 @@ def prefixes(texts: DataFrame, order: np.ndarray, width: int, threshold: float)
                 keep = np.where(sizes > 0, sizes - np.ceil(threshold * sizes - 1e-9).astype(np.int64) + 1, 0)
                 ends = np.concatenate([[0], np.cumsum(keep)])
                 take = np.repeat(bounds[:-1] - ends[:-1], keep) + np.arange(ends[-1])
-                spread = np.bincount(owner * CLASSES + (values >> np.uint64(59)).astype(np.int64), minlength=len(sizes) * CLASSES)
+                classes = [_class_counts(values[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"), pa.array(sizes.astype(np.int64)),
                         pa.array([_digest(values[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary()),
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ordered[take].view(np.int64))),
-                        pa.FixedSizeListArray.from_arrays(pa.array(spread.astype(np.int32)), CLASSES).cast(pa.list_(pa.int32())),
+                        pa.array(classes, pa.binary()),
                     ],
                     ["doc_id", "n", "sig", "prefix", "classes"],
                 )
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return texts.mapInArrow(work, f"doc_id {kind}, n bigint, sig binary, prefix array<bigint>, classes array<int>")
+    return texts.mapInArrow(work, f"doc_id {kind}, n bigint, sig binary, prefix array<bigint>, classes binary")
 
 
 def _needed(threshold: float, n1: Column, n2: Column) -> Column:
@@ -112,10 +125,14 @@ def _needed(threshold: float, n1: Column, n2: Column) -> Column:
 
 
 def _may_match(threshold: float, x: str, y: str) -> Column:
-    """The length filter and the positional filter for the shared n-gram at positions ``pos``."""
+    """The length filter and the positional filter for the shared n-gram at positions ``pos``.
+
+    Of the members before the shared n-gram only those that any other set holds too (``met``) can be
+    shared; behind it, at most as many as the shorter rest.
+    """
     n1, n2, p1, p2 = F.col(f"{x}.n"), F.col(f"{y}.n"), F.col(f"{x}.pos"), F.col(f"{y}.pos")
     length = F.least(n1, n2) >= F.lit(threshold) * F.greatest(n1, n2) - F.lit(1e-9)
-    most = F.least(p1, p2) + 1 + F.least(n1 - p1 - 1, n2 - p2 - 1)
+    most = F.least(F.col(f"{x}.met"), F.col(f"{y}.met")) + 1 + F.least(n1 - p1 - 1, n2 - p2 - 1)
     return length & (most >= _needed(threshold, n1, n2))
 
 
@@ -123,9 +140,16 @@ def suffix_filtered(pairs: DataFrame, classes: DataFrame, threshold: float) -> D
     """The pairs (``a``, ``b``) whose class counts leave room for enough shared members."""
     one = classes.select(F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("classes").alias("c_a"))
     two = classes.select(F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("classes").alias("c_b"))
-    apart = F.aggregate(F.zip_with("c_a", "c_b", lambda u, v: F.abs(u - v)), F.lit(0), lambda s, d: s + d)
     room = F.col("n_a") + F.col("n_b") - 2 * _needed(threshold, F.col("n_a"), F.col("n_b"))
-    return pairs.join(one, "a").join(two, "b").where(apart <= room).select("a", "b")
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y, most = (batch.column(c).to_pylist() for c in ("c_a", "c_b", "room"))
+            keep = [_apart(u, v) <= m for u, v, m in zip(x, y, most, strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    shapes = pairs.join(one, "a").join(two, "b").select("a", "b", "c_a", "c_b", room.alias("room"))
+    return shapes.mapInArrow(sift, "a bigint, b bigint")
 
 
 def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int, threshold: float) -> DataFrame:
@@ -172,8 +196,8 @@ def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int,
 def _leaders(postings: DataFrame, seed: int) -> DataFrame:
     """Per list one member: the best connected one at first, then any by hash."""
     rank = F.col("score") if seed == 0 else F.xxhash64("cid", F.lit(seed))
-    row = F.struct(rank.alias("r"), "cid", "n", "pos", "root")
-    return postings.groupBy("gram").agg(F.max(row).alias("l")).select("gram", "l.cid", "l.n", "l.pos", "l.root")
+    row = F.struct(rank.alias("r"), "cid", "n", "pos", "met", "root")
+    return postings.groupBy("gram").agg(F.max(row).alias("l")).select("gram", "l.cid", "l.n", "l.pos", "l.met", "l.root")
 
 
 def _open(postings: DataFrame, roots: DataFrame) -> DataFrame:
@@ -207,9 +231,11 @@ def similarity_groups(
 
     lists = classes.select("cid", "n", F.posexplode("prefix").alias("pos", "gram"))
     several = lists.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    postings = lists.join(several, "gram")
-    score = postings.groupBy("cid").agg(F.sum(F.log2("df")).alias("score"))
-    postings = staged(postings.join(score, "cid").select("gram", "cid", "n", "pos", "score", F.col("cid").alias("root")), "postings")
+    # A window over the prefix of one text: how many of its n-grams come before, and how common they are.
+    mine = Window.partitionBy("cid")
+    postings = lists.join(several, "gram").withColumn("met", F.row_number().over(mine.orderBy("pos")) - 1)
+    postings = postings.withColumn("score", F.sum(F.log2("df")).over(mine)).withColumn("root", F.col("cid")).drop("df")
+    postings = staged(postings, "postings")
 
     none = postings.sparkSession.createDataFrame([], "a bigint, b bigint")
     links, roots, at = none, none.select(F.col("a").alias("node"), F.col("b").alias("root")), postings

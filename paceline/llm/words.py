@@ -15,9 +15,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes worked on at once; about forty times as much memory is used for that long.
-PIECE = 2 << 20
+PIECE = 1 << 20
 #: Text bytes of one slice of an Arrow batch.
-SLICE = 6 << 20
+SLICE = 4 << 20
 _PLACES = 1024
 
 _rng = np.random.Generator(np.random.PCG64(20240607))
