@@ -292,7 +292,8 @@ def model_input(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str
 
 
 def train_targets(
-    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], rounds: int = 800, depth: int = 6, rate: float = 0.05
+    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], rounds: int = 800, depth: int = 6, rate: float = 0.05,
+    targets: Sequence[str] = (*CLF_TARGETS, "y_rank"),
 ) -> dict[str, PipelineModel]:
     """Three boosted classifiers and one L1 regressor; a round that makes the last tenth of the dates worse ends the boosting."""
     rows = ranks.cum_tail_split(model_input(df, numeric, categorical), 0.9).withColumn("_valid", F.col("part") == "valid")
@@ -303,12 +304,22 @@ def train_targets(
     shared = {"featuresCol": "features", "maxIter": rounds, "maxDepth": depth, "stepSize": rate, "maxBins": 64, "seed": 7,
               "subsamplingRate": 0.85, "minInstancesPerNode": 100, "validationIndicatorCol": "_valid", "validationTol": 0.0}
     models = {}
-    for y in CLF_TARGETS:
-        models[y] = PipelineModel(stages=[*prep.stages, GBTClassifier(labelCol=y, **shared).fit(ready)])
-    models["y_rank"] = PipelineModel(stages=[*prep.stages, GBTRegressor(labelCol="y_rank", lossType="absolute", **shared).fit(ready)])
+    for y in targets:
+        booster = GBTClassifier(labelCol=y, **shared) if y in CLF_TARGETS else GBTRegressor(labelCol=y, lossType="absolute", **shared)
+        models[y] = PipelineModel(stages=[*prep.stages, booster.fit(ready)])
     return models
 
 
+def save_models(models: dict[str, PipelineModel], path: str) -> None:
+    """One folder per target; a folder that is there is replaced."""
+    for y, model in models.items():
+        model.write().overwrite().save(f"{path}/{y}")
+
+
+def load_models(path: str, targets: Sequence[str] = (*CLF_TARGETS, "y_rank")) -> dict[str, PipelineModel]:
+    return {y: PipelineModel.load(f"{path}/{y}") for y in targets}
+
+
 def score_batch(models: dict[str, PipelineModel], df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], keep: Sequence[str] = CAR) -> DataFrame:
     """Probabilities and predicted rank per car."""
     out = model_input(df, numeric, categorical)

@@ -11,13 +11,14 @@ from paceline.plans import bindings as b
 from paceline.plans.features import LINES, dataset
 from paceline.plans.registry import query
 from paceline.plans.statistics import SCORED, scored
+from paceline.session import scratch_path
 
 R = "race_date, place_code, race_no"
 NUMERIC = ["syouritu", "rentairitu2", "rentairitu3", "heikin_tokuten", "age", "nige_cnt", "makuri_cnt", "sasi_cnt", "car_no",
            "syouritu_rank", "heikin_tokuten_gap", "race_n_cars", "race_mean_syouritu", "n_S_class_in_race"]
 LINE_NUMERIC = ["line_size", "line_pos", "pos_ratio", "n_lines_in_race"]
 CATEGORICAL = ["grade", "kyaku", "kyuhan"]
-ROUNDS, DEPTH = 5, 3
+ROUNDS, DEPTH = 20, 5
 
 ANCHOR = {
     **SCORED,
@@ -60,7 +61,7 @@ def _(spark, sf):
 
 @query("bootstrap_coef")
 def _(spark, sf):
-    return mo.bootstrap_coef(mo.race_rows(anchor(spark, sf)), replicates=20)
+    return mo.bootstrap_coef(mo.race_rows(anchor(spark, sf)), replicates=100)
 
 
 def empty_history(spark):
@@ -139,12 +140,25 @@ def _(spark, sf):
     return mo.market_residual_model(residual(spark, sf), feats, "1999-12-31")
 
 
+_SAVED: dict[tuple[str, str, bool], str] = {}
+
+
 def trained(spark, sf, lines: bool = False):
-    """Boosters on the races before 2000. Rounds and depth are small here; the operator's defaults are the full ones."""
+    """Boosters on the races before 2000, fitted once per application, saved and loaded from there.
+
+    Rounds and depth are small here; the operator's defaults are the full ones. The candidate with line
+    features is fitted for the win target, which is what it is compared on.
+    """
     df = dataset(spark, sf)
     numeric = NUMERIC + (LINE_NUMERIC if lines else [])
-    train = fe.split_by_date(df, "1999-12-31", "2000-01-01").where(F.col("split") == "train")
-    return mo.train_targets(train, numeric, CATEGORICAL, rounds=ROUNDS, depth=DEPTH), df, numeric
+    targets = ["y_win"] if lines else [*mo.CLF_TARGETS, "y_rank"]
+    key = (spark.sparkContext.applicationId, sf, lines)
+    if key not in _SAVED:
+        train = fe.split_by_date(df, "1999-12-31", "2000-01-01").where(F.col("split") == "train")
+        path = scratch_path(spark, "boosters")
+        mo.save_models(mo.train_targets(train, numeric, CATEGORICAL, ROUNDS, DEPTH, targets=targets), path)
+        _SAVED[key] = path
+    return mo.load_models(_SAVED[key], targets), df, numeric
 
 
 @query("score_batch")
