@@ -66,11 +66,11 @@ def meta_pages(spark, sf) -> DataFrame:
 
 
 def price_messages(spark, sf) -> DataFrame:
-    """One message per race: ST2, SH2, W and RT3 lists of [cars, price, upper price, popularity]."""
+    """One message per race: ST2, SH2, W, RH3 and RT3 lists of [cars, price, upper price, popularity]."""
     odds = dedup_latest(b.snapshots(spark, sf), b.SNAP_TIES)
     cars = F.array_join(F.transform(car_numbers(F.col("kumi_ban")), lambda x: F.lpad(x.cast("string"), 2, "0")), "")
     item = F.array(cars, F.col("odds").cast("string"), F.coalesce(F.col("max_odds").cast("string"), F.lit("0.0")), F.col("popularity").cast("string"))
-    lists = {k: bet for k, bet in raw.PRICE_LISTS.items() if bet in ("ST2", "SH2", "W", "RT3")}
+    lists = {k: bet for k, bet in raw.PRICE_LISTS.items() if bet in ("ST2", "SH2", "W", "RH3", "RT3")}
     per_race = odds.groupBy(*RACE).agg(*[F.collect_list(F.when(F.col("bet_type") == bet, item)).alias(k) for k, bet in lists.items()])
     zero = F.array(F.lit("0102"), F.lit("0"), F.lit("0"), F.lit("1"))
     return per_race.select(*RACE, F.to_json(F.struct(F.lit("2001-01-01 00:00:00").alias("official_dt"), F.array(zero).alias("list_3"), *lists)).alias("odds_json"))
@@ -124,7 +124,6 @@ def _(spark, sf):
     return raw.to_payouts(payout_pages(spark, sf))
 
 
-@query("raw_to_odds", f"""SELECT {R}, bet_type, kumi_ban, odds, max_odds, popularity, '2001-01-01 00:00:00' AS official_dt FROM latest_odds
-WHERE bet_type IN ('ST2', 'SH2', 'W', 'RT3')""", dbl="odds max_odds", dt="race_date")
+@query("raw_to_odds", f"""SELECT {R}, bet_type, kumi_ban, odds, max_odds, popularity, '2001-01-01 00:00:00' AS official_dt FROM latest_odds""", dbl="odds max_odds", dt="race_date")
 def _(spark, sf):
     return raw.to_odds(price_messages(spark, sf)).select(*COMBO, "odds", "max_odds", "popularity", "official_dt")

@@ -154,10 +154,10 @@ def _(spark, sf):
 
 
 @query("str_format_combo", f"""
-SELECT {R}, bet_type, kumi_ban AS formatted FROM snapshots WHERE bet_type IN ('ST2', 'SH2', 'RT3')""", dt="race_date")
+SELECT {R}, bet_type, kumi_ban AS formatted FROM snapshots""", dt="race_date")
 def _(spark, sf):
     raw = F.array_join(F.transform(tx.car_numbers(F.col("kumi_ban")), lambda x: F.lpad(x.cast("string"), 2, "0")), "")
-    s = b.snapshots(spark, sf).where(F.col("bet_type").isin("ST2", "SH2", "RT3")).withColumn("raw", raw)
+    s = b.snapshots(spark, sf).withColumn("raw", raw)
     return s.select(*RACE, "bet_type", tx.format_combo(F.col("raw"), F.col("bet_type")).alias("formatted"))
 
 
