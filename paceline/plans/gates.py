@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from paceline.keys import CAPTURE_OFFSETS
+from paceline.functions.numeric import settle
 from paceline.operators import gates as ga, market as mk, picks as pk, quality as qa, stats as st
 from paceline.plans import bindings as b
 from paceline.plans.market import WEDGE
-from paceline.plans.picks import GRID, PAIRS, bets, duel
+from paceline.plans.picks import GRID, LOCK_DATE, PAIRS, duel
 from paceline.plans.quality import COMPLETION, completion
 from paceline.plans.registry import query
-from paceline.plans.statistics import REPLICATES, SCORED, draws_sql, scored
+from paceline.plans.statistics import REPLICATES, SCORED, draws_sql, policies, policy_sql, scored
 
 R = "race_date, place_code, race_no"
 END = "2001-07-31"
@@ -60,20 +60,26 @@ def _(spark, sf):
     return ga.gate_timing_count(gate(spark, sf))
 
 
-def policies(spark, sf):
-    cells = pk.policy_cells(spark, ["SH2", "ST2"], [1.0, 1.1, 1.2], CAPTURE_OFFSETS)
-    return pk.policy_grid(bets(spark, sf, [1.0, 1.1, 1.2]), cells)
+POLICY = ["target_offset_min", "bet_type", "ev_thr", "n_races", "n_bets", "weeks", "roi", "net_mean", "net_sd"]
 
 
-@query("gate_strategy")
+@query("gate_strategy", f"""
+WITH tested AS (SELECT *, row_number() OVER (ORDER BY p, target_offset_min, bet_type, ev_thr) AS i, count(*) OVER () AS m FROM ({policy_sql(LOCK_DATE)})),
+adjusted AS (SELECT *, least(1.0, min(p * m / i) OVER (ORDER BY i DESC)) AS q FROM tested)
+SELECT {", ".join(POLICY)}, round(p * 1e7) / 1e7 AS p, round(q * 1e7) / 1e7 AS q, verdict_a AS a_pass,
+  CASE WHEN NOT coalesce(verdict_a, false) THEN 'reference_only' WHEN n_races < 200 OR weeks < 4 THEN 'accumulating'
+    WHEN roi > 0 AND q < 0.10 THEN 'candidate' ELSE 'fail' END AS verdict
+FROM adjusted LEFT JOIN (SELECT target_offset_min, bet_type, verdict AS verdict_a FROM gate_rows) USING (target_offset_min, bet_type)""",
+       dbl="target_offset_min ev_thr roi net_mean net_sd p q", ctes={**GRID, **GATE})
 def _(spark, sf):
-    return ga.policy_verdicts(policies(spark, sf), gate(spark, sf))
+    judged = ga.policy_verdicts(policies(spark, sf), gate(spark, sf))
+    return judged.select(*POLICY, settle(F.col("p"), 7).alias("p"), settle(F.col("q"), 7).alias("q"), "a_pass", "verdict")
 
 
 SUNSET = {
     **GRID,
-    "pol": """SELECT target_offset_min, bet_type, thr, count(DISTINCT race_no) AS n_races, sum(payout) / (count(*) * 100) - 1 AS roi FROM priced,
-      (VALUES (1.0::DOUBLE), (1.1), (1.2)) t(thr) WHERE ev >= thr GROUP BY 1, 2, 3""",
+    "pol": f"""SELECT target_offset_min, bet_type, thr, count(DISTINCT race_no) AS n_races, sum(payout) / (count(*) * 100) - 1 AS roi FROM priced,
+      (VALUES (1.0::DOUBLE), (1.1), (1.2)) t(thr) WHERE ev >= thr AND race_date >= DATE '{LOCK_DATE}' GROUP BY 1, 2, 3""",
 }
 
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from paceline.functions.numeric import clip
-from paceline.keys import CAR, RACE
+from paceline.functions.numeric import clip, settle
+from paceline.keys import CAPTURE_OFFSETS, CAR, RACE
 from paceline.operators import picks as pk, ranks, stats as st
 from paceline.operators.features import targets
 from paceline.plans import bindings as b
-from paceline.plans.picks import GRID, PAIRS, bets, duel
+from paceline.plans.picks import GRID, LOCK_DATE, PAIRS, bets, duel
 from paceline.plans.registry import query
 
 R = "race_date, place_code, race_no"
@@ -107,12 +107,35 @@ SELECT segment, place_code, p, p <= i / m * 0.5 AS passes FROM (
 def _(spark, sf):
     return st.bh_rowwise(pvals(spark, sf), ["segment"], ["place_code"], q=0.5).select("segment", "place_code", "p", "passes")
 
+P_SQL = """CASE WHEN n_races < 2 OR net_mean IS NULL THEN 1.0 WHEN net_sd IS NULL OR net_sd = 0 THEN CASE WHEN net_mean > 0 THEN 0.0 ELSE 1.0 END
+  ELSE greatest(0.0, least(1.0, (1 - CASE WHEN v % 2 = 1 THEN 2 / pi() * (atan(t / sqrt(v)) + t / sqrt(v + t * t) * sqrt(v / (v + t * t)) * sqrt(pi()) / 2
+      * coalesce(list_sum(list_transform(range(0, (v - 1) // 2), lambda k: exp(lgamma(k + 1) - lgamma(k + 1.5) + k * ln(v / (v + t * t))))), 0))
+    ELSE t / sqrt(v + t * t) / sqrt(pi()) * list_sum(list_transform(range(0, v // 2), lambda k: exp(lgamma(k + 0.5) - lgamma(k + 1) + k * ln(v / (v + t * t)))))
+    END) / 2)) END"""
 
-@query("t_test_greater")
-def _(spark, sf):
-    from paceline.keys import CAPTURE_OFFSETS
+
+def policy_sql(lock: str) -> str:
+    """The policy grid from a lock date on, with the one-sided p value by gamma functions."""
+    return f"""SELECT *, {P_SQL} AS p FROM (SELECT *, n_races - 1 AS v, net_mean / (net_sd / sqrt(n_races)) AS t FROM (
+SELECT c.*, coalesce(n_races, 0) AS n_races, coalesce(n_bets, 0) AS n_bets, coalesce(weeks, 0) AS weeks, roi, net_mean, net_sd
+FROM (SELECT off AS target_offset_min, bet_type, thr AS ev_thr FROM (VALUES (5.0::DOUBLE), (3.0), (2.0), (1.0), (0.5)) o(off),
+  (VALUES ('SH2'), ('ST2')) t(bet_type), (VALUES (1.0::DOUBLE), (1.1), (1.2)) v(thr)) c LEFT JOIN (
+  SELECT target_offset_min, bet_type, ev_thr, count(*) AS n_races, CAST(sum(n) AS BIGINT) AS n_bets, count(DISTINCT date_trunc('week', race_date)) AS weeks,
+    sum(pay) / (sum(n) * 100) - 1 AS roi, avg(pay - 100 * n) AS net_mean, stddev_samp(pay - 100 * n) AS net_sd FROM (
+    SELECT target_offset_min, bet_type, thr AS ev_thr, race_date, place_code, race_no, sum(payout) AS pay, count(*) AS n FROM priced,
+      (VALUES (1.0::DOUBLE), (1.1), (1.2)) t(thr) WHERE ev >= thr AND race_date >= DATE '{lock}' GROUP BY ALL) GROUP BY 1, 2, 3) s USING (target_offset_min, bet_type, ev_thr)))"""
+
+
+def policies(spark, sf):
+    """The registered policies, on races from the lock date on, with p values at seven digits."""
     cells = pk.policy_cells(spark, ["SH2", "ST2"], [1.0, 1.1, 1.2], CAPTURE_OFFSETS)
-    return st.t_pvalues(pk.policy_grid(bets(spark, sf, [1.0, 1.1, 1.2]), cells))
+    locked = bets(spark, sf, [1.0, 1.1, 1.2]).where(F.col("race_date") >= F.lit(LOCK_DATE).cast("date"))
+    return pk.policy_grid(locked, cells)
+
+
+@query("t_test_greater", f"SELECT * EXCLUDE (v, t) REPLACE (round(p * 1e7) / 1e7 AS p) FROM ({policy_sql(LOCK_DATE)})", dbl="target_offset_min ev_thr roi net_mean net_sd p", ctes=GRID)
+def _(spark, sf):
+    return st.t_pvalues(policies(spark, sf)).withColumn("p", settle(F.col("p"), 7))
 
 
 DAYS = {

@@ -79,12 +79,16 @@ def test_bh_is_monotone_and_matches_the_known_value(spark):
     assert abs(q[0] - 0.004) < 1e-12 and q == sorted(q) and q[-1] == 1.0
 
 
-def test_student_tail_known_values():
+def test_student_tail_known_values(spark):
     # Two-sided 5% points of the t table.
-    for df, t in [(1, 12.7062), (5, 2.5706), (30, 2.0423), (1000, 1.9623)]:
-        assert abs(st.student_tail(t, df) - 0.025) < 1e-4
-        assert abs(st.student_tail(-t, df) - 0.975) < 1e-4
-    assert abs(st.student_tail(0.0, 7) - 0.5) < 1e-12
+    points = [(1, 12.7062), (2, 4.3027), (5, 2.5706), (30, 2.0423), (1000, 1.9623)]
+    rows = [(df, t) for df, t in points] + [(df, -t) for df, t in points] + [(7, 0.0)]
+    table = spark.createDataFrame(rows, "df long, t double")
+    got = {(r.df, r.t): r.p for r in table.select("df", "t", st.student_tail(F.col("t"), F.col("df")).alias("p")).collect()}
+    for df, t in points:
+        assert abs(got[df, t] - 0.025) < 1e-4
+        assert abs(got[df, -t] - 0.975) < 1e-4
+    assert abs(got[7, 0.0] - 0.5) < 1e-12
 
 
 def test_t_pvalues_special_cases(spark):
