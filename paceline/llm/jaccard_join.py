@@ -29,10 +29,10 @@ from paceline.session import staged
 #: Cells of the frequency table behind the rare-first order; a fixed size, whatever the corpus.
 FREQUENCY_BITS = 20
 _CHUNK_BITS = 14
-#: Most classes of the suffix filter; smaller sets have fewer, about one for every 16 members.
-CLASSES = 256
+#: Most classes of the suffix filter; smaller sets have fewer, about one for every three members.
+CLASSES = 4096
 #: Leader rounds before the remaining pairs are listed.
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 2
 
 
 def _sets(part: pa.RecordBatch, width: int) -> W.Sequences:
@@ -76,14 +76,18 @@ def _digest(values: np.ndarray) -> bytes:
 
 
 def _class_counts(values: np.ndarray) -> bytes:
-    """How many members of a set (ascending) fall into each of a power of two of equal hash ranges."""
-    bits = min(max(int(len(values) // 16).bit_length(), 1), CLASSES.bit_length() - 1)
-    return np.bincount((values >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype("<u4").tobytes()
+    """How many members of a set fall into each of a power of two of equal hash ranges, 255 at most.
+
+    Counts that are cut off differ by less than the true ones, so the bound drawn from them holds.
+    """
+    bits = min(max(int(len(values) // 4).bit_length(), 1), CLASSES.bit_length() - 1)
+    counts = np.bincount((values >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
 def _apart(x: bytes, y: bytes) -> int:
     """Members that two sets cannot share, from their class counts; finer classes are added up to the coarser."""
-    u, v = np.frombuffer(x, "<u4").astype(np.int64), np.frombuffer(y, "<u4").astype(np.int64)
+    u, v = np.frombuffer(x, np.uint8).astype(np.int64), np.frombuffer(y, np.uint8).astype(np.int64)
     least = min(len(u), len(v))
     return int(np.abs(u.reshape(least, -1).sum(1) - v.reshape(least, -1).sum(1)).sum())
 
@@ -234,6 +238,7 @@ def similarity_groups(
     # A window over the prefix of one text: how many of its n-grams come before, and how common they are.
     mine = Window.partitionBy("cid")
     postings = lists.join(several, "gram").withColumn("met", F.row_number().over(mine.orderBy("pos")) - 1)
+    postings = postings.withColumn("prev", F.lag("gram").over(mine.orderBy("pos")))
     postings = postings.withColumn("score", F.sum(F.log2("df")).over(mine)).withColumn("root", F.col("cid")).drop("df")
     postings = staged(postings, "postings")
 
@@ -247,6 +252,8 @@ def similarity_groups(
         else:
             met = at.alias("x").join(at.alias("y"), "gram")
             apart = (F.col("x.cid") < F.col("y.cid")) & (F.col("x.root") != F.col("y.root"))
+            # With the same shared n-gram before this one, the pair has met there already, under weaker filters.
+            apart = apart & F.coalesce(F.col("x.prev") != F.col("y.prev"), F.lit(True))
         met = met.where(apart & _may_match(threshold, "x", "y"))
         pairs = met.select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).distinct()
         new = staged(suffix_filtered(pairs, classes, threshold).join(tried, ["a", "b"], "left_anti"), "candidates")
