@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from paceline.functions.numeric import band, delay_bin, settle
 from paceline.functions.text import car_at
-from paceline.keys import CAPTURE_OFFSETS, CAR, COMBO, MARKET, RACE, in_race
+from paceline.keys import CAR, COMBO, MARKET, RACE, in_race
 from paceline.operators.ordered import distribution, mean_value, n_values, share
 
 # Left-closed price bands, the verdict limits and the smallest field.
