@@ -4,11 +4,14 @@ A text's units are its lines and the text as a whole. Each is normalised to lowe
 bigram sets of a and b members with s in common have the Dice coefficient 2 s / (a + b). As s is at
 most the smaller size, a coefficient of t needs sizes within a factor of (2 - t) / t of each other:
 templates out of these bounds are no candidates for a unit, and a unit that fits no template's bounds
-is left before its bigrams are looked up. Everything is DataFrame functions.
+is left before its bigrams are looked up. A long unit is left even earlier: k different words make k - 1
+different bigrams at least, so a beginning with too many words settles it. Everything is DataFrame
+functions.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -37,14 +40,18 @@ def normalised(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
 
 
-def bigrams(norm: Column) -> Column:
-    """The distinct word bigrams of a normalised text; none for fewer than two words."""
-    words = F.split(norm, " ")
+def bigrams(words: Column) -> Column:
+    """The distinct bigrams of a list of words; none for fewer than two."""
     pairs = F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.size(words)),
                        lambda a, b: F.concat(a, F.lit(" "), b))
     return F.array_distinct(pairs)
 
 
+def once(value: Column) -> Column:
+    """A column that is computed once however often it is used; the optimiser copies expressions into their uses."""
+    return F.explode(F.array(value))
+
+
 def template_table(spark: SparkSession, templates: Sequence[tuple[str, str]] = TEMPLATES) -> DataFrame:
     """(``license``, ``text``) rows as a table for ``license_matches``."""
     return spark.createDataFrame(list(templates), "license string, text string")
@@ -64,7 +71,7 @@ def license_matches(
     A unit is looked up by its bigrams, so only templates that share one are compared. The join is
     left to Catalyst; the template side has a row per bigram of a template.
     """
-    shape = templates.select(F.col("license"), bigrams(normalised(F.col("text"))).alias("g")).where((F.size("g") > 0) & F.col("license").isNotNull())
+    shape = templates.select(F.col("license"), bigrams(F.split(normalised(F.col("text")), " ")).alias("g")).where((F.size("g") > 0) & F.col("license").isNotNull())
     shape = shape.distinct().withColumn("template", F.xxhash64("license", "g")).withColumn("b", F.size("g"))
     slack = (2 - dice) / dice
     bounds = shape.agg(F.min("b").alias("lo"), F.max("b").alias("hi")).first()
@@ -76,12 +83,17 @@ def license_matches(
     units = F.when(F.size(lines) > 1, F.concat(F.array(text), lines)).otherwise(F.concat(F.array(F.lit("")), lines))
     read = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(units).alias("unit", "raw"))
     # A set of k bigrams takes at least 2 k + 1 characters and k + 1 words.
-    read = read.where(F.length("raw") > 2 * low).withColumn("norm", normalised(F.col("raw")))
+    read = read.where(F.length("raw") > 2 * low)
+    # The last word of the beginning may be cut off and is not counted.
+    begin = math.ceil(16 * high)
+    different = F.size(F.array_distinct(F.split(normalised(F.left("raw", F.lit(begin))), " "))) - 1
+    read = read.where((F.length("raw") <= begin) | (different - 1 <= high)).select("doc_id", "unit", once(normalised(F.col("raw"))).alias("norm"))
     read = read.where(F.length("norm") - F.length(F.replace(F.col("norm"), F.lit(" "), F.lit(""))) >= low - 1e-9)
-    sets = read.withColumn("g", bigrams(F.col("norm"))).withColumn("a", F.size("g"))
-    sets = sets.where((F.col("a") >= low - 1e-9) & (F.col("a") <= high + 1e-9)).select("doc_id", "unit", F.xxhash64("norm").alias("_u"), "a", "g")
+    words = read.select("doc_id", "unit", F.xxhash64("norm").alias("_u"), once(F.split("norm", " ")).alias("w"))
+    sets = words.select("doc_id", "unit", "_u", once(bigrams(F.col("w"))).alias("g")).withColumn("a", F.size("g"))
+    sets = sets.where((F.col("a") >= low - 1e-9) & (F.col("a") <= high + 1e-9))
     near = (F.col("a") <= F.col("b") * slack + 1e-9) & (F.col("b") <= F.col("a") * slack + 1e-9)
-    met = sets.select("doc_id", "unit", "_u", "a", F.explode("g").alias("bigram")).distinct().join(lookup, "bigram").where(near)
+    met = sets.select("doc_id", "unit", "_u", "a", F.explode("g").alias("bigram")).join(lookup, "bigram").where(near).distinct()
     shared = met.groupBy("doc_id", "unit", "_u", "a", "license", "template", "b").agg(F.count(F.lit(1)).alias("s"))
     scored = shared.withColumn("dice", 2 * F.col("s") / (F.col("a") + F.col("b"))).where(F.col("dice") >= dice - 1e-9)
     best = scored.groupBy("doc_id", "unit", "license").agg(F.max(F.struct("dice", "a")).alias("m"))
