@@ -16,7 +16,6 @@ from __future__ import annotations
 import hashlib
 import math
 import uuid
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
