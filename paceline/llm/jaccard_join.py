@@ -151,6 +151,7 @@ def suffix_filtered(pairs: DataFrame, classes: DataFrame, threshold: float) -> D
             x, y, most = (batch.column(c).to_pylist() for c in ("c_a", "c_b", "room"))
             keep = [_apart(u, v) <= m for u, v, m in zip(x, y, most, strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        W.release()
 
     shapes = pairs.join(one, "a").join(two, "b").select("a", "b", "c_a", "c_b", room.alias("room"))
     return shapes.mapInArrow(sift, "a bigint, b bigint")
@@ -191,6 +192,7 @@ def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int,
                 shared_members = int((both[1:] == both[:-1]).sum())
                 keep.append(shared_members >= threshold * (len(both) - shared_members) - 1e-9)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            W.release()
 
     x = sets.select(F.col("cid").alias("a"), F.col("members").alias("x"))
     y = sets.select(F.col("cid").alias("b"), F.col("members").alias("y"))

@@ -8,7 +8,7 @@ sentences are to blame and can point at them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -26,8 +26,10 @@ PREFIXES = (5, 4)
 TRAIN_DOCS = 8_000
 #: A feature enters the model if it is in this many training documents at least.
 MIN_DOCS = 3
+#: Standard deviations by which a feature has to stand out in toxic documents.
+SCREEN = 3.0
 THRESHOLD = 0.3
-SLICE = 3 << 20
+SLICE = 1 << 20
 _ENDS = np.zeros(256, bool)
 _ENDS[[ord(c) for c in ".!?\n"]] = True
 
@@ -80,14 +82,19 @@ def noisy_or(logits: np.ndarray, owner: np.ndarray, docs: int) -> np.ndarray:
     return -np.expm1(-np.bincount(owner, np.logaddexp(0, logits), docs))
 
 
-def screened(bags: Bags, toxic: np.ndarray, least: float) -> np.ndarray:
+def by_document(bags: Bags) -> Iterator[np.ndarray]:
+    """The features of each document."""
+    first = np.searchsorted(bags.sentence, np.searchsorted(bags.owner, np.arange(bags.docs + 1)))
+    return (bags.feature[begin:end] for begin, end in zip(first[:-1], first[1:], strict=True))
+
+
+def screened(documents: Iterable[np.ndarray], toxic: np.ndarray, least: float) -> np.ndarray:
     """Features that stand out in toxic documents by ``least`` standard deviations of their count there."""
     counts, bad = np.zeros((2, 1 << FEATURE_BITS), np.int32)
-    first = np.searchsorted(bags.sentence, np.searchsorted(bags.owner, np.arange(bags.docs + 1)))
-    for k, (begin, end) in enumerate(zip(first[:-1], first[1:], strict=True)):
-        present = np.unique(bags.feature[begin:end])
+    for features, label in zip(documents, toxic, strict=True):
+        present = np.unique(features)
         counts[present] += 1
-        if toxic[k]:
+        if label:
             bad[present] += 1
     rate = max(float((toxic > 0).mean()), 1e-9) if len(toxic) else 0.0
     spread = np.sqrt(np.maximum(counts * rate * (1 - rate), 1e-12))
@@ -95,7 +102,8 @@ def screened(bags: Bags, toxic: np.ndarray, least: float) -> np.ndarray:
 
 
 def fit(
-    bags: Bags, toxic: np.ndarray, rounds: int = 100, rate: float = 0.15, ridge: float = 5e-4, screen: float = 3.0
+    bags: Bags, toxic: np.ndarray, rounds: int = 100, rate: float = 0.15, ridge: float = 5e-4, screen: float = SCREEN,
+    used: np.ndarray | None = None,
 ) -> Model:
     """Minimise the log loss of the noisy-or score over the documents by full-batch Adam steps.
 
@@ -104,7 +112,7 @@ def fit(
     toxic take most of the gradient. Without documents of both kinds the model scores near the share
     of toxic documents everywhere.
     """
-    used = screened(bags, toxic, screen)
+    used = screened(by_document(bags), toxic, screen) if used is None else used
     place = np.full(1 << FEATURE_BITS, -1, np.int32)
     place[used] = np.arange(len(used))
     kept = np.flatnonzero(place[bags.feature] >= 0)
@@ -165,19 +173,35 @@ def train(docs: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> Model:
                 yield pa.RecordBatch.from_arrays([part.column("toxic"), *lists], ["toxic", "feature", "sentence"])
 
     def steps(rows: pa.Table) -> pa.Table:
-        lists = [rows.column(c).combine_chunks() for c in ("feature", "sentence")]
-        feature, inside = (x.flatten().to_numpy() for x in lists)
-        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists[0]).to_numpy())])
-        some = np.flatnonzero(np.diff(ends))
-        if not len(some):
+        def pieces() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+            """Features, sentences and the documents' ends in both, without copying the table."""
+            for batch in rows.to_batches():
+                feature, inside = (batch.column(c).flatten().to_numpy() for c in ("feature", "sentence"))
+                yield feature, inside, np.concatenate([[0], np.cumsum(pc.list_value_length(batch.column("feature")).to_numpy())])
+
+        toxic = rows.column("toxic").to_numpy()
+        documents = (f[begin:end] for f, _, ends in pieces() for begin, end in zip(ends[:-1], ends[1:], strict=True))
+        used = screened(documents, toxic, SCREEN)
+        wanted = np.zeros(1 << FEATURE_BITS, bool)
+        wanted[used] = True
+        feature, inside, counts, base = [], [], [], 0
+        for f, s, ends in pieces():
+            # A document's sentences are numbered on from where its slice began: number them from 0 over all.
+            some = np.flatnonzero(np.diff(ends))
+            number = np.zeros(len(ends) - 1, np.int64)
+            number[some] = s[ends[some + 1] - 1] - s[ends[some]] + 1
+            shift = np.zeros(len(ends) - 1, np.int64)
+            shift[some] = base + np.cumsum(number)[some] - number[some] - s[ends[some]]
+            kept = np.flatnonzero(wanted[f])
+            feature.append(f[kept])
+            inside.append(s[kept] + shift[np.searchsorted(ends, kept, "right") - 1])
+            counts.append(number)
+            base += int(number.sum())
+        if not base:
             return pa.table({"weights": pa.array([], pa.binary()), "bias": pa.array([], pa.float64())})
-        # A document's sentences are numbered on from where its slice began: number them from 0 over all.
-        first, counts = inside[ends[some]], np.zeros(rows.num_rows, np.int64)
-        counts[some] = inside[ends[some + 1] - 1] - first + 1
-        base = np.cumsum(counts) - counts
-        inside = inside + np.repeat((base[some] - first).astype(np.int32), np.diff(ends)[some])
-        bags = Bags(feature, inside, np.repeat(np.arange(rows.num_rows), counts), np.zeros(0), rows.num_rows)
-        model = fit(bags, rows.column("toxic").to_numpy())
+        owner = np.repeat(np.arange(len(toxic)), np.concatenate(counts))
+        model = fit(Bags(np.concatenate(feature), np.concatenate(inside), owner, np.zeros(0), len(toxic)), toxic, used=used)
+        W.release()
         return pa.table({"weights": pa.array([model.weights.tobytes()], pa.binary()), "bias": [model.bias]})
 
     rows = training_rows(docs, labels, most).mapInArrow(features, "toxic int, feature array<int>, sentence array<int>")

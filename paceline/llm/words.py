@@ -7,6 +7,7 @@ a separator; memory follows the piece, not the text.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -15,10 +16,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes worked on at once; about forty times as much memory is used for that long.
-PIECE = 1 << 20
+PIECE = 1 << 19
 #: Text bytes of one slice of an Arrow batch.
-SLICE = 4 << 20
+SLICE = 2 << 20
 _PLACES = 1024
+# Where the C library has it.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 _rng = np.random.Generator(np.random.PCG64(20240607))
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -91,6 +94,14 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE) -> Iterator[pa
         end = max(begin + 1, int(np.searchsorted(ends, total + most, "right")))
         yield batch.slice(begin, end - begin)
         begin, total = end, int(ends[end - 1])
+    release()
+
+
+def release() -> None:
+    """Hand freed memory back to the system; a Python worker is kept and used again for many tasks."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
 
 
 def _piece_words(raw: np.ndarray, fresh: np.ndarray, prefixes: tuple[int, ...]) -> tuple[list[np.ndarray], np.ndarray]:

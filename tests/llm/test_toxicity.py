@@ -71,8 +71,8 @@ def test_screen_keeps_what_toxic_documents_share():
     texts = ["good vilex day", "vilex again", "plain vilex", "good day", "good night", "plain day", "again night", "day night"] * 4
     toxic = np.array([1, 1, 1, 0, 0, 0, 0, 0] * 4)
     bags = T.sentences(pa.array(texts))
-    kept = set(T.screened(bags, toxic, 3.0).tolist())
+    kept = set(T.screened(T.by_document(bags), toxic, 3.0).tolist())
     (hashes, *_), _, _ = T.W.located_words(pa.array(["vilex day"]), T.W.alphanumeric(), T.PREFIXES)
     vilex, day = (hashes & np.uint64((1 << T.FEATURE_BITS) - 1)).tolist()
     assert vilex in kept and day not in kept
-    assert len(T.screened(T.sentences(pa.array([], pa.string())), np.zeros(0), 3.0)) == 0
+    assert len(T.screened(iter([]), np.zeros(0), 3.0)) == 0
