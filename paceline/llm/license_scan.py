@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 DICE = 0.8
+#: Template bigrams that are broadcast at most.
+BROADCAST_BIGRAMS = 200_000
 
 #: Customary licence notices, by SPDX identifier.
 TEMPLATES = [
@@ -68,15 +70,16 @@ def license_matches(
     templates. Null ids are carried; rows repeated under one id give their rows once. Columns other
     than these are not carried. An empty table on either side gives an empty result.
 
-    A unit is looked up by its bigrams, so only templates that share one are compared. The join is
-    left to Catalyst; the template side has a row per bigram of a template.
+    A unit is looked up by its bigrams, so only templates that share one are compared.
     """
     shape = templates.select(F.col("license"), bigrams(F.split(normalised(F.col("text")), " ")).alias("g")).where((F.size("g") > 0) & F.col("license").isNotNull())
     shape = shape.distinct().withColumn("template", F.xxhash64("license", "g")).withColumn("b", F.size("g"))
     slack = (2 - dice) / dice
-    bounds = shape.agg(F.min("b").alias("lo"), F.max("b").alias("hi")).first()
+    bounds = shape.agg(F.min("b").alias("lo"), F.max("b").alias("hi"), F.sum("b").alias("all")).first()
     low, high = (bounds.lo / slack, bounds.hi * slack) if bounds.lo else (1, 0)
     lookup = shape.select("license", "template", "b", F.explode("g").alias("bigram"))
+    # Small tables of templates go to every task; with others the units' bigrams are shuffled to them.
+    lookup = F.broadcast(lookup) if (bounds.all or 0) <= BROADCAST_BIGRAMS else lookup
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.split(text, "\n", -1)
