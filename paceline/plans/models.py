@@ -14,11 +14,14 @@ from paceline.plans.statistics import SCORED, scored
 from paceline.session import scratch_path
 
 R = "race_date, place_code, race_no"
-NUMERIC = ["syouritu", "rentairitu2", "rentairitu3", "heikin_tokuten", "age", "nige_cnt", "makuri_cnt", "sasi_cnt", "car_no",
-           "syouritu_rank", "heikin_tokuten_gap", "race_n_cars", "race_mean_syouritu", "n_S_class_in_race"]
-LINE_NUMERIC = ["line_size", "line_pos", "pos_ratio", "n_lines_in_race"]
-CATEGORICAL = ["grade", "kyaku", "kyuhan"]
-ROUNDS, DEPTH = 20, 5
+# The features of the models that the driver tables bind.
+NUMERIC = ["age", "heikin_tokuten", "nige_cnt", "makuri_cnt", "sasi_cnt", "syouritu", "rentairitu2", "rentairitu3", "car_no",
+           "syouritu_rank", "rentairitu2_rank", "rentairitu3_rank", "heikin_tokuten_rank", "age_rank", "syouritu_gap", "rentairitu2_gap",
+           "heikin_tokuten_gap", "race_n_cars", "race_mean_syouritu", "race_std_syouritu", "n_nige_in_race", "n_oikomi_in_race",
+           "n_ryouten_in_race", "n_S_class_in_race"]
+LINE_NUMERIC = ["line_size", "line_pos", "is_line_head", "is_line_second", "is_line_third_plus", "is_tanki", "pos_ratio", "n_lines_in_race",
+                "max_line_size", "is_in_largest_line", "line_size_rank", "n_tanki_in_race", "head_nige_propensity"]
+CATEGORICAL = ["place_code", "grade", "kyuhan", "kyaku"]
 
 ANCHOR = {
     **SCORED,
@@ -146,8 +149,8 @@ _SAVED: dict[tuple[str, str, bool], str] = {}
 def trained(spark, sf, lines: bool = False):
     """Boosters on the races before 2000, fitted once per application, saved and loaded from there.
 
-    Rounds and depth are small here; the operator's defaults are the full ones. The candidate with line
-    features is fitted for the win target, which is what it is compared on.
+    Rounds, depth and patience are the operator's defaults. The candidate with line features is fitted for
+    the win target, which is what it is compared on.
     """
     df = dataset(spark, sf)
     numeric = NUMERIC + (LINE_NUMERIC if lines else [])
@@ -156,7 +159,7 @@ def trained(spark, sf, lines: bool = False):
     if key not in _SAVED:
         train = fe.split_by_date(df, "1999-12-31", "2000-01-01").where(F.col("split") == "train")
         path = scratch_path(spark, "boosters")
-        mo.save_models(mo.train_targets(train, numeric, CATEGORICAL, ROUNDS, DEPTH, targets=targets), path)
+        mo.save_models(mo.train_targets(train, numeric, CATEGORICAL, targets=targets), path)
         _SAVED[key] = path
     return mo.load_models(_SAVED[key], targets), df, numeric
 
