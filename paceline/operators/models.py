@@ -81,7 +81,8 @@ def _derivatives(races: DataFrame, a: Column, b: Column, by: Sequence[str]) -> D
     mq, mm = t["sq"] / t["s"], t["sm"] / t["s"]
     w = F.col("w")
     total = lambda x: F.sum(w * x) / F.sum(w)
-    return races.withColumn("_t", _sums(a, b)).groupBy(*by).agg(
+    # An exploded array of one is computed once; a plain column would be computed again for each of its uses.
+    return races.withColumn("_t", F.explode(F.array(_sums(a, b)))).groupBy(*by).agg(
         F.sum(w).alias("n"),
         total(F.ln(t["s"]) + t["top"] - a * t["wq"] - b * t["wm"]).alias("nll"),
         total(mq - t["wq"]).alias("ga"), total(mm - t["wm"]).alias("gb"),
@@ -108,24 +109,28 @@ class Fit:
     converged: bool = True
 
 
-def fit_cond_logit(races: DataFrame, with_model: bool = True, max_iter: int = 25, tol: float = 1e-9) -> dict[str, Fit]:
-    """Newton fits for all values of the column ``fit`` at once; ``w`` weighs the races.
+def fit_cond_logit(
+    races: DataFrame, with_model: bool = True, max_iter: int = 25, tol: float = 1e-9, start: dict[int, Fit] | None = None
+) -> dict[int, Fit]:
+    """Newton fits for all values of the column ``fit`` (small whole numbers) at once; ``w`` weighs the races.
 
-    One pass over the race rows per iteration; only the moments (one row per fit, at most a few
-    hundred fits) reach the driver.
+    One pass over the race rows per iteration; only the moments (one row per fit, at most some
+    thousand fits) reach the driver. Coefficients go out as one array, looked up by the number.
     """
     names = [r["fit"] for r in races.select("fit").distinct().collect()]
-    state = {n: np.array([1.0, 0.0]) for n in names}
-    done: dict[str, Fit] = {}
+    state = {n: np.array([start[n].a, start[n].b] if start else [1.0, 0.0]) for n in names}
+    done: dict[int, Fit] = {}
     last: dict = {}
     for _ in range(max_iter):
         if not state:
             break
-        table = {n: F.create_map(*[x for k, v in state.items() for x in (F.lit(k), F.lit(float(v[i])))]) for i, n in enumerate("ab")}
-        live = races.where(F.col("fit").isin(*state)) if len(state) < len(names) else races
-        rows = _derivatives(
-            live.withColumn("_a", F.element_at(table["a"], F.col("fit"))).withColumn("_b", F.element_at(table["b"], F.col("fit"))),
-            F.col("_a"), F.col("_b"), ["fit"]).collect()
+        table = np.full((2, max(names) + 1), np.nan)
+        for k, v in state.items():
+            table[:, k] = v
+        a, b = (F.element_at(F.lit(x), F.col("fit").cast("int") + 1) for x in table)
+        live = races.withColumn("_a", a).withColumn("_b", b)
+        live = live.where(~F.isnan("_a")) if len(state) < len(names) else live
+        rows = _derivatives(live, F.col("_a"), F.col("_b"), ["fit"]).collect()
         for r in rows:
             v = state[r["fit"]]
             if with_model:
@@ -149,27 +154,27 @@ def fit_cond_logit(races: DataFrame, with_model: bool = True, max_iter: int = 25
 
 
 def cond_logit_fit(races: DataFrame, with_model: bool = True) -> DataFrame:
-    rows = staged(races, "races").withColumns({"fit": F.lit("all"), "w": F.lit(1.0)})
+    rows = staged(races, "races").withColumns({"fit": F.lit(0), "w": F.lit(1.0)})
     f = fit_cond_logit(rows, with_model)
     return races.sparkSession.createDataFrame([(v.a, v.b, v.nll, int(v.n), v.converged) for v in f.values()], "a double, b double, nll double, n_races long, converged boolean")
 
 
-def _bootstrap_rows(races: DataFrame, replicates: int, seed: str) -> DataFrame:
-    draws = poisson_weights(races, F.concat_ws("|", *RACE), replicates, seed)
-    return draws.withColumn("fit", F.concat_ws("#", "fit", "rep")).withColumn("w", F.col("w").cast("double"))
+def _draws(races: DataFrame, replicates: int, seed: str) -> DataFrame:
+    """Races with their Poisson weight in each replicate."""
+    return poisson_weights(races, F.concat_ws("|", *RACE), replicates, seed).withColumn("w", F.col("w").cast("double"))
 
 
-def _interval(fits: dict[str, Fit], prefix: str) -> tuple[float, float]:
-    b = [f.b for k, f in fits.items() if k.split("#")[0] == prefix]
+def _interval(b: Sequence[float]) -> tuple[float, float]:
     return (float(np.percentile(b, 2.5)), float(np.percentile(b, 97.5))) if b else (None, None)
 
 
 def bootstrap_coef(races: DataFrame, replicates: int = 100, seed: str = "coef") -> DataFrame:
     """95% interval of b over refits on race resamples; all replicates are fitted together."""
-    rows = staged(races, "races").withColumn("fit", F.lit("all"))
-    point = fit_cond_logit(rows.withColumn("w", F.lit(1.0)))
-    low, high = _interval(fit_cond_logit(_bootstrap_rows(rows, replicates, seed), tol=1e-6), "all")
-    p = point.get("all")
+    rows = staged(races, "races")
+    point = fit_cond_logit(rows.withColumns({"fit": F.lit(0), "w": F.lit(1.0)}))
+    boots = fit_cond_logit(_draws(rows, replicates, seed).withColumn("fit", F.col("rep")), tol=1e-6)
+    low, high = _interval([f.b for f in boots.values()])
+    p = point.get(0)
     out = [] if p is None else [(p.a, p.b, low, high, int(p.n))]
     return races.sparkSession.createDataFrame(out, "a double, b double, b_ci_low double, b_ci_high double, n_races long")
 
@@ -194,17 +199,24 @@ def monthly_refit(
     wanted = [r["m"] for r in months.collect() if r["m"] not in have]
     if not wanted:
         return history
-    later = F.filter(F.array(*[F.lit(m) for m in wanted]), lambda m: m > F.col("month"))
-    rows = races.withColumn("fit", F.explode(later)).withColumn("w", F.lit(1.0))
-    span = rows.groupBy("fit").agg(
+    # The months are numbered; a race counts for those after its own.
+    later = lambda ks: F.explode(F.transform(
+        F.filter(F.array(*[F.struct(F.lit(wanted[k]).alias("m"), F.lit(k).alias("k")) for k in ks]), lambda x: x["m"] > F.col("month")), lambda x: x["k"]))
+    span = races.withColumn("fit", later(range(len(wanted)))).groupBy("fit").agg(
         F.count(F.lit(1)).alias("n"), F.min("race_date").cast("string").alias("lo"), F.max("race_date").cast("string").alias("hi"))
     info = {r["fit"]: r for r in span.collect() if r["n"] >= min_races}
     if not info:
         return history
-    rows = rows.where(F.col("fit").isin(*info))
+    rows = races.withColumn("fit", later(sorted(info))).withColumn("w", F.lit(1.0))
     blend, alpha = fit_cond_logit(rows), fit_cond_logit(rows, with_model=False)
-    boots = fit_cond_logit(_bootstrap_rows(rows.drop("w"), replicates, "months"), tol=1e-6) if replicates else {}
-    new = [(m, today, alpha[m].a, blend[m].a, blend[m].b, *_interval(boots, m), int(i["n"]), i["lo"], i["hi"]) for m, i in sorted(info.items())]
+    boots = {}
+    if replicates:
+        # Drawn once per race, before the months; each refit starts at its month's own coefficients.
+        drawn = _draws(races, replicates, "months").withColumn("_m", later(sorted(info)))
+        drawn = drawn.withColumn("fit", F.col("_m") * replicates + F.col("rep")).drop("_m")
+        boots = fit_cond_logit(drawn, tol=1e-6, start={k * replicates + i: blend[k] for k in info for i in range(replicates)})
+    bounds = {k: _interval([boots[i].b for i in range(k * replicates, (k + 1) * replicates) if i in boots]) for k in info}
+    new = [(wanted[k], today, alpha[k].a, blend[k].a, blend[k].b, *bounds[k], int(i["n"]), i["lo"], i["hi"]) for k, i in sorted(info.items())]
     return history.unionByName(spark.createDataFrame(new, HISTORY))
 
 

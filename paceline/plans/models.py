@@ -73,7 +73,9 @@ def empty_history(spark):
 
 @query("monthly_refit")
 def _(spark, sf):
-    return mo.monthly_refit(anchor(spark, sf), empty_history(spark), "2001-01", "2001-08-01", replicates=0)
+    frame = anchor(spark, sf)
+    days = b.races(spark, sf).agg(F.min("race_date").alias("lo"), F.max("race_date").alias("hi")).first()
+    return mo.monthly_refit(frame, empty_history(spark), f"{days.lo:%Y-%m}", str(days.hi)[:10])
 
 
 COEF = {
