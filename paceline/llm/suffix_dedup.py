@@ -9,6 +9,9 @@ interleave refinement: the interleave of order k + 1 follows from that of order
 distribution over the merged symbols, and where neighbours first part gives their longest common
 prefix. Suffixes are not sorted again for the merge. Intervals whose common prefix spans a whole run
 are the repeated runs; the smallest document in one is where the run came first.
+
+An anchor with very many contexts is not gathered: its runs are compared one by one, as an aggregation
+by the run's bytes with a map-side combine, so that no task holds all surroundings of one passage.
 """
 
 from __future__ import annotations
@@ -30,6 +33,8 @@ LENGTH = 50
 ANCHOR = 32
 #: Text bytes of a shard and context bytes of a merge task, about.
 SHARD_BYTES = 8 << 20
+#: Places of an anchor from which on its runs are compared one by one.
+HOT_PLACES = 20_000
 #: Symbols that UTF-8 never uses: the anchor, a NUL byte of the text, and the end of a context (0).
 _ANCHOR_SYMBOL, _NUL_SYMBOL = 0xC0, 0xC1
 _LAST = np.iinfo(np.int64).max
@@ -244,6 +249,7 @@ def repeated_passages(
         raise ValueError("the anchor takes 1 to 31 bytes less than the run")
     depth, width = side + 1, 2 * side + 1
     table, shards = _sharded(docs, id_col, text_col)
+    most = HOT_PLACES
 
     def fingerprints(rows: pa.Table) -> pa.Table:
         shard = _Shard(rows, length, anchor)
@@ -252,15 +258,18 @@ def repeated_passages(
         sorted_hashes, documents = hashes[order], shard.ids[shard.kept[owner[order]]]
         fresh = np.flatnonzero(np.concatenate([[True], sorted_hashes[1:] != sorted_hashes[:-1]])[: len(sorted_hashes)])
         if not len(fresh):
-            return pa.table({"part": pa.array([], pa.int64()), "shard": pa.array([], pa.int64()), "marks": pa.array([], pa.binary()), "multi": pa.array([], pa.binary())})
+            return pa.table({"part": pa.array([], pa.int64()), "shard": pa.array([], pa.int64()), "marks": pa.array([], pa.binary()), "multi": pa.array([], pa.binary()), "places": pa.array([], pa.binary())})
         several = np.minimum.reduceat(documents, fresh) != np.maximum.reduceat(documents, fresh)
+        # Places of each anchor, as the next power of two.
+        places = np.ceil(np.log2(np.diff(np.append(fresh, len(sorted_hashes))))).astype(np.uint8)
         marks, part = sorted_hashes[fresh], _parts(sorted_hashes[fresh], shards)
-        out = [(int(p), marks[part == p], several[part == p]) for p in np.unique(part)]
+        out = [(int(p), marks[part == p], several[part == p], places[part == p]) for p in np.unique(part)]
         return pa.table({
-            "part": pa.array([p for p, _, _ in out], pa.int64()), "shard": pa.array([rows.column("shard")[0].as_py()] * len(out), pa.int64()),
+            "part": pa.array([p for p, *_ in out], pa.int64()), "shard": pa.array([rows.column("shard")[0].as_py()] * len(out), pa.int64()),
             # Inside a part the low half tells marks apart; a chance agreement costs a context, not a wrong result.
-            "marks": pa.array([(m & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes() for _, m, _ in out], pa.binary()),
-            "multi": pa.array([np.packbits(s).tobytes() for _, _, s in out], pa.binary()),
+            "marks": pa.array([(m & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes() for _, m, _, _ in out], pa.binary()),
+            "multi": pa.array([np.packbits(s).tobytes() for _, _, s, _ in out], pa.binary()),
+            "places": pa.array([n.tobytes() for *_, n in out], pa.binary()),
         })
 
     def shared(rows: pa.Table) -> pa.Table:
@@ -271,14 +280,18 @@ def repeated_passages(
         found = [m[np.isin(m, again) | (f == 1)] for m, f in zip(marks, multi, strict=True)]
         flagged = np.unique(np.concatenate([m[f == 1] for m, f in zip(marks, multi, strict=True)]))
         found = [np.union1d(f, m[np.isin(m, flagged)]) for f, m in zip(found, marks, strict=True)]
-        return pa.table({"shard": rows.column("shard"), "part": rows.column("part"), "marks": pa.array([f.astype(np.uint32).tobytes() for f in found], pa.binary())})
+        places = np.concatenate([np.left_shift(1, np.frombuffer(x.as_buffer(), np.uint8).astype(np.int64)) for x in rows.column("places")])
+        hot = values[np.bincount(np.searchsorted(values, np.concatenate(marks)), weights=places) > most]
+        text = lambda arrays: pa.array([x.astype(np.uint32).tobytes() for x in arrays], pa.binary())
+        cool, warm = [f[~np.isin(f, hot)] for f in found], [f[np.isin(f, hot)] for f in found]
+        return pa.table({"shard": rows.column("shard"), "part": rows.column("part"), "marks": text(cool), "hot": text(warm)})
 
-    def hits(shard: _Shard, marks: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def hits(shard: _Shard, marks: pa.Table, kind: str = "marks") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         at, hashes, owner = shard.anchors()
         key = (_parts(hashes, shards).astype(np.uint64) << np.uint64(32)) | (hashes & np.uint64(0xFFFFFFFF))
         wanted = [
             (np.uint64(p.as_py()) << np.uint64(32)) | np.frombuffer(m.as_buffer(), np.uint32).astype(np.uint64)
-            for p, m in zip(marks.column("part"), marks.column("marks"), strict=True)
+            for p, m in zip(marks.column("part"), marks.column(kind), strict=True) if p.is_valid
         ]
         keep = np.isin(key, np.concatenate(wanted)) if wanted else np.zeros(len(key), bool)
         return at[keep], hashes[keep], owner[keep]
@@ -291,6 +304,31 @@ def repeated_passages(
         np.minimum.at(least, inverse, shard.ids[shard.kept[owner]])
         return at, owner, lead, inverse, hashes[first], rows[first], lengths[first], lead[first], least
 
+    def local_runs(shard: _Shard, marks: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Begin and owner of the runs that hold a hot anchor, the different runs, each one's number and smallest document."""
+        at, _, owner = hits(shard, marks, "hot")
+        begin, owner = (at[:, None] - np.arange(depth)).ravel(), np.repeat(owner, depth)
+        fits = (begin >= shard.edges[owner]) & (begin + length <= shard.edges[owner + 1])
+        begin, first = np.unique(begin[fits], return_index=True)
+        owner = owner[fits][first]
+        if not len(begin):
+            return begin, owner, np.zeros(0, f"V{length}"), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        runs = np.lib.stride_tricks.sliding_window_view(shard.body, length)[begin]
+        runs, number = np.unique(np.ascontiguousarray(runs).view(f"V{length}").ravel(), return_inverse=True)
+        least = np.full(len(runs), _LAST)
+        np.minimum.at(least, number, shard.ids[shard.kept[owner]])
+        return begin, owner, runs, number, least
+
+    def hot_runs(rows: pa.Table, marks: pa.Table) -> pa.Table:
+        runs, least, shard = np.zeros(0, f"V{length}"), np.zeros(0, np.int64), 0
+        if rows.num_rows and marks.num_rows:
+            *_, runs, _, least = local_runs(_Shard(rows, length, anchor), marks)
+            shard = rows.column("shard")[0].as_py()
+        return pa.table({
+            "run": pa.array([x.tobytes() for x in runs], pa.binary()), "shard": pa.array([shard] * len(runs), pa.int64()),
+            "number": pa.array(np.arange(len(runs)), pa.int64()), "least": pa.array(least, pa.int64()),
+        })
+
     def contexts(rows: pa.Table, marks: pa.Table) -> pa.Table:
         out: dict[str, list] = {"part": [], "shard": [], "hashes": [], "rows": [], "lengths": [], "lead": [], "least": []}
         if rows.num_rows and marks.num_rows:
@@ -331,7 +369,7 @@ def repeated_passages(
                 bits = np.zeros(len(hashes), np.uint32)
                 part = _parts(hashes, shards)
                 for p, b in zip(marks.column("part"), marks.column("bits"), strict=True):
-                    if b.is_valid:
+                    if p.is_valid and b.is_valid:
                         bits[part == p.as_py()] = np.frombuffer(b.as_buffer(), np.uint32)
                 mine = shard.ids[shard.kept[owner]] > least[inverse]
                 for o in range(depth):
@@ -340,6 +378,14 @@ def repeated_passages(
                     begin = (at - lead + o)[fits & (mine | ((bits[inverse] >> np.uint32(o)) & 1 == 1))]
                     np.add.at(change, begin, 1)
                     np.add.at(change, begin + length, -1)
+                begin, owner, runs, number, least = local_runs(shard, marks)
+                before = np.zeros(len(runs), bool)
+                for p, numbers in zip(marks.column("part"), marks.column("numbers"), strict=True):
+                    if not p.is_valid:
+                        before[np.array(numbers.as_py(), np.int64)] = True
+                begin = begin[before[number] | (shard.ids[shard.kept[owner]] > least[number])]
+                np.add.at(change, begin, 1)
+                np.add.at(change, begin + length, -1)
             gone = np.cumsum(change[:-1]) > 0
             place = {int(k): j for j, k in enumerate(shard.kept)}
             for k, text in enumerate(shard.texts):
@@ -357,14 +403,22 @@ def repeated_passages(
         kinds = [*[pa.int64()] * 4, pa.string(), pa.binary()]
         return pa.table({n: pa.array(v, t) for (n, v), t in zip(out.items(), kinds, strict=True)})
 
-    marks = table.groupBy("shard").applyInArrow(fingerprints, "part bigint, shard bigint, marks binary, multi binary")
-    wanted = staged(marks.groupBy("part").applyInArrow(shared, "shard bigint, part bigint, marks binary"), "shared-marks")
+    marks = table.groupBy("shard").applyInArrow(fingerprints, "part bigint, shard bigint, marks binary, multi binary, places binary")
+    wanted = staged(marks.groupBy("part").applyInArrow(shared, "shard bigint, part bigint, marks binary, hot binary"), "shared-marks")
     by_shard = lambda df: table.groupBy("shard").cogroup(df.groupBy("shard"))
     found = by_shard(wanted).applyInArrow(
         contexts, "part bigint, shard bigint, hashes binary, rows binary, lengths binary, lead binary, least binary"
     )
     bits = staged(found.groupBy("part").applyInArrow(merged, "shard bigint, part bigint, bits binary"), "repeat-bits")
-    asked = wanted.join(bits, ["shard", "part"], "left").select("shard", "part", "marks", "bits")
+    asked = wanted.join(bits, ["shard", "part"], "left").select("shard", "part", "marks", "hot", "bits", F.lit(None).cast("array<bigint>").alias("numbers"))
+    hot = wanted.where(F.length("hot") > 0)
+    if not hot.isEmpty():
+        # A shard gives a run once, so a run has at most as many rows as there are shards.
+        runs = staged(by_shard(hot).applyInArrow(hot_runs, "run binary, shard bigint, number bigint, least bigint"), "hot-runs")
+        first = runs.groupBy("run").agg(F.min("least").alias("first"))
+        again = runs.join(first, "run").where("first < least").groupBy("shard").agg(F.collect_list("number").alias("numbers"))
+        none = [F.lit(None).cast(k).alias(n) for n, k in (("part", "bigint"), ("marks", "binary"), ("hot", "binary"), ("bits", "binary"))]
+        asked = asked.unionByName(staged(again.select("shard", *none, "numbers"), "hot-again"))
     return by_shard(asked).applyInArrow(
         cut, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
     )
