@@ -3,236 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
-
-import numpy as np
-from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, IsotonicRegression
+
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from paceline.functions.moments import month_of
-from paceline.functions.numeric import clip, logit, sigmoid
+from paceline.functions.numeric import logit, sigmoid
 from paceline.keys import CAR, RACE, in_race
 from paceline.operators import ranks
+from paceline.operators.boosting import Booster, Fit as Boost, Shape, fit_boosters, load_boosters, save_boosters, scored
 from paceline.operators.cleaning import where_over
-from paceline.operators.stats import auc, brier, log_loss, poisson_weights
-from paceline.session import scratch_path, staged
-
-MIN_TRAIN_RACES = 500
-ALPHA_BOUNDS = (0.3, 3.0)
-
-# --- conditional logit: p ∝ q^a · m^b within a race --------------------------------------------
-
-
-def anchor_frame(model: DataFrame, results: DataFrame, market: DataFrame) -> DataFrame:
-    """Model score, market probability and winner per car, for races with one winner and full prices."""
-    first = results.groupBy(*CAR).agg(F.min("tyaku").alias("tyaku"))
-    df = model.select(*CAR, "p_win").join(first, CAR).withColumn(
-        "win", F.coalesce(F.col("tyaku") == 1, F.lit(False)).cast("int"))
-    df = df.join(market.select(*CAR, "mkt_win"), CAR, "left")
-    one = F.sum("win").over(in_race()) == 1
-    full = F.count("mkt_win").over(in_race()) == F.count(F.lit(1)).over(in_race())
-    return where_over(df, one & full).where("p_win > 0").select(*CAR, "win", "mkt_win", "p_win")
-
-
-def race_rows(frame: DataFrame) -> DataFrame:
-    """One row per race with its cars as an array: later passes need no shuffle."""
-    log = lambda c: F.ln(clip(F.col(c), 1e-9, 1.0))
-    car = F.struct(log("mkt_win").alias("q"), log("p_win").alias("m"), F.col("win").cast("double").alias("y"))
-    return frame.groupBy(*RACE).agg(F.collect_list(car).alias("cars"))
-
-
-def _sums(a: Column, b: Column) -> Column:
-    """Σe and its first and second moments, and the winner's logs, of one race.
-
-    The exponents are taken below the race's largest one (``top``), so that no sum underflows.
-    """
-    top = F.array_max(F.transform("cars", lambda x: a * x["q"] + b * x["m"]))
-    names = ["s", "sq", "sm", "sqq", "sqm", "smm", "wq", "wm"]
-    zero = F.struct(*[F.lit(0.0).alias(n) for n in names])
-
-    def add(acc: Column, x: Column) -> Column:
-        q, m = x["q"], x["m"]
-        e = F.exp(a * q + b * m - top)
-        step = [e, e * q, e * m, e * q * q, e * q * m, e * m * m, x["y"] * q, x["y"] * m]
-        return F.struct(*[(acc[n] + v).alias(n) for n, v in zip(names, step)])
-
-    return F.aggregate("cars", zero, add, lambda acc: F.struct(*[acc[n].alias(n) for n in names], top.alias("top")))
-
-
-def race_nll(a: Column, b: Column) -> Column:
-    """−ln p(winner) of one race row."""
-    t = _sums(a, b)
-    return F.ln(t["s"]) + t["top"] - a * t["wq"] - b * t["wm"]
-
-
-def cond_logit_nll(races: DataFrame, a: float, b: float) -> DataFrame:
-    loss = race_nll(F.lit(float(a)), F.lit(float(b)))
-    return races.agg(F.count(F.lit(1)).alias("n_races"), F.avg(loss).alias("nll"))
-
-
-def _derivatives(races: DataFrame, a: Column, b: Column, by: Sequence[str]) -> DataFrame:
-    t = F.col("_t")
-    mq, mm = t["sq"] / t["s"], t["sm"] / t["s"]
-    w = F.col("w")
-    total = lambda x: F.sum(w * x) / F.sum(w)
-    # An exploded array of one is computed once; a plain column would be computed again for each of its uses.
-    return races.withColumn("_t", F.explode(F.array(_sums(a, b)))).groupBy(*by).agg(
-        F.sum(w).alias("n"),
-        total(F.ln(t["s"]) + t["top"] - a * t["wq"] - b * t["wm"]).alias("nll"),
-        total(mq - t["wq"]).alias("ga"), total(mm - t["wm"]).alias("gb"),
-        total(t["sqq"] / t["s"] - mq * mq).alias("haa"), total(t["sqm"] / t["s"] - mq * mm).alias("hab"),
-        total(t["smm"] / t["s"] - mm * mm).alias("hbb"))
-
-
-def newton_step(races: DataFrame, a: float, b: float) -> DataFrame:
-    """One Newton step of the two-parameter fit, as a frame."""
-    d = _derivatives(races.withColumn("w", F.lit(1.0)), F.lit(float(a)), F.lit(float(b)), [])
-    det = F.col("haa") * F.col("hbb") - F.col("hab") * F.col("hab")
-    return d.select(
-        "nll", "ga", "gb", "haa", "hab", "hbb",
-        (F.lit(float(a)) - (F.col("hbb") * F.col("ga") - F.col("hab") * F.col("gb")) / det).alias("a_next"),
-        (F.lit(float(b)) - (F.col("haa") * F.col("gb") - F.col("hab") * F.col("ga")) / det).alias("b_next"))
-
-
-@dataclass
-class Fit:
-    a: float
-    b: float
-    nll: float
-    n: float
-    converged: bool = True
-
-
-def fit_cond_logit(
-    races: DataFrame, with_model: bool = True, max_iter: int = 25, tol: float = 1e-9, start: dict[int, Fit] | None = None
-) -> dict[int, Fit]:
-    """Newton fits for all values of the column ``fit`` (small whole numbers) at once; ``w`` weighs the races.
-
-    One pass over the race rows per iteration; only the moments (one row per fit, at most some
-    thousand fits) reach the driver. Coefficients go out as one array, looked up by the number.
-    """
-    names = [r["fit"] for r in races.select("fit").distinct().collect()]
-    state = {n: np.array([start[n].a, start[n].b] if start else [1.0, 0.0]) for n in names}
-    done: dict[int, Fit] = {}
-    last: dict = {}
-    for _ in range(max_iter):
-        if not state:
-            break
-        table = np.full((2, max(names) + 1), np.nan)
-        for k, v in state.items():
-            table[:, k] = v
-        a, b = (F.element_at(F.lit(x), F.col("fit").cast("int") + 1) for x in table)
-        live = races.withColumn("_a", a).withColumn("_b", b)
-        live = live.where(~F.isnan("_a")) if len(state) < len(names) else live
-        rows = _derivatives(live, F.col("_a"), F.col("_b"), ["fit"]).collect()
-        for r in rows:
-            v = state[r["fit"]]
-            if with_model:
-                h = np.array([[r["haa"], r["hab"]], [r["hab"], r["hbb"]]]) + 1e-12 * np.eye(2)
-                step = np.linalg.solve(h, np.array([r["ga"], r["gb"]]))
-            else:
-                step = np.array([r["ga"] / max(r["haa"], 1e-12), 0.0])
-            new = v - np.clip(step, -2.0, 2.0)
-            if not with_model:
-                new[0] = min(max(new[0], ALPHA_BOUNDS[0]), ALPHA_BOUNDS[1])
-            flat = max(abs(r["ga"]), abs(r["gb"]) if with_model else 0.0) < 1e-9
-            if flat or np.abs(new - v).max() < tol:
-                done[r["fit"]] = Fit(float(new[0]), float(new[1]), r["nll"], r["n"])
-                del state[r["fit"]]
-            else:
-                state[r["fit"]] = new
-            last[r["fit"]] = r
-    for n, v in state.items():
-        done[n] = Fit(float(v[0]), float(v[1]), last[n]["nll"], last[n]["n"], False)
-    return done
-
-
-def cond_logit_fit(races: DataFrame, with_model: bool = True) -> DataFrame:
-    rows = staged(races, "races").withColumns({"fit": F.lit(0), "w": F.lit(1.0)})
-    f = fit_cond_logit(rows, with_model)
-    return races.sparkSession.createDataFrame([(v.a, v.b, v.nll, int(v.n), v.converged) for v in f.values()], "a double, b double, nll double, n_races long, converged boolean")
-
-
-def _draws(races: DataFrame, replicates: int, seed: str) -> DataFrame:
-    """Races with their Poisson weight in each replicate."""
-    return poisson_weights(races, F.concat_ws("|", *RACE), replicates, seed).withColumn("w", F.col("w").cast("double"))
-
-
-def _interval(b: Sequence[float]) -> tuple[float, float]:
-    return (float(np.percentile(b, 2.5)), float(np.percentile(b, 97.5))) if b else (None, None)
-
-
-def bootstrap_coef(races: DataFrame, replicates: int = 100, seed: str = "coef") -> DataFrame:
-    """95% interval of b over refits on race resamples; all replicates are fitted together."""
-    rows = staged(races, "races")
-    point = fit_cond_logit(rows.withColumns({"fit": F.lit(0), "w": F.lit(1.0)}))
-    boots = fit_cond_logit(_draws(rows, replicates, seed).withColumn("fit", F.col("rep")), tol=1e-6)
-    low, high = _interval([f.b for f in boots.values()])
-    p = point.get(0)
-    out = [] if p is None else [(p.a, p.b, low, high, int(p.n))]
-    return races.sparkSession.createDataFrame(out, "a double, b double, b_ci_low double, b_ci_high double, n_races long")
-
-
-HISTORY = ("apply_month string, fitted_on string, alpha double, blend_a double, blend_b double, blend_b_ci_low double, "
-           "blend_b_ci_high double, train_races long, train_date_min string, train_date_max string")
-
-
-def monthly_refit(
-    frame: DataFrame, history: DataFrame, start_month: str, today: str, min_races: int = MIN_TRAIN_RACES, replicates: int = 100
-) -> DataFrame:
-    """Coefficients for months that have none yet, each from strictly earlier races; old rows stay.
-
-    The months are a short list; a race takes part in the fit of every later month.
-    """
-    spark = frame.sparkSession
-    races = staged(race_rows(frame).withColumn("month", month_of(F.col("race_date"))), "races")
-    have = {r["apply_month"] for r in history.select("apply_month").collect()}
-    months = spark.range(1).select(F.explode(F.transform(
-        F.sequence(F.lit(f"{start_month}-01").cast("date"), F.trunc(F.lit(today).cast("date"), "month"), F.expr("interval 1 month")),
-        lambda d: F.date_format(d, "yyyy-MM"))).alias("m"))
-    wanted = [r["m"] for r in months.collect() if r["m"] not in have]
-    if not wanted:
-        return history
-    # The months are numbered; a race counts for those after its own.
-    later = lambda ks: F.explode(F.transform(
-        F.filter(F.array(*[F.struct(F.lit(wanted[k]).alias("m"), F.lit(k).alias("k")) for k in ks]), lambda x: x["m"] > F.col("month")), lambda x: x["k"]))
-    span = races.withColumn("fit", later(range(len(wanted)))).groupBy("fit").agg(
-        F.count(F.lit(1)).alias("n"), F.min("race_date").cast("string").alias("lo"), F.max("race_date").cast("string").alias("hi"))
-    info = {r["fit"]: r for r in span.collect() if r["n"] >= min_races}
-    if not info:
-        return history
-    rows = races.withColumn("fit", later(sorted(info))).withColumn("w", F.lit(1.0))
-    blend, alpha = fit_cond_logit(rows), fit_cond_logit(rows, with_model=False)
-    boots = {}
-    if replicates:
-        # Drawn once per race, before the months; each refit starts at its month's own coefficients.
-        drawn = _draws(races, replicates, "months").withColumn("_m", later(sorted(info)))
-        drawn = drawn.withColumn("fit", F.col("_m") * replicates + F.col("rep")).drop("_m")
-        boots = fit_cond_logit(drawn, tol=1e-6, start={k * replicates + i: blend[k] for k in info for i in range(replicates)})
-    bounds = {k: _interval([boots[i].b for i in range(k * replicates, (k + 1) * replicates) if i in boots]) for k in info}
-    new = [(wanted[k], today, alpha[k].a, blend[k].a, blend[k].b, *bounds[k], int(i["n"]), i["lo"], i["hi"]) for k, i in sorted(info.items())]
-    return history.unionByName(spark.createDataFrame(new, HISTORY))
-
-
-def forward_eval_monthly(frame: DataFrame, history: DataFrame) -> DataFrame:
-    """Race and row losses per month with that month's own coefficients, and the weighted total."""
-    coef = history.select(F.col("apply_month").alias("month"), "alpha", "blend_a", "blend_b")
-    races = race_rows(frame).withColumn("month", month_of(F.col("race_date"))).join(coef, "month")
-    one, zero = F.lit(1.0), F.lit(0.0)
-    by_race = races.rollup("month").agg(
-        F.count(F.lit(1)).alias("n_races"), F.avg(race_nll(zero, one)).alias("rl_model"), F.avg(race_nll(one, zero)).alias("rl_mkt"),
-        F.avg(race_nll(F.col("alpha"), zero)).alias("rl_mkt_alpha"), F.avg(race_nll(F.col("blend_a"), F.col("blend_b"))).alias("rl_blend"))
-    rows = frame.withColumn("month", month_of(F.col("race_date"))).join(coef.select("month"), "month", "left_semi").rollup("month").agg(
-        F.count(F.lit(1)).alias("n_rows"), log_loss(F.col("win"), F.col("p_win")).alias("bl_model"), log_loss(F.col("win"), F.col("mkt_win")).alias("bl_mkt"))
-    label = F.coalesce("month", F.lit("total"))
-    return by_race.withColumn("month", label).join(rows.withColumn("month", label), "month")
+from paceline.operators.conditional import (
+    HISTORY, Fit, anchor_frame, bootstrap_coef, cond_logit_fit, cond_logit_nll, fit_all, forward_eval_monthly, interval,
+    monthly_refit, newton_step, race_blocks, race_nll, race_rows, resampled)
+from paceline.operators.stats import auc, brier, log_loss
+from paceline.session import staged
 
+__all__ = [
+    "HISTORY", "anchor_frame", "bootstrap_coef", "cond_logit_fit", "cond_logit_nll", "forward_eval_monthly", "monthly_refit",
+    "newton_step", "race_nll", "race_rows", "save_boosters", "load_boosters"]
 
 # --- blends ------------------------------------------------------------------------------------
 
@@ -287,138 +77,55 @@ def isotonic_calibrate(df: DataFrame, y: str, p: str) -> DataFrame:
 
 # --- boosted trees -----------------------------------------------------------------------------
 
-SENTINEL = -999.0
 CLF_TARGETS = {"y_win": "p_win", "y_top2": "p_top2", "y_top3": "p_top3"}
 
 
-def feature_stages(numeric: Sequence[str], categorical: Sequence[str]) -> list:
-    """Indexers and assembler; NULL numbers get a sentinel and an indicator, unknown levels their own bin."""
-    indexed = [StringIndexer(inputCol=f"_c_{c}", outputCol=f"_i_{c}", handleInvalid="keep") for c in categorical]
-    inputs = [f"_n_{c}" for c in numeric] + [f"_m_{c}" for c in numeric] + [f"_i_{c}" for c in categorical]
-    return [*indexed, VectorAssembler(inputCols=inputs, outputCol="features")]
-
-
-def model_input(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
-    cols = {f"_n_{c}": F.coalesce(F.col(c).cast("double"), F.lit(SENTINEL)) for c in numeric}
-    cols |= {f"_m_{c}": F.col(c).isNull().cast("double") for c in numeric}
-    cols |= {f"_c_{c}": F.coalesce(F.col(c).cast("string"), F.lit("")) for c in categorical}
-    return df.withColumns(cols)
-
-
-def best_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
-    """Rounds up to the smallest held-out loss, and whether ``patience`` rounds without a smaller one followed."""
-    best = 0
-    for k, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = k
-        elif k - best >= patience:
-            return best + 1, True
-    return best + 1, False
-
-
-def first_trees(spark: SparkSession, model, rounds: int):
-    """The booster cut to its first ``rounds`` trees."""
-    whole = model._java_obj
-    args = [whole.uid(), whole.trees()[:rounds], whole.treeWeights()[:rounds], whole.numFeatures()]
-    jvm = spark._jvm
-    if isinstance(model, GBTClassificationModel):
-        cut = jvm.org.apache.spark.ml.classification.GBTClassificationModel(*args, whole.numClasses())
-    else:
-        cut = jvm.org.apache.spark.ml.regression.GBTRegressionModel(*args)
-    return type(model)(whole.copyValues(cut, jvm.org.apache.spark.ml.param.ParamMap.empty()))
-
-
-def boosted(booster, ready: DataFrame, patience: int):
-    """A booster of the trees up to the best held-out round; it ends ``patience`` rounds behind that.
-
-    Spark's own stop has no patience, so boosting runs to a number of rounds that doubles until the stop lies
-    inside. A round depends on its number and the rounds before it alone: a longer run begins with the same trees.
-    """
-    train, valid = ready.where(~F.col("_valid")), ready.where("_valid")
-    most, upto = booster.getMaxIter(), min(booster.getMaxIter(), 2 * patience)
-    if valid.isEmpty():
-        return booster.fit(train)
-    while True:
-        model = booster.copy({booster.maxIter: upto}).fit(train)
-        more = ["absolute"] if isinstance(booster, GBTRegressor) else []
-        rounds, ended = best_round(model.evaluateEachIteration(valid, *more), patience)
-        if ended or upto == most:
-            return first_trees(ready.sparkSession, model, rounds)
-        upto = min(most, 2 * upto)
-
-
 def train_targets(
-    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], rounds: int = 800, depth: int = 6, rate: float = 0.05,
-    targets: Sequence[str] = (*CLF_TARGETS, "y_rank"), patience: int = 50,
-) -> dict[str, PipelineModel]:
+    df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], shape: Shape = Shape(),
+    arms: dict[str, tuple[str, Sequence[str], Sequence[str]]] | None = None,
+) -> dict[str, Booster]:
     """Three boosted classifiers and one L1 regressor, each kept up to its best round on the last tenth of the dates.
 
-    The targets are fitted side by side. Long boosting needs checkpoints, which go to the shared folder.
+    Classifiers are judged by their held-out AUC, the regressor by its mean absolute error. ``arms``
+    adds classifiers by name, each with its label, numbers and categories; all are fitted side by side.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(scratch_path(df.sparkSession, "rounds"))
-    rows = ranks.cum_tail_split(model_input(df, numeric, categorical), 0.9).withColumn("_valid", F.col("part") == "valid")
-    need = [c for c in rows.columns if c[:3] in ("_n_", "_m_", "_c_")]
-    rows = staged(rows.select(*need, "_valid", *CLF_TARGETS, "y_rank"), "train")
-    prep = Pipeline(stages=feature_stages(numeric, categorical)).fit(rows)
-    ready = prep.transform(rows).select("features", "_valid", *[F.col(c).cast("double").alias(c) for c in [*CLF_TARGETS, "y_rank"]])
-    shared = {"featuresCol": "features", "maxIter": rounds, "maxDepth": depth, "stepSize": rate, "maxBins": 64, "seed": 7,
-              "subsamplingRate": 0.85, "minInstancesPerNode": 100}
-
-    def fitted(y: str) -> PipelineModel:
-        booster = GBTClassifier(labelCol=y, **shared) if y in CLF_TARGETS else GBTRegressor(labelCol=y, lossType="absolute", **shared)
-        return PipelineModel(stages=[*prep.stages, boosted(booster, ready, patience)])
-
-    with ThreadPoolExecutor(len(targets)) as pool:
-        return dict(zip(targets, pool.map(inheritable_thread_target(df.sparkSession)(fitted), targets), strict=True))
-
-
-def save_models(models: dict[str, PipelineModel], path: str) -> None:
-    """One folder per target; a folder that is there is replaced."""
-    for y, model in models.items():
-        model.write().overwrite().save(f"{path}/{y}")
+    rows = ranks.cum_tail_split(df, 0.9)
+    own = (*numeric, *categorical)
+    fits = [*[Boost(y, y, "log", own, "auc") for y in CLF_TARGETS], Boost("y_rank", "y_rank", "l1", own)]
+    for name, (y, numbers, categories) in (arms or {}).items():
+        fits.append(Boost(name, y, "log", (*numbers, *categories), "auc"))
+        numeric, categorical = dict.fromkeys([*numeric, *numbers]), dict.fromkeys([*categorical, *categories])
+    return fit_boosters(rows, fits, list(numeric), list(categorical), F.col("part") == "valid", shape)
 
 
-def load_models(path: str, targets: Sequence[str] = (*CLF_TARGETS, "y_rank")) -> dict[str, PipelineModel]:
-    return {y: PipelineModel.load(f"{path}/{y}") for y in targets}
+def score_batch(models: dict[str, Booster], df: DataFrame, keep: Sequence[str] = CAR) -> DataFrame:
+    """Probabilities and predicted rank per car."""
+    names = {**CLF_TARGETS, "y_rank": "pred_rank"}
+    return scored({names[y]: models[y] for y in names if y in models}, df, keep)
 
 
-def score_batch(models: dict[str, PipelineModel], df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], keep: Sequence[str] = CAR) -> DataFrame:
-    """Probabilities and predicted rank per car."""
-    out = model_input(df, numeric, categorical)
-    base = list(out.columns)
-    for y, name in CLF_TARGETS.items():
-        if y in models:
-            out = models[y].transform(out).withColumn(name, vector_to_array("probability")[1]).select(*base, name)
-            base.append(name)
-    if "y_rank" in models:
-        out = models["y_rank"].transform(out).withColumnRenamed("prediction", "pred_rank")
-        base.append("pred_rank")
-    return out.select(*keep, *[c for c in base if c in {*CLF_TARGETS.values(), "pred_rank"}])
-
-
-def ab_score(a: dict[str, PipelineModel], z: dict[str, PipelineModel], df: DataFrame, inputs: dict[str, tuple[list, list]], y: str = "y_win") -> DataFrame:
+def ab_score(a: Booster, z: Booster, df: DataFrame, y: str = "y_win") -> DataFrame:
     """The same rows scored by two models, with their scores side by side in one table."""
-    parts = []
-    for arm, models in (("A", a), ("B", z)):
-        numeric, categorical = inputs[arm]
-        scored = score_batch({y: models[y]}, df, numeric, categorical, [*CAR, y]).withColumnRenamed(CLF_TARGETS[y], "p")
-        parts.append(scored.withColumn("arm", F.lit(arm)))
-    rows = parts[0].unionByName(parts[1])
+    both = scored({"A": a, "B": z}, df, [y])
+    rows = both.select(y, F.explode(F.array(*[F.struct(F.lit(n).alias("arm"), F.col(n).alias("p")) for n in "AB"])).alias("x")).select(y, "x.*")
     area = auc(rows, y, "p", ["arm"])
     loss = rows.groupBy("arm").agg(F.count(F.lit(1)).alias("n"), log_loss(F.col(y), F.col("p")).alias("log_loss"))
     return area.select("arm", "auc").join(loss, "arm")
 
 
-def feature_importance(spark, models: dict[str, PipelineModel], numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
-    """Importance share per feature and target (features are a short, fixed list) and the total."""
-    names = [*numeric, *[f"{c}:missing" for c in numeric], *categorical]
-    rows = [(y, n, float(v)) for y, m in models.items() for n, v in zip(names, m.stages[-1].featureImportances.toArray(), strict=True)]
-    long = spark.createDataFrame(rows, "target string, feature string, importance double")
-    wide = long.groupBy("feature").pivot("target", list(models)).agg(F.first("importance"))
+def feature_importance(spark: SparkSession, models: dict[str, Booster], features: Sequence[str]) -> DataFrame:
+    """Share of the gain and number of splits per feature and target (features are a short, fixed list), and the totals."""
+    rows = []
+    for y, model in models.items():
+        found = model.importance()
+        gain = sum(found[f][0] for f in features)
+        rows += [(y, f, found[f][0] / gain if gain else 0.0, found[f][1]) for f in features]
+    long = spark.createDataFrame(rows, "target string, feature string, importance double, splits long")
+    wide = long.groupBy("feature").agg(
+        *[F.max(F.when(F.col("target") == y, F.col("importance"))).alias(y) for y in models],
+        *[F.max(F.when(F.col("target") == y, F.col("splits"))).alias(f"{y}_splits") for y in models])
     total = sum((F.col(y) for y in models), F.lit(0.0))
-    return wide.withColumn("total", total / len(models))
+    return wide.withColumn("total", total / len(models)).withColumn("total_splits", sum((F.col(f"{y}_splits") for y in models), F.lit(0)))
 
 
 # --- market residual ---------------------------------------------------------------------------
@@ -435,23 +142,43 @@ def residual_dataset(market: DataFrame, lines: DataFrame, results: DataFrame) ->
     return out.withColumn("mkt_win", F.col("mkt_win") / F.sum("mkt_win").over(in_race())).drop("n_res", "tyaku")
 
 
-def market_residual_model(df: DataFrame, features: Sequence[str], train_end: str) -> DataFrame:
-    """Binomial model with the market logit as offset; the fitted margin then enters the conditional logit.
+#: Small, strongly held back trees: what they add to the market has to show on most of their rows.
+RESIDUAL_SHAPE = Shape(rounds=600, depth=3, rate=0.03, patience=50, min_rows=300, l2=10.0, feature_share=0.9, row_share=1.0)
+
+
+def market_residual_model(
+    df: DataFrame, features: Sequence[str], train_end: str, calib_end: str, replicates: int = 100, shape: Shape = RESIDUAL_SHAPE
+) -> DataFrame:
+    """Boosted trees that start from the market logit, and what their margin adds to the market.
 
-    Returns the coefficient of the margin and race losses on the later rows.
+    Trees are fitted on races up to ``train_end`` and stopped by the log loss of its last month. On the
+    races after that up to ``calib_end`` the market's exponent alone (``alpha``) and the pair (``a``,
+    ``c_calib``; c is the exponent of the margin) are fitted, and race losses are taken on the races
+    after ``calib_end``. ``c_oos`` and its 95% interval come from all races after ``train_end``, by
+    resampled races. One row; columns of a period without races are NULL.
     """
-    edge = F.lit(train_end).cast("date")
-    off = F.col("mkt_win")
-    vec = VectorAssembler(inputCols=list(features), outputCol="features").transform(
-        staged(df, "residual").withColumn("off", logit(off, 1e-6)).withColumn("label", F.col("win").cast("double"))
-        .withColumns({f: F.col(f).cast("double") for f in features}))
-    model = GeneralizedLinearRegression(family="binomial", link="logit", offsetCol="off", regParam=0.01, linkPredictionCol="eta").fit(
-        vec.where(F.col("race_date") <= edge))
-    oos = staged(model.transform(vec.where(F.col("race_date") > edge)).withColumn("f", F.col("eta") - F.col("off")).select(*CAR, "win", "mkt_win", "f"), "margin")
-    top = oos.agg(F.max("f")).first()[0]
-    if top is None:
-        return df.sparkSession.createDataFrame([], "a double, c double, n_races long, ll_market double, ll_market_plus_line double")
-    races = staged(race_rows(oos.withColumn("p_win", F.exp(F.col("f") - F.lit(top)))), "races")
-    fit = cond_logit_fit(races).withColumnRenamed("b", "c").withColumnRenamed("nll", "ll_market_plus_line")
-    plain = cond_logit_nll(races, 1.0, 0.0).select("nll")
-    return fit.withColumn("ll_market", plain.scalar()).select("a", "c", "n_races", "ll_market", "ll_market_plus_line")
+    spark, day = df.sparkSession, F.col("race_date")
+    edge, calib = F.lit(train_end).cast("date"), F.lit(calib_end).cast("date")
+    rows = staged(df.select(*CAR, "win", "mkt_win", *[F.col(f).cast("double").alias(f) for f in features])
+                  .withColumn("off", logit(F.col("mkt_win"), 1e-6)), "residual")
+    fit = Boost("line", "win", "log", tuple(features), "loss", "off")
+    model = fit_boosters(rows.where(day <= edge), [fit], features, [], day > F.add_months(edge, -1), shape)["line"]
+    later = rows.where(day > edge)
+    scored_rows = staged(scored({"f": model}, later, [*CAR, "win", "mkt_win"], margin=True), "margin")
+    top = scored_rows.agg(F.max("f")).first()[0]
+    # The logit within a race does not see a constant, so the margins are shifted to 0 at most.
+    races = staged(race_rows(scored_rows.withColumn("p_win", F.exp(F.col("f") - F.lit(top or 0.0)))), "races")
+    blocks = race_blocks(races, F.when(day <= calib, 0).otherwise(1), replicates, "residual")
+    alpha, pair, whole = fit_all(blocks, [Fit(before=1, with_model=False), Fit(before=1), Fit()])
+    low, high = interval(resampled(blocks, whole, replicates) if whole.n else [])
+    n = df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(*RACE).alias("races"), F.count_distinct(
+        F.when(day <= edge, F.struct(*RACE))).alias("train")).first()
+    value = lambda f, x: F.lit(x).cast("double") if f.n else F.lit(None).cast("double")
+    loss = lambda a, b: F.avg(race_nll(F.lit(float(a)), F.lit(float(b))))
+    test = races.where(day > calib).agg(
+        F.count(F.lit(1)).alias("test_races"), loss(1, 0).alias("ll_market"), loss(alpha.a, 0).alias("ll_market_alpha"), loss(pair.a, pair.b).alias("ll_market_plus_line"))
+    return test.select(
+        F.lit(n["rows"]).alias("n_rows"), F.lit(n["races"]).alias("n_races"), F.lit(n["train"]).alias("train_races"), F.lit(int(pair.n)).cast("long").alias("calib_races"),
+        "test_races", F.lit(len(model.trees)).alias("best_iter"), value(alpha, alpha.a).alias("alpha"), value(pair, pair.a).alias("a"), value(pair, pair.b).alias("c_calib"),
+        value(whole, whole.b).alias("c_oos"), F.lit(low).cast("double").alias("c_ci_low"), F.lit(high).cast("double").alias("c_ci_high"),
+        *[F.when(F.lit(pair.n > 0), F.col(c)).alias(c) for c in ("ll_market", "ll_market_alpha", "ll_market_plus_line")])

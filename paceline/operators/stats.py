@@ -119,12 +119,12 @@ def t_pvalues(stats: DataFrame) -> DataFrame:
 
 # --- resampling -------------------------------------------------------------------------------
 
-# Poisson(1) cut points on a 20-bit draw: P(K<=0), P(K<=1), … as whole numbers of 2^-20.
+# Poisson(1) cut points on a 20-bit draw: P(K<=0), P(K<=1), … as whole numbers of 2^-20, as far as the
+# draw can tell them from 1 (weights up to 9).
 DRAW_BITS = 20
 DRAWS_PER_DIGEST = 6
-POISSON_CUTS = [
-    round(2**DRAW_BITS * sum(math.exp(-1) / math.factorial(j) for j in range(k + 1))) for k in range(8)
-]
+_CUMULATED = [round(2**DRAW_BITS * sum(math.exp(-1) / math.factorial(j) for j in range(k + 1))) for k in range(16)]
+POISSON_CUTS = [c for c in _CUMULATED if c < 2**DRAW_BITS]
 
 
 def _draw_words(clusters: DataFrame, key: Column, replicates: int, seed: str) -> DataFrame:

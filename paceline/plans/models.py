@@ -142,55 +142,50 @@ def _(spark, sf):
 @query("market_residual_model")
 def _(spark, sf):
     feats = ["line_size", "line_pos", "is_line_head", "pos_ratio", "n_lines_in_race", "is_in_largest_line", "head_nige_propensity"]
-    return mo.market_residual_model(residual(spark, sf), feats, "1999-12-31")
+    return mo.market_residual_model(residual(spark, sf), feats, "1998-12-31", "1999-12-31")
 
 
-_SAVED: dict[tuple[str, str, bool], str] = {}
+_SAVED: dict[tuple[str, str], str] = {}
 
 
-def trained(spark, sf, lines: bool = False):
+def trained(spark, sf):
     """Boosters on the races before 2000, fitted once per application, saved and loaded from there.
 
-    Rounds, depth and patience are the operator's defaults. The candidate with line features is fitted for
-    the win target, which is what it is compared on.
+    Rounds, depth and patience are the operator's defaults. The candidate ``line`` has the line features
+    too and is fitted for the win target, which is what it is compared on.
     """
     df = dataset(spark, sf)
-    numeric = NUMERIC + (LINE_NUMERIC if lines else [])
-    targets = ["y_win"] if lines else [*mo.CLF_TARGETS, "y_rank"]
-    key = (spark.sparkContext.applicationId, sf, lines)
+    key = (spark.sparkContext.applicationId, sf)
     if key not in _SAVED:
         train = fe.split_by_date(df, "1999-12-31", "2000-01-01").where(F.col("split") == "train")
         path = scratch_path(spark, "boosters")
-        mo.save_models(mo.train_targets(train, numeric, CATEGORICAL, targets=targets), path)
+        arms = {"line": ("y_win", [*NUMERIC, *LINE_NUMERIC], CATEGORICAL)}
+        mo.save_boosters(mo.train_targets(train, NUMERIC, CATEGORICAL, arms=arms), spark, path)
         _SAVED[key] = path
-    return mo.load_models(_SAVED[key], targets), df, numeric
+    return mo.load_boosters(spark, _SAVED[key]), df.where(F.col("race_date") >= F.lit("2000-01-01").cast("date"))
 
 
 @query("score_batch")
 def _(spark, sf):
-    models, df, numeric = trained(spark, sf)
-    return mo.score_batch(models, df.where(F.col("race_date") >= F.lit("2000-01-01").cast("date")), numeric, CATEGORICAL)
+    return mo.score_batch(*trained(spark, sf))
 
 
 @query("train_targets")
 def _(spark, sf):
-    models, df, numeric = trained(spark, sf)
-    test = df.where(F.col("race_date") >= F.lit("2000-01-01").cast("date"))
-    scored_rows = mo.score_batch(models, test, numeric, CATEGORICAL, [*CAR, "y_win", "y_top2", "y_top3", "y_rank"])
-    return scored_rows.agg(
+    models, test = trained(spark, sf)
+    rows = mo.score_batch(models, test, [*CAR, "y_win", "y_top2", "y_top3", "y_rank"])
+    return rows.agg(
         F.count(F.lit(1)).alias("n"), *[st.log_loss(F.col(y), F.col(p)).alias(f"ll_{p}") for y, p in mo.CLF_TARGETS.items()],
-        st.mae(F.col("y_rank"), F.col("pred_rank")).alias("mae_rank"))
+        st.mae(F.col("y_rank"), F.col("pred_rank")).alias("mae_rank"), *[F.lit(len(m.trees)).alias(f"rounds_{y}") for y, m in models.items()])
 
 
 @query("feature_importance")
 def _(spark, sf):
-    models, _, numeric = trained(spark, sf)
-    return mo.feature_importance(spark, models, numeric, CATEGORICAL)
+    models, _ = trained(spark, sf)
+    return mo.feature_importance(spark, {y: models[y] for y in (*mo.CLF_TARGETS, "y_rank")}, [*NUMERIC, *CATEGORICAL])
 
 
 @query("ab_score")
 def _(spark, sf):
-    a, df, base = trained(spark, sf)
-    z, _, more = trained(spark, sf, lines=True)
-    test = df.where(F.col("race_date") >= F.lit("2000-01-01").cast("date"))
-    return mo.ab_score(a, z, test, {"A": (base, CATEGORICAL), "B": (more, CATEGORICAL)})
+    models, test = trained(spark, sf)
+    return mo.ab_score(models["y_win"], models["line"], test)

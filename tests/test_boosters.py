@@ -1,45 +1,124 @@
-"""Boosted trees: patience, and what the registered queries fit."""
+"""Boosted trees: what they learn, where they stop, both ways to run the steps, and the registered queries."""
 
-import inspect
+import math
 
 import numpy as np
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+import pytest
+from pyspark.sql import functions as F
 
-from paceline.operators import models as mo
+from paceline.operators import boosting as bo, models as mo
 from paceline.plans import models as plans
-from paceline.session import staged
-
-TRAIN = mo.train_targets
-
-
-def test_boosting_ends_a_patience_behind_its_best_round(frame):
-    assert mo.best_round([5.0, 4.0, 4.5, 4.2, 3.0, 3.5], 3) == (5, False)
-    assert mo.best_round([5.0, 4.0, 4.5, 4.2, 4.1, 3.0], 3) == (2, True)
-    rng = np.random.default_rng(4)
-    x, z = rng.normal(size=(2, 2000))
-    y = (rng.random(2000) < np.where(z > 0, 0.9, 0.1)).astype(float)
-    rows = frame("x double, z double, y double, _valid boolean", [(float(a), float(b), float(c), i % 10 == 0) for i, (a, b, c) in enumerate(zip(x, z, y))])
-    ready = staged(VectorAssembler(inputCols=["x", "z"], outputCol="features").transform(rows).coalesce(1), "ready")
-    shared = {"labelCol": "y", "maxDepth": 3, "stepSize": 0.9, "seed": 7, "subsamplingRate": 0.85}
-    for booster, more in ((GBTClassifier(maxIter=24, **shared), []), (GBTRegressor(maxIter=24, lossType="absolute", **shared), ["absolute"])):
-        whole = booster.fit(ready.where("not _valid"))
-        rounds, _ = mo.best_round(whole.evaluateEachIteration(ready.where("_valid"), *more), 3)
-        got = mo.boosted(booster, ready, 3)
-        body = lambda trees: [t.toDebugString.split("\n", 1)[1] for t in trees]
-        assert 0 < got.getNumTrees == rounds < 24 and body(got.trees) == body(whole.trees)[:rounds]
-        assert got.transform(ready).where("prediction is not null").count() == 2000
-
-
-def test_registered_boosters_are_the_full_ones(monkeypatch, spark):
-    asked = []
-    monkeypatch.setattr(plans, "_SAVED", {})
-    monkeypatch.setattr(plans, "dataset", lambda spark, sf: spark.sql("SELECT DATE '1999-01-01' AS race_date"))
-    monkeypatch.setattr(mo, "train_targets", lambda *a, **k: asked.append((a, k)) or {})
-    monkeypatch.setattr(mo, "load_models", lambda *a: {})
-    plans.trained(spark, "none")
-    default = inspect.signature(TRAIN).bind(*asked[0][0], **asked[0][1])
-    default.apply_defaults()
-    assert (default.arguments["rounds"], default.arguments["depth"], default.arguments["patience"]) == (800, 6, 50)
-    assert len(default.arguments["numeric"]) == 24 and default.arguments["categorical"] == ["place_code", "grade", "kyuhan", "kyaku"]
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def rows_of(n=2400, seed=4):
+    """x decides where it is known, c (a category) where it is not; the last tenth is held out."""
+    rng = np.random.default_rng(seed)
+    out = []
+    for i in range(n):
+        x, c = rng.normal(), str(rng.choice(list("abcd")))
+        known = i % 5 > 0
+        p = (0.85 if x > 0.3 else 0.1) if known else (0.9 if c in "bd" else 0.05)
+        y = int(rng.random() < p)
+        out.append((i, float(x) if known else None, c if i % 7 else None, float(rng.normal()), y, 8.0 - 6 * y + float(rng.random()), 0.4 * x, i % 10 == 9))
+    return out
+
+
+@pytest.fixture()
+def rows(frame):
+    return frame("i long, x double, c string, noise double, y int, r double, off double, held boolean", rows_of())
+
+
+FITS = [bo.Fit("y", "y", "log", ("x", "c", "noise"), "auc"), bo.Fit("r", "r", "l1", ("x", "c", "noise")),
+        bo.Fit("z", "y", "log", ("x", "c"), "loss", "off")]
+SHAPE = bo.Shape(rounds=12, depth=3, rate=0.3, patience=4, min_rows=20)
+
+
+def fitted(rows, shape=SHAPE, fits=FITS):
+    return bo.fit_boosters(rows, fits, ["x", "noise"], ["c"], F.col("held"), shape)
+
+
+def test_both_ways_to_run_the_steps_agree(rows, monkeypatch):
+    """Carried margins, levels of sums and one task per fit give the same trees."""
+    alone = fitted(rows)
+    monkeypatch.setattr(bo, "ONE_TASK_BYTES", 0)
+    monkeypatch.setattr(bo, "CARRY", 2)
+    steps = fitted(rows, bo.Shape(rounds=5, depth=3, rate=0.3, patience=4, min_rows=20))
+    for name, b in steps.items():
+        n = min(len(b.history), len(alone[name].history))
+        assert n >= 4 and b.history[:n] == pytest.approx(alone[name].history[:n], abs=1e-9)
+        for one, two in zip(b.trees, alone[name].trees):
+            assert one.feature.tolist() == two.feature.tolist() and one.left.tolist() == two.left.tolist()
+            assert one.value == pytest.approx(two.value, abs=1e-9)
+
+
+def test_boosters_learn_and_give_null_a_side(rows, spark, tmp_path):
+    models = fitted(rows)
+    bo.save_boosters(models, spark, f"{tmp_path}/m")
+    again = bo.load_boosters(spark, f"{tmp_path}/m")
+    got = bo.scored(again, rows, ["i"]).toPandas()
+    both = bo.scored({"p": again["y"], "e": again["r"]}, rows, ["x", "c", "y", "r"]).toPandas()
+    known = both[both.x.notna()]
+    assert known[known.x > 0.5].p.mean() > known[known.x < 0].p.mean() + 0.5
+    unknown = both[both.x.isna() & both.c.notna()]
+    assert unknown[unknown.c.isin(["b", "d"])].p.mean() > unknown[unknown.c.isin(["a", "c"])].p.mean() + 0.4
+    assert abs(both.e - both.r).mean() < abs(both.r - both.r.median()).mean() * 0.7
+    assert bo.scored(again, rows.limit(0), ["x"]).columns == ["x", *again] and set(again) == set(models) and got.shape[0] == 2400
+    gain = again["y"].importance()
+    assert gain["x"][0] > gain["c"][0] > gain["noise"][0] and gain["x"][1] >= len(again["y"].trees)
+
+
+def test_best_split_against_all_splits():
+    rng = np.random.default_rng(1)
+    hist = np.abs(rng.normal(size=(3, 2, 3, 6))) * 40
+    hist[0] -= 30
+    got = bo.best_splits(hist, np.array([False, True]), 5, 0.5)
+    for node in range(3):
+        g, h, n = hist[:, 0, node]
+        score = lambda s: g[s].sum() ** 2 / (h[s].sum() + 0.5)
+        every = np.arange(6)
+        best = 0.0
+        for cut in range(1, 6):
+            for null in (True, False):
+                left = np.array(([0] if null else []) + list(range(1, cut + (0 if null and cut == 0 else 1))))
+                right = np.setdiff1d(every, left)
+                if len(right) and n[left].sum() >= 5 and n[right].sum() >= 5:
+                    best = max(best, score(left) + score(right) - score(every))
+        assert got[0, node, 0] == pytest.approx(max(best, got[0, node, 0]), rel=1e-9) and got[0, node, 0] >= best - 1e-9
+
+
+def test_stop_lies_a_patience_behind_the_best_round(rows):
+    out = fitted(rows, bo.Shape(rounds=60, depth=3, rate=0.9, patience=4, min_rows=20))
+    for b in out.values():
+        best = int(np.argmin(b.history)) + 1
+        assert len(b.trees) == best and (len(b.history) == best + 4 or len(b.history) == 60)
+
+
+def test_odd_inputs_give_the_base(frame):
+    schema = "i long, x double, c string, noise double, y int, r double, off double, held boolean"
+    same = fitted(frame(schema, [(i, 1.0, "a", 0.0, int(i < 30), 2.0, 0.0, False) for i in range(90)]))
+    assert same["y"].trees == [] and sigmoid(same["y"].base) == pytest.approx(1 / 3) and same["r"].base == 2.0
+    empty = fitted(frame(schema, []))
+    assert all(b.trees == [] for b in empty.values())
+    flat = fitted(frame(schema, [(i, float("nan"), None, None, i % 2, 1.0, 0.0, None) for i in range(90)]))
+    assert flat["z"].base == 0.0
+
+
+def sigmoid(z):
+    return 1 / (1 + math.exp(-z))
+
+
+def test_registered_queries_end_with_rows(spark):
+    """The registered queries themselves, at their full setting, on the smallest tables."""
+    from paceline import plans as package
+
+    queries = package.load().queries
+    row = queries["train_targets"](spark, SMALL).first()
+    assert row.n > 500 and 0 < row.ll_p_win < 0.7 and 0 < row.mae_rank < 3 and min(row[f"rounds_{y}"] for y in mo.CLF_TARGETS) >= 1
+    scores = queries["score_batch"](spark, SMALL)
+    assert scores.count() == row.n and scores.where("p_win NOT BETWEEN 0 AND 1 OR pred_rank IS NULL").isEmpty()
+    found = queries["feature_importance"](spark, SMALL).collect()
+    assert len(found) == len(plans.NUMERIC) + len(plans.CATEGORICAL) and sum(r.total for r in found) == pytest.approx(1)
+    assert sum(r.total_splits for r in found) > 0
+    assert {r.arm for r in queries["ab_score"](spark, SMALL).collect()} == {"A", "B"}

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from paceline.keys import RACE
+from paceline.operators.boosting import Shape
 from paceline.operators import combos as co, features as fe, market as mk, models as mo
 
 ODDS = "race_date date, place_code int, race_no long, bet_type string, kumi_ban string, odds double"
@@ -120,13 +121,13 @@ def test_trees_learn_and_route_missing_values(frame):
         y = int(rng.random() < (0.8 if x > 0 else 0.1))
         rows.append((f"2026-01-{1 + i % 28:02d}", 1, i, 1, None if i % 10 == 0 else float(x), "a" if i % 2 else None, y, y, y, 1 if y else 8))
     df = frame("race_date date, place_code int, race_no long, car_no int, x double, c string, y_win int, y_top2 int, y_top3 int, y_rank int", rows)
-    models = mo.train_targets(df, ["x"], ["c"], rounds=3, depth=2)
-    out = mo.score_batch(models, df, ["x"], ["c"], [*RACE, "car_no", "x"])
+    models = mo.train_targets(df, ["x"], ["c"], Shape(rounds=3, depth=2, rate=0.5))
+    out = mo.score_batch(models, df, [*RACE, "car_no", "x"])
     lo, hi = (out.where(w).agg(F.avg("p_win")).first()[0] for w in ("x < -0.5", "x > 0.5"))
     assert hi > lo + 0.3 and {"p_win", "p_top2", "p_top3", "pred_rank"} <= set(out.columns) and out.count() == 1500
-    imp = mo.feature_importance(df.sparkSession, models, ["x"], ["c"]).orderBy(F.desc("total")).first()
+    imp = mo.feature_importance(df.sparkSession, models, ["x", "c"]).orderBy(F.desc("total")).first()
     assert imp["feature"] == "x"
-    ab = mo.ab_score(models, models, df, {"A": (["x"], ["c"]), "B": (["x"], ["c"])}).collect()
+    ab = mo.ab_score(models["y_win"], models["y_win"], df).collect()
     assert len(ab) == 2 and abs(ab[0]["auc"] - ab[1]["auc"]) < 1e-12
 
 

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from paceline.operators import models as mo
+from paceline.operators import conditional as mo
 from paceline.plans import models as plans
 from tests.test_market import ANCHOR, market_rows
 
@@ -43,12 +43,23 @@ def test_interval_covers_the_coefficient_of_each_month(spark, frame):
         assert 0.4 * width < 4 * np.std(b) < 2.5 * width
 
 
-def test_registered_refit_covers_all_months(spark, monkeypatch):
-    asked = []
-    monkeypatch.setattr(plans, "anchor", lambda *a: None)
-    monkeypatch.setattr(plans.b, "races", lambda spark, sf: spark.sql("SELECT explode(array(DATE '1995-01-03', DATE '2001-08-01')) AS race_date"))
-    monkeypatch.setattr(mo, "monthly_refit", lambda *a, **k: asked.append((a[2:], k)) or spark.createDataFrame([], mo.HISTORY))
+def test_draws_are_those_of_the_other_resampling(spark, frame):
+    from paceline.operators.conditional import poisson_draws
+    from paceline.operators.stats import poisson_weights
+
+    races = frame("name string", [(f"2026-07-{d:02d}|{p}|{r}",) for d in range(1, 6) for p in range(3) for r in range(12)])
+    names = [r.name for r in races.collect()]
+    w = poisson_draws(names, 20, "months")
+    want = {(r.name, r.rep): r.w for r in poisson_weights(races, races["name"], 20, "months").collect()}
+    assert {(n, k): int(w[i, k]) for i, n in enumerate(names) for k in range(20) if w[i, k]} == want
+
+
+def test_registered_refit_covers_all_months(spark):
     from paceline import plans as package
 
-    package.load().queries["monthly_refit"](spark, "none")
-    assert asked == [(("1995-01", "2001-08-01"), {})]
+    got = package.load().queries["monthly_refit"](spark, "/root/testdata/sf0.001").collect()
+    days = plans.b.races(spark, "/root/testdata/sf0.001").selectExpr("min(race_date) lo", "max(race_date) hi").first()
+    assert len(got) > 20 and max(r.apply_month for r in got) == f"{days.hi:%Y-%m}"
+    for r in got:
+        assert r.train_date_max < f"{r.apply_month}-01" and r.train_races >= mo.MIN_TRAIN_RACES
+        assert r.blend_b_ci_low < r.blend_b < r.blend_b_ci_high and r.converged and r.unconverged == 0
