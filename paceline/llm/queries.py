@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from paceline.llm.decontamination import contaminated
 from paceline.llm.exact_dedup import exact_dedup
+from paceline.llm.hard_negatives import hard_negatives
 from paceline.llm.jaccard_join import similarity_groups
 from paceline.llm.license_scan import TEMPLATES, license_matches, template_table
 from paceline.llm.packing import pack_documents
@@ -16,6 +17,8 @@ from paceline.llm.sharding import shard_documents
 from paceline.llm.suffix_dedup import repeated_passages
 from paceline.llm.tool_calls import TURN_TOOLS, calls_of_turns, formatted, linked_calls
 from paceline.llm.toxicity import toxicity
+from paceline.llm.variants import spelling_variants
+from paceline.llm.warc import archived_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +75,20 @@ def op9_rendezvous_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(_table(spark, sf_dir, "documents"), [1.0] * 40, grown_by=1.0)
 
 
+def op11_trie_pair_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+def op12_slot_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op13_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -83,6 +100,9 @@ QUERIES: dict[str, Query] = {
     "op8_differencing_packing": op8_differencing_packing,
     "op9_rendezvous_sharding": op9_rendezvous_sharding,
     "op10_sentence_toxicity": op10_sentence_toxicity,
+    "op11_trie_pair_variants": op11_trie_pair_variants,
+    "op12_slot_hard_negatives": op12_slot_hard_negatives,
+    "op13_warc_normaliser": op13_warc_normaliser,
 }
 
 _FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -143,4 +163,17 @@ WITH d AS (SELECT doc_id, {_FOLDED} AS t FROM documents), g AS (SELECT t, max(do
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM d JOIN g USING (t)""",
     "op4_ngram_jaccard_join": _jaccard_sql(),
     "op7_license_scan": _license_sql(),
+    "op12_slot_hard_negatives": """
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label AS mine, b.vec_id, b.label, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM s WHERE label = mine QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id, CAST(row_number() OVER w AS INT) AS rank, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> s.mine AND 100 * s.score BETWEEN 30 * p.score AND 90 * p.score
+WINDOW w AS (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) QUALIFY row_number() OVER w <= 10""",
+    "op13_warc_normaliser": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages), g AS (SELECT t, max(page_id) AS keep FROM p WHERE strlen(t) >= 1000 GROUP BY 1)
+SELECT page_id, strlen(t) AS payload_bytes, sha1(t) AS payload_digest, CASE WHEN keep <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN keep <> page_id THEN keep END AS refers_to FROM p LEFT JOIN g USING (t)""",
 }

@@ -11,7 +11,7 @@ def test_entry_has_the_pipeline_and_every_operator():
 
     names = entry.queries()
     assert "pipeline" in names
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
 
 
 def test_stage_order():
