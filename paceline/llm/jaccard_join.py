@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from paceline.llm import words as W
+from paceline.llm.bits import bit_table, with_chance
 from paceline.llm.components import components
 from paceline.llm.decontamination import sieve, sifted
 from paceline.session import staged
@@ -229,13 +230,17 @@ def similarity_groups(
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     order = frequencies(texts, width)
-    rows = staged(prefixes(texts, order, width, threshold), "ngram-rows")
-    one = rows.where("n > 0").groupBy("sig").agg(
-        F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.first("prefix").alias("prefix"), F.first("classes").alias("classes")
-    )
-    classes = staged(one.withColumn("cid", F.monotonically_increasing_id()), "ngram-classes")
-
-    lists = classes.select("cid", "n", F.posexplode("prefix").alias("pos", "gram"))
+    rows = staged(prefixes(texts, order, width, threshold).withColumn("cid", F.monotonically_increasing_id()), "ngram-rows")
+    # A class goes by one of its rows; prefixes and class counts stay in ``rows`` alone.
+    sigs = rows.where("n > 0").select("sig", "doc_id", "n", "cid")
+    classes = staged(sigs.groupBy("sig").agg(F.min("cid").alias("cid"), F.min("doc_id").alias("doc_id"), F.max("n").alias("n")), "ngram-classes")
+    copies = staged(sigs.select("sig", F.col("cid").alias("row")).join(classes.select("sig", "cid"), "sig").where("row <> cid").select("row"), "ngram-copies")
+    table = staged(bit_table(copies, F.xxhash64("row")), "copy-bits")
+    marked = with_chance(rows.where("n > 0").select("cid", "n", "prefix"), F.xxhash64("cid"), table, "may")
+    single = marked.where("may").join(copies, F.col("cid") == F.col("row"), "left_anti").unionByName(marked.where("NOT may"))
+    shapes = rows.select("cid", "n", "classes")
+
+    lists = single.select("cid", "n", F.posexplode("prefix").alias("pos", "gram"))
     several = lists.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     # A window over the prefix of one text: how many of its n-grams come before, and how common they are.
     mine = Window.partitionBy("cid")
@@ -258,7 +263,7 @@ def similarity_groups(
             apart = apart & F.coalesce(F.col("x.prev") != F.col("y.prev"), F.lit(True))
         met = met.where(apart & _may_match(threshold, "x", "y"))
         pairs = met.select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).distinct()
-        new = staged(suffix_filtered(pairs, classes, threshold).join(tried, ["a", "b"], "left_anti"), "candidates")
+        new = staged(suffix_filtered(pairs, shapes, threshold).join(tried, ["a", "b"], "left_anti"), "candidates")
         if not new.isEmpty():
             links = staged(links.union(verified(new, classes, texts, width, threshold)), "ngram-links")
             tried = tried.union(new)
