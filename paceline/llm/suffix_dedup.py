@@ -16,6 +16,7 @@ by the run's bytes with a map-side combine, so that no task holds all surroundin
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 import uuid
@@ -33,6 +34,8 @@ LENGTH = 50
 ANCHOR = 32
 #: Text bytes of a shard and context bytes of a merge task, about.
 SHARD_BYTES = 8 << 20
+#: Shards whose marks a task compares, about.
+MARKS_SHARDS = 4
 #: Places of an anchor from which on its runs are compared one by one.
 HOT_PLACES = 20_000
 #: Symbols that UTF-8 never uses: the anchor, a NUL byte of the text, and the end of a context (0).
@@ -146,6 +149,7 @@ class _Shard:
         self.body = np.frombuffer(b"".join(texts[k] for k in kept), np.uint8)
         self.edges = np.concatenate([[0], np.cumsum([len(texts[k]) for k in kept])]).astype(np.int64)
 
+    @functools.cached_property
     def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Place, hash and owner (among the kept texts) of all anchors, piece by piece of the shard."""
         at, hashes, begin = [], [], 0
@@ -184,13 +188,31 @@ def _contexts(shard: _Shard, at: np.ndarray, owner: np.ndarray) -> tuple[np.ndar
 
 
 def _distinct_rows(hashes: np.ndarray, rows: np.ndarray, lead: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First index and inverse of the different (hash, lead, row) triples."""
-    whole = np.concatenate([hashes.view(np.uint8).reshape(len(hashes), 8), lead.astype(np.uint8)[:, None], rows], axis=1)
-    flat = np.ascontiguousarray(whole).view([("", f"V{whole.shape[1]}")]).ravel()
-    _, first, inverse = np.unique(flat, return_index=True, return_inverse=True)
+    """First index and inverse of the different (hash, lead, row) triples.
+
+    Triples are ordered by a hash of all their bytes; should different ones agree in it, by the bytes.
+    """
+    gap = -(8 + 1 + rows.shape[1]) % 8
+    whole = np.concatenate([hashes.view(np.uint8).reshape(len(hashes), 8), lead.astype(np.uint8)[:, None], rows, np.zeros((len(rows), gap), np.uint8)], axis=1)
+    words, key = np.ascontiguousarray(whole).view(np.uint64), np.zeros(len(rows), np.uint64)
+    for k in range(words.shape[1]):
+        key = W.mix(key + words[:, k])
+    _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
+    if (words[first[inverse]] != words).any():
+        flat = np.ascontiguousarray(whole).view([("", f"V{whole.shape[1]}")]).ravel()
+        _, first, inverse = np.unique(flat, return_index=True, return_inverse=True)
     return first, inverse
 
 
+def _among(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Whether each key is one of ``wanted``; most are ruled out by a table of their low bits."""
+    table, low = np.zeros(1 << 22, bool), np.uint64((1 << 22) - 1)
+    table[(wanted & low).astype(np.int64)] = True
+    out = table[(keys & low).astype(np.int64)]
+    out[out] = np.isin(keys[out], wanted)
+    return out
+
+
 def _first_owners(hashes: np.ndarray, rows: np.ndarray, lengths: np.ndarray, lead: np.ndarray, owner: np.ndarray, depth: int) -> np.ndarray:
     """For each context (distinct) and run in it, the smallest document that holds that run."""
     best = np.repeat(owner[:, None], depth, axis=1)
@@ -249,23 +271,25 @@ def repeated_passages(
         raise ValueError("the anchor takes 1 to 31 bytes less than the run")
     depth, width = side + 1, 2 * side + 1
     table, shards = _sharded(docs, id_col, text_col)
+    # Marks are dealt to parts of several shards' worth; a shard gives a row per part, and never more rows than marks.
+    marks_parts = max(1, shards // MARKS_SHARDS)
     most = HOT_PLACES
 
     def fingerprints(rows: pa.Table) -> pa.Table:
         shard = _Shard(rows, length, anchor)
-        _, hashes, owner = shard.anchors()
+        _, hashes, owner = shard.anchors
         order = np.argsort(hashes, kind="stable")
         sorted_hashes, documents = hashes[order], shard.ids[shard.kept[owner[order]]]
         fresh = np.flatnonzero(np.concatenate([[True], sorted_hashes[1:] != sorted_hashes[:-1]])[: len(sorted_hashes)])
         if not len(fresh):
-            return pa.table({"part": pa.array([], pa.int64()), "shard": pa.array([], pa.int64()), "marks": pa.array([], pa.binary()), "multi": pa.array([], pa.binary()), "places": pa.array([], pa.binary())})
+            return pa.table({"marks_part": pa.array([], pa.int64()), "shard": pa.array([], pa.int64()), "marks": pa.array([], pa.binary()), "multi": pa.array([], pa.binary()), "places": pa.array([], pa.binary())})
         several = np.minimum.reduceat(documents, fresh) != np.maximum.reduceat(documents, fresh)
         # Places of each anchor, as the next power of two.
         places = np.ceil(np.log2(np.diff(np.append(fresh, len(sorted_hashes))))).astype(np.uint8)
-        marks, part = sorted_hashes[fresh], _parts(sorted_hashes[fresh], shards)
+        marks, part = sorted_hashes[fresh], _parts(sorted_hashes[fresh], marks_parts)
         out = [(int(p), marks[part == p], several[part == p], places[part == p]) for p in np.unique(part)]
         return pa.table({
-            "part": pa.array([p for p, *_ in out], pa.int64()), "shard": pa.array([rows.column("shard")[0].as_py()] * len(out), pa.int64()),
+            "marks_part": pa.array([p for p, *_ in out], pa.int64()), "shard": pa.array([rows.column("shard")[0].as_py()] * len(out), pa.int64()),
             # Inside a part the low half tells marks apart; a chance agreement costs a context, not a wrong result.
             "marks": pa.array([(m & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes() for _, m, _, _ in out], pa.binary()),
             "multi": pa.array([np.packbits(s).tobytes() for _, _, s, _ in out], pa.binary()),
@@ -274,26 +298,25 @@ def repeated_passages(
 
     def shared(rows: pa.Table) -> pa.Table:
         marks = [np.frombuffer(x.as_buffer(), np.uint32) for x in rows.column("marks")]
-        multi = [np.unpackbits(np.frombuffer(x.as_buffer(), np.uint8))[: len(m)] for x, m in zip(rows.column("multi"), marks, strict=True)]
-        values, counts = np.unique(np.concatenate(marks), return_counts=True)
-        again = values[counts > 1]
-        found = [m[np.isin(m, again) | (f == 1)] for m, f in zip(marks, multi, strict=True)]
-        flagged = np.unique(np.concatenate([m[f == 1] for m, f in zip(marks, multi, strict=True)]))
-        found = [np.union1d(f, m[np.isin(m, flagged)]) for f, m in zip(found, marks, strict=True)]
+        flat, ends = np.concatenate(marks), np.cumsum([len(m) for m in marks])[:-1]
+        multi = np.concatenate([np.unpackbits(np.frombuffer(x.as_buffer(), np.uint8))[: len(m)] for x, m in zip(rows.column("multi"), marks, strict=True)])
         places = np.concatenate([np.left_shift(1, np.frombuffer(x.as_buffer(), np.uint8).astype(np.int64)) for x in rows.column("places")])
-        hot = values[np.bincount(np.searchsorted(values, np.concatenate(marks)), weights=places) > most]
-        text = lambda arrays: pa.array([x.astype(np.uint32).tobytes() for x in arrays], pa.binary())
-        cool, warm = [f[~np.isin(f, hot)] for f in found], [f[np.isin(f, hot)] for f in found]
-        return pa.table({"shard": rows.column("shard"), "part": rows.column("part"), "marks": text(cool), "hot": text(warm)})
+        # One sort of the part's marks; what holds for a mark is looked up by its number.
+        _, number, counts = np.unique(flat, return_inverse=True, return_counts=True)
+        wanted = (counts > 1) | (np.bincount(number, multi, len(counts)) > 0)
+        hot = np.bincount(number, places, len(counts)) > most
+        of = lambda keep: pa.array([m[k].tobytes() for m, k in zip(marks, np.split(keep[number], ends), strict=True)], pa.binary())
+        return pa.table({"shard": rows.column("shard"), "marks_part": rows.column("marks_part"), "marks": of(wanted & ~hot), "hot": of(wanted & hot)})
 
     def hits(shard: _Shard, marks: pa.Table, kind: str = "marks") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        at, hashes, owner = shard.anchors()
-        key = (_parts(hashes, shards).astype(np.uint64) << np.uint64(32)) | (hashes & np.uint64(0xFFFFFFFF))
+        at, hashes, owner = shard.anchors
         wanted = [
             (np.uint64(p.as_py()) << np.uint64(32)) | np.frombuffer(m.as_buffer(), np.uint32).astype(np.uint64)
-            for p, m in zip(marks.column("part"), marks.column(kind), strict=True) if p.is_valid
+            for p, m in zip(marks.column("marks_part"), marks.column(kind), strict=True) if p.is_valid and len(m.as_buffer())
         ]
-        keep = np.isin(key, np.concatenate(wanted)) if wanted else np.zeros(len(key), bool)
+        if not wanted:
+            return at[:0], hashes[:0], owner[:0]
+        keep = _among((_parts(hashes, marks_parts).astype(np.uint64) << np.uint64(32)) | (hashes & np.uint64(0xFFFFFFFF)), np.concatenate(wanted))
         return at[keep], hashes[keep], owner[keep]
 
     def local_contexts(shard: _Shard, marks: pa.Table) -> tuple:
@@ -380,8 +403,8 @@ def repeated_passages(
                     np.add.at(change, begin + length, -1)
                 begin, owner, runs, number, least = local_runs(shard, marks)
                 before = np.zeros(len(runs), bool)
-                for p, numbers in zip(marks.column("part"), marks.column("numbers"), strict=True):
-                    if not p.is_valid:
+                for numbers in marks.column("numbers"):
+                    if numbers.is_valid:
                         before[np.array(numbers.as_py(), np.int64)] = True
                 begin = begin[before[number] | (shard.ids[shard.kept[owner]] > least[number])]
                 np.add.at(change, begin, 1)
@@ -403,22 +426,22 @@ def repeated_passages(
         kinds = [*[pa.int64()] * 4, pa.string(), pa.binary()]
         return pa.table({n: pa.array(v, t) for (n, v), t in zip(out.items(), kinds, strict=True)})
 
-    marks = table.groupBy("shard").applyInArrow(fingerprints, "part bigint, shard bigint, marks binary, multi binary, places binary")
-    wanted = staged(marks.groupBy("part").applyInArrow(shared, "shard bigint, part bigint, marks binary, hot binary"), "shared-marks")
+    marks = table.groupBy("shard").applyInArrow(fingerprints, "marks_part bigint, shard bigint, marks binary, multi binary, places binary")
+    wanted = marks.groupBy("marks_part").applyInArrow(shared, "shard bigint, marks_part bigint, marks binary, hot binary")
+    wanted = staged(wanted.where((F.length("marks") > 0) | (F.length("hot") > 0)), "shared-marks")
     by_shard = lambda df: table.groupBy("shard").cogroup(df.groupBy("shard"))
     found = by_shard(wanted).applyInArrow(
         contexts, "part bigint, shard bigint, hashes binary, rows binary, lengths binary, lead binary, least binary"
     )
     bits = staged(found.groupBy("part").applyInArrow(merged, "shard bigint, part bigint, bits binary"), "repeat-bits")
-    asked = wanted.join(bits, ["shard", "part"], "left").select("shard", "part", "marks", "hot", "bits", F.lit(None).cast("array<bigint>").alias("numbers"))
+    asked = wanted.unionByName(bits, allowMissingColumns=True).withColumn("numbers", F.lit(None).cast("array<bigint>"))
     hot = wanted.where(F.length("hot") > 0)
     if not hot.isEmpty():
         # A shard gives a run once, so a run has at most as many rows as there are shards.
         runs = staged(by_shard(hot).applyInArrow(hot_runs, "run binary, shard bigint, number bigint, least bigint"), "hot-runs")
         first = runs.groupBy("run").agg(F.min("least").alias("first"))
         again = runs.join(first, "run").where("first < least").groupBy("shard").agg(F.collect_list("number").alias("numbers"))
-        none = [F.lit(None).cast(k).alias(n) for n, k in (("part", "bigint"), ("marks", "binary"), ("hot", "binary"), ("bits", "binary"))]
-        asked = asked.unionByName(staged(again.select("shard", *none, "numbers"), "hot-again"))
+        asked = asked.unionByName(staged(again, "hot-again"), allowMissingColumns=True)
     return by_shard(asked).applyInArrow(
         cut, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
     )
