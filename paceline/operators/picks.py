@@ -215,9 +215,12 @@ def ev_offset_grid(bets: DataFrame, min_bets: int = 30, min_days: int = 5) -> Da
     return cells.where((F.col("n_bets") >= min_bets) & (F.col("days") >= min_days))
 
 
-def policy_grid(bets: DataFrame, grid: DataFrame) -> DataFrame:
-    """Per pre-registered policy: races, bets, weeks, ROI and the t statistic of the net per race."""
-    per_race = bets.groupBy(*GRID, *RACE).agg(F.sum("payout").alias("pay"), F.count(F.lit(1)).alias("n"))
+def policy_grid(bets: DataFrame, grid: DataFrame, complete: DataFrame) -> DataFrame:
+    """Per pre-registered policy: races, bets, weeks, ROI and the t statistic of the net per race.
+
+    Only races in ``complete`` count: in a race without its results and payouts a bet is open, not lost.
+    """
+    per_race = bets.join(complete.select(*RACE), RACE, "left_semi").groupBy(*GRID, *RACE).agg(F.sum("payout").alias("pay"), F.count(F.lit(1)).alias("n"))
     per_race = per_race.withColumn("net", F.col("pay") - STAKE * F.col("n"))
     stats = per_race.groupBy(*GRID).agg(
         F.count(F.lit(1)).alias("n_races"), F.sum("n").alias("n_bets"), F.countDistinct(monday_of(F.col("race_date"))).alias("weeks"),
@@ -233,22 +236,19 @@ def policy_cells(spark, bets: Sequence[str], thresholds: Sequence[float], offset
     return spark.createDataFrame(rows, "target_offset_min double, bet_type string, ev_thr double")
 
 
-def binary_log_loss(y: Column, p: Column, eps: float = 1e-6) -> Column:
-    q = clip(p, eps, 1 - eps)
-    return F.avg(-(y * F.ln(q) + (1 - y) * F.ln(1 - q)))
-
-
-def forward_metrics(scored: DataFrame, payouts: DataFrame) -> DataFrame:
-    """Log loss against a constant baseline, hit rate and payout/cost, by week and in total."""
+def forward_metrics(scored: DataFrame, payouts: DataFrame, complete: DataFrame) -> DataFrame:
+    """Log loss against a constant baseline, hit rate and payout/cost, by week and in total, over the races in ``complete``."""
     from paceline.operators.features import targets
+    from paceline.operators.stats import log_loss
 
+    scored = scored.join(complete.select(*RACE), RACE, "left_semi")
     cars = targets(scored).withColumn("week", monday_of(F.col("race_date")))
     eps = 1e-6
     agg: list[Column] = [F.count(F.lit(1)).alias("n_rows")]
     for t in ("win", "top2", "top3"):
         m = clip(F.avg(f"y_{t}"), eps, 1 - eps)
         rate = F.avg(f"y_{t}")
-        agg += [binary_log_loss(F.col(f"y_{t}"), F.col(f"p_{t}")).alias(f"ll_{t}"),
+        agg += [log_loss(F.col(f"y_{t}"), F.col(f"p_{t}")).alias(f"ll_{t}"),
                 (-(rate * F.ln(m) + (1 - rate) * F.ln(1 - m))).alias(f"ll_{t}_base")]
     losses = cars.rollup("week").agg(*agg)
     paid = settle_tickets(tickets_of(make_picks(scored)), payouts).where(F.col("bet_type").isin(MAIN_BETS))

@@ -176,6 +176,11 @@ def overall_status(daily: DataFrame, missing: DataFrame) -> DataFrame:
     return days.withColumn("n_missing", gone.scalar()).withColumn("level", level)
 
 
+def complete_races(completion: DataFrame) -> DataFrame:
+    """Keys of the races whose results and payouts are all there."""
+    return completion.where(F.col("status") == "complete").select(*RACE)
+
+
 def capture_timing(timing: DataFrame) -> DataFrame:
     """Completion lag, fetch time and after-start captures of good captures by offset."""
     ok = timing.where(F.col("status") == "ok")

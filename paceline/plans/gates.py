@@ -8,10 +8,10 @@ from paceline.functions.numeric import settle
 from paceline.operators import gates as ga, market as mk, picks as pk, quality as qa, stats as st
 from paceline.plans import bindings as b
 from paceline.plans.market import WEDGE
-from paceline.plans.picks import GRID, LOCK_DATE, PAIRS, duel
+from paceline.plans.picks import GRID, LOCK_DATE, PAIRS, duel, policies
 from paceline.plans.quality import COMPLETION, completion
 from paceline.plans.registry import query
-from paceline.plans.statistics import REPLICATES, SCORED, draws_sql, policies, policy_sql, scored
+from paceline.plans.statistics import REPLICATES, SCORED, draws_sql, policy_sql, scored
 
 R = "race_date, place_code, race_no"
 END = "2001-07-31"
@@ -63,36 +63,39 @@ def _(spark, sf):
 POLICY = ["target_offset_min", "bet_type", "ev_thr", "n_races", "n_bets", "weeks", "roi", "net_mean", "net_sd"]
 
 
-@query("gate_strategy", f"""
+STRATEGY_SQL = f"""
 WITH tested AS (SELECT *, row_number() OVER (ORDER BY p, target_offset_min, bet_type, ev_thr) AS i, count(*) OVER () AS m FROM ({policy_sql(LOCK_DATE)})),
 adjusted AS (SELECT *, least(1.0, min(p * m / i) OVER (ORDER BY i DESC)) AS q FROM tested)
 SELECT {", ".join(POLICY)}, round(p * 1e7) / 1e7 AS p, round(q * 1e7) / 1e7 AS q, verdict_a AS a_pass,
   CASE WHEN NOT coalesce(verdict_a, false) THEN 'reference_only' WHEN n_races < 200 OR weeks < 4 THEN 'accumulating'
     WHEN roi > 0 AND q < 0.10 THEN 'candidate' ELSE 'fail' END AS verdict
-FROM adjusted LEFT JOIN (SELECT target_offset_min, bet_type, verdict AS verdict_a FROM gate_rows) USING (target_offset_min, bet_type)""",
-       dbl="target_offset_min ev_thr roi net_mean net_sd p q", ctes={**GRID, **GATE})
+FROM adjusted LEFT JOIN (SELECT target_offset_min, bet_type, verdict AS verdict_a FROM gate_rows) USING (target_offset_min, bet_type)"""
+
+
+def judged_policies(spark, sf):
+    return ga.policy_verdicts(policies(spark, sf), gate(spark, sf))
+
+
+@query("gate_strategy", STRATEGY_SQL, dbl="target_offset_min ev_thr roi net_mean net_sd p q", ctes={**GRID, **GATE})
 def _(spark, sf):
-    judged = ga.policy_verdicts(policies(spark, sf), gate(spark, sf))
+    judged = judged_policies(spark, sf)
     return judged.select(*POLICY, settle(F.col("p"), 7).alias("p"), settle(F.col("q"), 7).alias("q"), "a_pass", "verdict")
 
 
-SUNSET = {
-    **GRID,
-    "pol": f"""SELECT target_offset_min, bet_type, thr, count(DISTINCT race_no) AS n_races, sum(payout) / (count(*) * 100) - 1 AS roi FROM priced,
-      (VALUES (1.0::DOUBLE), (1.1), (1.2)) t(thr) WHERE ev >= thr AND race_date >= DATE '{LOCK_DATE}' GROUP BY 1, 2, 3""",
-}
+SUNSET = {**GRID, **GATE, "judged": STRATEGY_SQL}
 
 
 @query("sunset_rules", """
-SELECT today, any_pass AS candidate_found, today >= DATE '1999-01-01' + 84 AS gate_a_due,
+SELECT today, any_pass AS candidate_found, today >= DATE '1999-01-01' + 84 AND n_pass = 0 AS gate_a_due,
   NOT any_pass AND fewest >= 1000 AS count_stop, NOT any_pass AND today >= DATE '1999-01-01' + 182 AS deadline_stop
 FROM (SELECT DISTINCT CAST(date_trunc('week', race_date) AS DATE) AS today FROM races),
-  (SELECT bool_or(roi > 5) AS any_pass, min(n_races) AS fewest FROM pol)""", dt="today", ctes=SUNSET)
+  (SELECT bool_or(verdict = 'candidate') AS any_pass, min(n_races) AS fewest FROM judged), (SELECT count(*) FILTER (verdict) AS n_pass FROM gate_rows)""",
+       dt="today", ctes=SUNSET)
 def _(spark, sf):
     from paceline.functions.moments import monday_of
     reports = b.races(spark, sf).select(monday_of(F.col("race_date")).alias("today")).distinct()
-    judged = policies(spark, sf).withColumn("verdict", F.when(F.col("roi") > 5, "candidate").otherwise("fail"))
-    return ga.sunset_rules(reports, judged, F.lit(0), "1999-01-01")
+    passed = ga.gate_timing_count(gate(spark, sf)).select("n_pass").scalar()
+    return ga.sunset_rules(reports, judged_policies(spark, sf), passed, "1999-01-01")
 
 
 EDGES = ", ".join(f"{i}/10" for i in range(11))

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from paceline.keys import CAPTURE_OFFSETS, CAR, COMBO, RACE
-from paceline.operators import joins as jo, picks as pk
+from paceline.operators import joins as jo, picks as pk, quality as qa
 from paceline.plans import bindings as b
 from paceline.plans.market import EV, alt_combos
+from paceline.plans.quality import COMPLETION, completion
 from paceline.plans.registry import query
 
 R = "race_date, place_code, race_no"
 LOCK_DATE = "1999-01-01"
+COMPLETE = "race_no IN (SELECT race_no FROM completion WHERE status = 'complete')"
 CALIBRATION_END = "1999-12-31"
 
 PICKS = {
@@ -180,16 +182,22 @@ def _(spark, sf):
 WITH cells AS (SELECT off AS target_offset_min, bet_type, thr AS ev_thr FROM (VALUES (5.0::DOUBLE), (3.0), (2.0), (1.0), (0.5)) o(off),
   (VALUES ('SH2'), ('ST2')) t(bet_type), (VALUES (1.0::DOUBLE), (1.1), (1.2)) v(thr)),
 per_race AS (SELECT target_offset_min, bet_type, thr AS ev_thr, {R}, sum(payout) AS pay, count(*) AS n FROM priced,
-  (VALUES (1.0::DOUBLE), (1.1), (1.2)) t(thr) WHERE ev >= thr AND race_date >= DATE '{LOCK_DATE}' GROUP BY ALL),
+  (VALUES (1.0::DOUBLE), (1.1), (1.2)) t(thr) WHERE ev >= thr AND race_date >= DATE '{LOCK_DATE}' AND {COMPLETE} GROUP BY ALL),
 stats AS (SELECT target_offset_min, bet_type, ev_thr, count(*) AS n_races, CAST(sum(n) AS BIGINT) AS n_bets,
   count(DISTINCT date_trunc('week', race_date)) AS weeks, sum(pay) / (sum(n) * 100) - 1 AS roi, avg(pay - 100 * n) AS net_mean,
   stddev_samp(pay - 100 * n) AS net_sd FROM per_race GROUP BY 1, 2, 3)
 SELECT c.*, coalesce(n_races, 0) AS n_races, coalesce(n_bets, 0) AS n_bets, coalesce(weeks, 0) AS weeks, roi, net_mean, net_sd
 FROM cells c LEFT JOIN stats USING (target_offset_min, bet_type, ev_thr)""",
-       dbl="target_offset_min ev_thr roi net_mean net_sd", ctes=GRID)
+       dbl="target_offset_min ev_thr roi net_mean net_sd", ctes={**GRID, **COMPLETION})
 def _(spark, sf):
+    return policies(spark, sf)
+
+
+def policies(spark, sf):
+    """The registered policies, on complete races from the lock date on."""
     locked = bets(spark, sf, [1.0, 1.1, 1.2]).where(F.col("race_date") >= F.lit(LOCK_DATE).cast("date"))
-    return pk.policy_grid(locked, pk.policy_cells(spark, ["SH2", "ST2"], [1.0, 1.1, 1.2], CAPTURE_OFFSETS))
+    cells = pk.policy_cells(spark, ["SH2", "ST2"], [1.0, 1.1, 1.2], CAPTURE_OFFSETS)
+    return pk.policy_grid(locked, cells, qa.complete_races(completion(spark, sf)))
 
 
 FORWARD_LL = ", ".join(
@@ -203,17 +211,18 @@ FORWARD_HITS = ", ".join(
 
 @query("forward_metrics", f"""
 WITH cars AS (SELECT p.*, coalesce(tyaku = 1, false)::INT AS y_win, coalesce(tyaku BETWEEN 1 AND 2, false)::INT AS y_top2,
-  coalesce(tyaku BETWEEN 1 AND 3, false)::INT AS y_top3 FROM predictions p LEFT JOIN results r ON p.race_no = r.race_no AND p.car_no = r.car_no),
+  coalesce(tyaku BETWEEN 1 AND 3, false)::INT AS y_top3 FROM predictions p LEFT JOIN results r ON p.race_no = r.race_no AND p.car_no = r.car_no
+  WHERE p.race_no IN (SELECT race_no FROM completion WHERE status = 'complete')),
 losses AS (SELECT coalesce(strftime(date_trunc('week', race_date), '%Y-%m-%d'), 'total') AS week, count(*) AS n_rows, {FORWARD_LL}
   FROM cars GROUP BY ROLLUP (date_trunc('week', race_date))),
 rets AS (SELECT coalesce(strftime(date_trunc('week', race_date), '%Y-%m-%d'), 'total') AS week, count(*) FILTER (bet_type = 'SH2') AS n_races, {FORWARD_HITS}
-  FROM settled WHERE bet_type <> 'W' GROUP BY ROLLUP (date_trunc('week', race_date)))
+  FROM settled WHERE bet_type <> 'W' AND {COMPLETE} GROUP BY ROLLUP (date_trunc('week', race_date)))
 SELECT * FROM losses LEFT JOIN rets USING (week)""",
        dbl=" ".join(f"ll_{t} ll_{t}_base" for t in ("win", "top2", "top3")) + " " + " ".join(f'"{x}_hit" "{x}_roi"' for x in ("SH2", "ST2", "RH3", "RT3")),
-       ctes=PICKS)
+       ctes={**PICKS, **COMPLETION})
 def _(spark, sf):
     scored = b.predictions(spark, sf).join(b.results(spark, sf), CAR, "left")
-    return pk.forward_metrics(scored, b.payouts(spark, sf))
+    return pk.forward_metrics(scored, b.payouts(spark, sf), qa.complete_races(completion(spark, sf)))
 
 
 @query("agg_week_rollup", """

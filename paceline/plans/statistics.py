@@ -9,7 +9,8 @@ from paceline.keys import CAPTURE_OFFSETS, CAR, RACE
 from paceline.operators import picks as pk, ranks, stats as st
 from paceline.operators.features import targets
 from paceline.plans import bindings as b
-from paceline.plans.picks import GRID, LOCK_DATE, PAIRS, bets, duel
+from paceline.plans.picks import COMPLETE, GRID, LOCK_DATE, PAIRS, bets, duel, policies
+from paceline.plans.quality import COMPLETION
 from paceline.plans.registry import query
 
 R = "race_date, place_code, race_no"
@@ -123,17 +124,10 @@ FROM (SELECT off AS target_offset_min, bet_type, thr AS ev_thr FROM (VALUES (5.0
   SELECT target_offset_min, bet_type, ev_thr, count(*) AS n_races, CAST(sum(n) AS BIGINT) AS n_bets, count(DISTINCT date_trunc('week', race_date)) AS weeks,
     sum(pay) / (sum(n) * 100) - 1 AS roi, avg(pay - 100 * n) AS net_mean, stddev_samp(pay - 100 * n) AS net_sd FROM (
     SELECT target_offset_min, bet_type, thr AS ev_thr, race_date, place_code, race_no, sum(payout) AS pay, count(*) AS n FROM priced,
-      (VALUES (1.0::DOUBLE), (1.1), (1.2)) t(thr) WHERE ev >= thr AND race_date >= DATE '{lock}' GROUP BY ALL) GROUP BY 1, 2, 3) s USING (target_offset_min, bet_type, ev_thr)))"""
+      (VALUES (1.0::DOUBLE), (1.1), (1.2)) t(thr) WHERE ev >= thr AND race_date >= DATE '{lock}' AND {COMPLETE} GROUP BY ALL) GROUP BY 1, 2, 3) s USING (target_offset_min, bet_type, ev_thr)))"""
 
 
-def policies(spark, sf):
-    """The registered policies, on races from the lock date on, with p values at seven digits."""
-    cells = pk.policy_cells(spark, ["SH2", "ST2"], [1.0, 1.1, 1.2], CAPTURE_OFFSETS)
-    locked = bets(spark, sf, [1.0, 1.1, 1.2]).where(F.col("race_date") >= F.lit(LOCK_DATE).cast("date"))
-    return pk.policy_grid(locked, cells)
-
-
-@query("t_test_greater", f"SELECT * EXCLUDE (v, t) REPLACE (round(p * 1e7) / 1e7 AS p) FROM ({policy_sql(LOCK_DATE)})", dbl="target_offset_min ev_thr roi net_mean net_sd p", ctes=GRID)
+@query("t_test_greater", f"SELECT * EXCLUDE (v, t) REPLACE (round(p * 1e7) / 1e7 AS p) FROM ({policy_sql(LOCK_DATE)})", dbl="target_offset_min ev_thr roi net_mean net_sd p", ctes={**GRID, **COMPLETION})
 def _(spark, sf):
     return st.t_pvalues(policies(spark, sf)).withColumn("p", settle(F.col("p"), 7))
 

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import math
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,13 +81,16 @@ def scored(frame, p, date="2026-11-16"):
 
 def test_forward_metrics(frame):
     pay = frame(f"{RACE}, bet_type string, kumi_ban string, payout int", [("2026-11-16", 1, 1, "SH2", "1=2", 500)])
-    rows = {r["week"]: r for r in pk.forward_metrics(scored(frame, [0.4, 0.3, 0.1, 0.1, 0.05, 0.05]), pay).collect()}
+    whole = frame(RACE, [("2026-11-16", 1, 1)])
+    # A race whose results are not all there yet is no loss.
+    both = scored(frame, [0.4, 0.3, 0.1, 0.1, 0.05, 0.05]).unionByName(scored(frame, [0.4, 0.3, 0.1, 0.1, 0.05, 0.05], "2026-11-23"))
+    rows = {r["week"]: r for r in pk.forward_metrics(both, pay, whole).collect()}
     assert set(rows) == {"2026-11-16", "total"}
     t = rows["total"]
     assert (t["n_races"], t["SH2_hit"], t["SH2_roi"], t["ST2_hit"]) == (1, 1.0, 5.0, 0.0) and t["ll_win"] < t["ll_win_base"]
 
 
-def policies(spark, frame, date):
+def policies(spark, frame, date, complete=True):
     from paceline.keys import CAPTURE_OFFSETS
     from paceline.operators.combos import harville_pairs
     combos = harville_pairs(scored(frame, [0.5, 0.3, 0.1, 0.05, 0.03, 0.02], date).select(
@@ -93,7 +98,8 @@ def policies(spark, frame, date):
     odds = frame(f"{RACE}, bet_type string, kumi_ban string, odds double, target_offset_min double", [(date, 1, 1, "SH2", "1=2", 9.0, 1.0)])
     pay = frame(f"{RACE}, bet_type string, kumi_ban string, payout int", [(date, 1, 1, "SH2", "1=2", 900)])
     bets = pk.grid_bets(combos, odds, pay, [1.0, 1.1, 1.2])
-    return pk.policy_grid(bets, pk.policy_cells(spark, ["SH2", "ST2"], [1.0, 1.1, 1.2], CAPTURE_OFFSETS))
+    whole = frame(RACE, [(date, 1, 1)] if complete else [(date, 1, 2)])
+    return pk.policy_grid(bets, pk.policy_cells(spark, ["SH2", "ST2"], [1.0, 1.1, 1.2], CAPTURE_OFFSETS), whole)
 
 
 def test_thirty_policies(spark, frame):
@@ -103,6 +109,28 @@ def test_thirty_policies(spark, frame):
     hit = [r for r in rows if (r["target_offset_min"], r["bet_type"], r["ev_thr"]) == (1.0, "SH2", 1.0)][0]
     assert (hit["n_races"], hit["weeks"], hit["roi"]) == (1, 1, 8.0)
     assert sum(r["n_races"] for r in policies(spark, frame, "2026-11-12").collect()) == 0
+    assert sum(r["n_bets"] for r in policies(spark, frame, "2026-11-16", complete=False).collect()) == 0
+
+
+def test_student_tail_against_the_density(spark):
+    """Against a fine sum over the density, closed forms for one and two degrees, and symmetry."""
+    from paceline.operators.stats import student_tail
+
+    def exact(t, v):
+        u = np.linspace(-1, 1, 400_001) * math.atan(t / math.sqrt(v))
+        density = np.cos(u) ** (v - 1)
+        c = math.exp(math.lgamma((v + 1) / 2) - math.lgamma(v / 2)) / math.sqrt(math.pi)
+        return 0.5 - c * np.trapezoid(density, u) / 2
+
+    cases = [(t, v) for t in (0.0, 0.3, 1.7, 4.0, 60.0, -2.2) for v in (1, 2, 3, 8, 29, 200, 5000, 400_000)]
+    df = spark.createDataFrame([(float(t), v) for t, v in cases], "t double, v long")
+    for r in df.select("t", "v", student_tail(F.col("t"), F.col("v")).alias("p")).collect():
+        want = 1 - exact(-r.t, r.v) if r.t < 0 else exact(r.t, r.v)
+        assert r.p == pytest.approx(want, abs=1e-9)
+        if r.v == 1:
+            assert r.p == pytest.approx(0.5 - math.atan(r.t) / math.pi, abs=1e-12)
+        if r.v == 2:
+            assert r.p == pytest.approx(0.5 - r.t / math.sqrt(2 + r.t * r.t) / 2, abs=1e-12)
 
 
 @pytest.mark.parametrize("a,n,weeks,roi,q,verdict", [
