@@ -4,11 +4,16 @@ Calls and results are messages of a conversation that carry an identifier. They
 calls of a conversation are put in topological order (a call comes after the calls whose results its
 arguments refer to), arguments are validated against the tool's schema, and the linked conversation
 is written as JSON with sorted keys and no spare white space, so that equal content is equal text.
+
+Calls that refer back are in order as they stand, so only conversations with a reference to a later
+call are worked on. A call takes its place behind the last call it waits for. Slabs of a conversation
+settle the calls whose needs are settled, as far as they get, and learn of the other slabs between
+rounds, by joins over written tables; a long conversation is never gathered. What no round settles is
+in or behind a cycle.
 """
 
 from __future__ import annotations
 
-import heapq
 import json
 import math
 import re
@@ -18,8 +23,12 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from paceline.operators.ordered import positions
 from paceline.session import staged
 
+#: Calls of a conversation that a task puts in order at a time, and calls in one written text.
+SLAB_CALLS = 10_000
+
 #: Refers to the result of another call of the conversation inside an argument.
 REFERENCE = re.compile(r"^\$\{([^{}]+)\}$")
 _KINDS = {
@@ -103,28 +112,93 @@ def references(value: object) -> set[str]:
     return set().union(*(references(x) for x in inner)) if inner else set()
 
 
-def topological(needs: dict[str, set[str]], place: dict[str, tuple]) -> tuple[list[str], set[str]]:
-    """Calls in an order that puts each behind those it needs, earliest place first; and calls left in a cycle.
+Place = tuple[tuple, int]
+
+
+def settle(places: dict[str, tuple], needs: dict[str, set[str]], known: dict[str, Place]) -> dict[str, Place]:
+    """Places in the order of all calls that can be settled: (place of the last call waited for or the own, steps behind it).
 
-    Calls in or behind a cycle follow at the end in their places' order.
+    ``places`` are the calls of a slab, ``needs`` what they refer to, ``known`` what is settled already
+    (calls of other slabs too). Calls in or behind a cycle, or behind an unsettled call, are left out.
     """
-    waiting = {k: {x for x in v if x in needs} for k, v in needs.items()}
-    behind: dict[str, list[str]] = {}
-    for k, v in waiting.items():
-        for x in v:
-            behind.setdefault(x, []).append(k)
-    ready = [(place[k], k) for k, v in waiting.items() if not v]
-    heapq.heapify(ready)
-    order = []
+    known, waiting, behind = dict(known), {}, {}
+    for k in places:
+        if k not in known:
+            waiting[k] = {x for x in needs.get(k, ()) if x not in known}
+            for x in waiting[k]:
+                behind.setdefault(x, []).append(k)
+    ready = [k for k, v in waiting.items() if not v]
     while ready:
-        _, k = heapq.heappop(ready)
-        order.append(k)
+        k = ready.pop()
+        known[k] = max([(places[k], 0), *[(known[x][0], known[x][1] + 1) for x in needs.get(k, ())]])
         for x in behind.get(k, ()):
             waiting[x].discard(k)
             if not waiting[x]:
-                heapq.heappush(ready, (place[x], x))
-    left = sorted(set(needs) - set(order), key=lambda k: (place[k], k))
-    return order + left, set(left)
+                ready.append(x)
+    return {k: known[k] for k in places if k in known}
+
+
+def ordered_calls(linked: DataFrame, slab_calls: int = SLAB_CALLS) -> DataFrame:
+    """Linked calls with ``cyclic`` and their place in topological order: ``last`` (turn and identifier), ``steps``.
+
+    A call without later references stands at its own turn (the call's, or else the result's; calls
+    without either come first, ties go by identifier). Another comes right behind the last call that it
+    waits for, directly or not. Calls in or behind a cycle are ``cyclic`` and have null places; a call
+    that refers to itself is cyclic too but keeps its place.
+    """
+    turn = F.coalesce(F.col("call_turn"), F.col("result_turn")).cast("long")
+    calls = staged(linked.withColumn("at", F.struct(F.coalesce(turn, F.lit(-1).cast("long")).alias("t"), F.col("call_id").cast("string").alias("c"))), "placed-calls")
+    there = calls.select("conv_id", F.col("call_id").alias("x"), F.col("at").alias("x_at"))
+    edges = staged(calls.select("conv_id", "call_id", "at", F.explode(F.array_distinct("needs")).alias("x")).join(there, ["conv_id", "x"]), "references")
+    itself = edges.where("call_id = x").select("conv_id", "call_id", F.lit(True).alias("_self"))
+    late = edges.where("x_at > at").select("conv_id").distinct()
+    own = F.col("at").alias("last"), F.lit(0).alias("steps")
+    marked = calls.join(itself, ["conv_id", "call_id"], "left").withColumn("cyclic", F.coalesce("_self", F.lit(False))).drop("_self")
+    if late.isEmpty():
+        return marked.select("*", *own)
+    late = staged(late, "late-references")
+    nodes = positions(calls.join(late, "conv_id", "left_semi").select("conv_id", "call_id", "at"), ["conv_id"], [F.col("at")])
+    nodes = staged(nodes.select("conv_id", "call_id", "at", F.floor((F.col("pos") - 1) / slab_calls).alias("slab")), "order-slabs")
+    needs = staged(edges.where("call_id <> x").join(late, "conv_id", "left_semi").select("conv_id", "call_id", "x"), "order-needs")
+    state = nodes.select("conv_id", "call_id", F.lit(None).cast("struct<t:bigint,c:string>").alias("last"), F.lit(None).cast("int").alias("steps"))
+    kinds = {f.name: f.dataType.simpleString() for f in nodes.schema}
+
+    def work(rows: pa.Table) -> pa.Table:
+        read = {c: rows.column(c).to_pylist() for c in ("call_id", "at", "last", "steps", "x", "x_last", "x_steps")}
+        place = lambda v, n: ((v["t"], v["c"]), n)
+        places, wants, known = {}, {}, {}
+        for k, at, last, steps, x, x_last, x_steps in zip(*read.values(), strict=True):
+            places[k] = (at["t"], at["c"])
+            if last is not None:
+                known[k] = place(last, steps)
+            if x is not None:
+                wants.setdefault(k, set()).add(x)
+                if x_last is not None:
+                    known[x] = place(x_last, x_steps)
+        done = settle(places, wants, known)
+        keys, values = list(places), [done.get(k) for k in places]
+        last = [None if v is None else {"t": v[0][0], "c": v[0][1]} for v in values]
+        return pa.table({
+            "conv_id": pa.array([rows.column("conv_id")[0].as_py()] * len(keys), rows.schema.field("conv_id").type), "call_id": pa.array(keys, rows.schema.field("call_id").type),
+            "last": pa.array(last, pa.struct([("t", pa.int64()), ("c", pa.string())])), "steps": pa.array([None if v is None else v[1] for v in values], pa.int32())})
+
+    open_calls = None
+    while True:
+        other = state.select("conv_id", F.col("call_id").alias("x"), F.col("last").alias("x_last"), F.col("steps").alias("x_steps"))
+        wants = needs.join(other, ["conv_id", "x"])
+        rows = nodes.join(state, ["conv_id", "call_id"]).join(wants, ["conv_id", "call_id"], "left")
+        state = staged(rows.groupBy("conv_id", "slab").applyInArrow(
+            work, f"conv_id {kinds['conv_id']}, call_id {kinds['call_id']}, last struct<t:bigint,c:string>, steps int"), "order-state")
+        left = state.where("last IS NULL").count()
+        if left in (0, open_calls):
+            break
+        open_calls = left
+    placed = marked.join(state.withColumn("_late", F.lit(True)), ["conv_id", "call_id"], "left")
+    mine = F.coalesce("_late", F.lit(False))
+    columns = [c for c in marked.columns if c != "cyclic"]
+    return placed.select(
+        *columns, (F.col("cyclic") | (mine & F.col("last").isNull())).alias("cyclic"), F.when(mine, F.col("last")).otherwise(F.col("at")).alias("last"),
+        F.when(mine, F.col("steps")).otherwise(F.lit(0)).alias("steps"))
 
 
 def linked_calls(calls: DataFrame, results: DataFrame, tools: DataFrame) -> DataFrame:
@@ -183,40 +257,34 @@ def linked_calls(calls: DataFrame, results: DataFrame, tools: DataFrame) -> Data
     return both.mapInPandas(judge, schema)
 
 
-def formatted(linked: DataFrame, most_rows: int = 10_000) -> DataFrame:
+def formatted(linked: DataFrame, most_rows: int = SLAB_CALLS) -> DataFrame:
     """One row per conversation part: the linked calls in topological order as one canonical JSON text.
 
     Returns ``conv_id``, ``part``, ``calls``, ``linked`` (calls with status ok), ``cyclic`` (calls in or
-    behind a cycle of references) and ``json``. Calls are put in order within the groups that
-    references hold together; conversations of more than about ``most_rows`` calls are written in
-    several parts by turn, each in order, so that none grows into one unbounded text. A reference to
-    a later part counts as given.
+    behind a cycle of references) and ``json``. Cyclic calls come last, by their turns. The ordered calls
+    of a conversation are cut into parts of ``most_rows``, so that none grows into one unbounded text;
+    the order is that of the whole conversation at every size. References to identifiers that the
+    conversation does not have count for nothing. An empty table gives an empty result.
     """
-    linked = staged(linked, "linked-calls")
-    sizes = linked.groupBy("conv_id").agg(F.count(F.lit(1)).alias("_n"))
-    cut = F.floor(F.coalesce(F.col("call_turn"), F.col("result_turn"), F.lit(0)) / F.lit(most_rows))
-    marked = linked.join(sizes, "conv_id").withColumn("part", F.when(F.col("_n") > most_rows, cut).otherwise(F.lit(0)).cast("long"))
-    call = F.struct("call_id", "call_turn", "result_turn", "tool", "arguments", "content", "status", "needs")
-    parts = marked.groupBy("conv_id", "part").agg(F.collect_list(call).alias("rows"))
+    ordered = ordered_calls(linked)
+    behind = F.col("last").isNull()
+    order = [behind, F.coalesce("last", "at"), F.coalesce("steps", F.lit(0)), F.col("at")]
+    put = positions(ordered, ["conv_id"], order).withColumn("part", F.floor((F.col("pos") - 1) / most_rows).cast("long"))
+    call = F.struct("pos", "call_id", "tool", "arguments", "content", "status", "cyclic")
+    parts = put.groupBy("conv_id", "part").agg(F.array_sort(F.collect_list(call)).alias("rows"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             calls, done, cyclic, texts = [], [], [], []
             for rows in batch.column("rows").to_pylist():
-                by = {r["call_id"]: r for r in rows}
-                # A position is the turn of the call, or else of the result; calls without either come first.
-                turn = lambda r: r["call_turn"] if r["call_turn"] is not None else r["result_turn"]
-                place = {k: (-1 if turn(r) is None else turn(r), k) for k, r in by.items()}
-                order, left = topological({k: set(r["needs"]) - {k} for k, r in by.items()}, place)
-                left |= {k for k, r in by.items() if k in r["needs"]}
                 out = []
-                for r in (by[k] for k in order):
+                for r in rows:
                     value, wrong = parsed(r["arguments"]) if r["arguments"] is not None else (None, None)
                     out.append({"arguments": r["arguments"] if wrong else value, "id": r["call_id"], "result": r["content"],
                                 "status": r["status"], "tool": r["tool"]})
                 calls.append(len(rows))
                 done.append(sum(r["status"] == "ok" for r in rows))
-                cyclic.append(len(left))
+                cyclic.append(sum(r["cyclic"] for r in rows))
                 texts.append(canonical(out))
             numbers = [pa.array(x, pa.int64()) for x in (calls, done, cyclic)]
             yield pa.RecordBatch.from_arrays(

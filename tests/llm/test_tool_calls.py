@@ -1,7 +1,9 @@
 import json
+import random
 
 import pytest
-from paceline.llm.tool_calls import TURN_TOOLS, calls_of_turns, canonical, formatted, linked_calls, parsed, topological, violations
+from paceline.llm import tool_calls
+from paceline.llm.tool_calls import TURN_TOOLS, calls_of_turns, canonical, formatted, linked_calls, ordered_calls, parsed, violations
 
 SCHEMA = {"type": "object", "required": ["q"], "additionalProperties": False,
           "properties": {"q": {"type": "string", "minLength": 1}, "n": {"type": "integer", "minimum": 1, "maximum": 5},
@@ -72,5 +74,52 @@ def test_schema_rules_and_order():
     assert violations({"n": True, "tags": ["c"], "z": 1}, SCHEMA) == [
         "$.q: is missing", "$.z: is not known", "$.n: is not integer", "$.tags[0]: is none of the allowed values"]
     assert parsed("NaN")[1] and parsed(None)[1] and parsed("1e400")[1] and parsed('{"a":1}') == ({"a": 1}, None)
-    order, cyclic = topological({"a": {"c"}, "b": set(), "c": set(), "d": {"d2"}, "d2": {"d"}}, {k: (i,) for i, k in enumerate(["a", "b", "c", "d", "d2"])})
-    assert order == ["b", "c", "a", "d", "d2"] and cyclic == {"d", "d2"}
+
+
+def brute(calls):
+    """Order and cyclic calls of one conversation from (call, turn, needs), settled one by one."""
+    at = {c: (t, c) for c, t, _ in calls}
+    needs = {c: {x for x in n if x in at and x != c} for c, _, n in calls}
+    key = {}
+    while fresh := [c for c in at if c not in key and all(x in key for x in needs[c])]:
+        for c in fresh:
+            key[c] = max([(at[c], 0), *[(key[x][0], key[x][1] + 1) for x in needs[c]]])
+    order = sorted(key, key=lambda c: (key[c], at[c])) + sorted((c for c in at if c not in key), key=at.get)
+    return order, set(at) - set(key) | {c for c, _, n in calls if c in n}
+
+
+@pytest.mark.parametrize("slab", [3, 7, 10_000])
+def test_order_is_the_same_at_every_size(spark, monkeypatch, slab):
+    """Slabs smaller and larger than the conversations: cycles, references back and ahead, also across slabs and parts."""
+    rnd = random.Random(3)
+    talks = {}
+    for conv in range(14):
+        n = rnd.choice([1, 4, 20, 60])
+        ids = [f"c{k}" for k in range(n)]
+        talks[conv] = [(c, rnd.randrange(n) if conv % 3 else k, [rnd.choice(ids) for _ in range(rnd.choice([0, 0, 1, 2]))] if rnd.random() < 0.3 + 0.1 * (conv % 2) else
+                        [ids[k - 2]] if k > 1 else ["gone"]) for k, c in enumerate(ids)]
+    talks[90] = [("a", 0, ["b"]), ("b", 50, ["a"])] + [(f"d{k:02d}", k, [f"d{k + 1:02d}"] if k < 40 else []) for k in range(1, 41)]
+    talks[91] = [("a", 0, ["a"]), ("b", 1, ["a"])]
+    rows = [(conv, c, t, None, "find", '{"q":"x"}', None, "ok", n, "extra") for conv, calls in talks.items() for c, t, n in calls]
+    linked = spark.createDataFrame(rows, "conv_id long, call_id string, call_turn long, result_turn long, tool string, arguments string, content string, status string, needs array<string>, part string")
+    linked = linked.drop("part")
+    monkeypatch.setattr(tool_calls, "SLAB_CALLS", slab)
+    monkeypatch.setattr(ordered_calls, "__defaults__", (slab,))
+    found = {}
+    for r in sorted(formatted(linked, most_rows=9).collect(), key=lambda r: (r.conv_id, r.part)):
+        ids, cyclic = found.setdefault(r.conv_id, ([], []))
+        assert r.calls == len(json.loads(r.json)) <= 9 and r.linked == r.calls
+        ids += [c["id"] for c in json.loads(r.json)]
+        cyclic.append(r.cyclic)
+    assert set(found) == set(talks)
+    for conv, calls in talks.items():
+        order, cyclic = brute(calls)
+        assert found[conv][0] == order and sum(found[conv][1]) == len(cyclic), conv
+    assert sum(len(brute(c)[1]) for c in talks.values()) > 10
+
+
+def test_calls_without_turns_are_cut_too(frames):
+    calls = [(1, None, f"c{k:03d}", "find", '{"q":"${c099}"}') for k in range(100)]
+    parts = formatted(linked_calls(*frames(calls, [])), most_rows=30).collect()
+    assert sorted((r.part, r.calls, r.cyclic) for r in parts) == [(0, 30, 1), (1, 30, 0), (2, 30, 0), (3, 10, 0)]
+    assert [json.loads(r.json)[0]["id"] for r in parts if r.part == 0] == ["c099"]
