@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from paceline.functions.numeric import logit, sigmoid
@@ -17,6 +16,7 @@ from paceline.operators.cleaning import where_over
 from paceline.operators.conditional import (
     HISTORY, Fit, anchor_frame, bootstrap_coef, cond_logit_fit, cond_logit_nll, fit_all, forward_eval_monthly, interval,
     monthly_refit, newton_step, race_blocks, race_nll, race_rows, resampled)
+from paceline.operators.isotonic import calibrated, isotonic_blocks
 from paceline.operators.stats import auc, brier, log_loss
 from paceline.session import staged
 
@@ -66,10 +66,8 @@ def isotonic_calibrate(df: DataFrame, y: str, p: str) -> DataFrame:
     """Fit on the earlier half of the races, compare raw and calibrated scores on the later half."""
     halves = ranks.block_split(df.select(*RACE), 2).select(*RACE, "blk")
     rows = staged(df.select(*RACE, F.col(y).cast("double").alias("label"), F.col(p).alias("score")).join(halves, RACE), "halves")
-    # Equal scores are pooled first, which is what the fit does with them anyway.
-    pooled = rows.where("blk = 0").groupBy("score").agg(F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("weight"))
-    model = IsotonicRegression(featuresCol="score", labelCol="label", weightCol="weight", predictionCol="calibrated").fit(pooled)
-    later = model.transform(rows.where("blk = 1"))
+    blocks = isotonic_blocks(rows.where("blk = 0").select("score", "label", F.lit(1.0).alias("weight")))
+    later = calibrated(rows.where("blk = 1"), "score", blocks, "calibrated")
     return later.agg(
         F.count(F.lit(1)).alias("n"), log_loss(F.col("label"), F.col("score")).alias("ll_raw"), log_loss(F.col("label"), F.col("calibrated")).alias("ll_calibrated"),
         brier(F.col("label"), F.col("score")).alias("brier_raw"), brier(F.col("label"), F.col("calibrated")).alias("brier_calibrated"))

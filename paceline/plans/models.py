@@ -115,9 +115,33 @@ def _(spark, sf):
     return mo.walk_forward_scores(mo.walk_forward(anchor(spark, sf), "p_win", "mkt_win", "win"), "p_win", "mkt_win", "win")
 
 
-@query("isotonic_calibrate")
+ISOTONIC = {
+    **SCORED,
+    "numbered": f"SELECT {R}, floor((row_number() OVER (ORDER BY {R}) - 1) * 2 / count(*) OVER ()) AS blk FROM (SELECT DISTINCT {R} FROM scored)",
+    "halves": "SELECT y_win, round(p_win * 1000) / 1000 AS p, blk FROM scored JOIN numbered USING (race_date, place_code, race_no)",
+    "points": """SELECT p, row_number() OVER (ORDER BY p) AS i, sum(n) OVER (ORDER BY p) AS cn, sum(y) OVER (ORDER BY p) AS cy
+      FROM (SELECT p, count(*) AS n, sum(y_win) AS y FROM halves WHERE blk = 0 GROUP BY 1)""",
+    # The fit at i is the largest, over all starts j up to i, of the smallest mean from j to any end k from i on.
+    "lows": """SELECT k.i, min((k.cy - coalesce(b.cy, 0)) / (k.cn - coalesce(b.cn, 0))) OVER (PARTITION BY j.i ORDER BY k.i DESC) AS low
+      FROM points j JOIN points k ON k.i >= j.i LEFT JOIN points b ON b.i = j.i - 1""",
+    "fitted": "SELECT p, v, lead(p) OVER (ORDER BY p) AS q, lead(v) OVER (ORDER BY p) AS w FROM points JOIN (SELECT i, max(low) AS v FROM lows GROUP BY 1) USING (i)",
+    "cal": """SELECT y_win AS y, h.p AS r, coalesce(f.v + (coalesce(f.w, f.v) - f.v) * coalesce((h.p - f.p) / (f.q - f.p), 0), (SELECT min(v) FROM fitted)) AS c
+      FROM (SELECT * FROM halves WHERE blk = 1) h ASOF LEFT JOIN fitted f ON h.p >= f.p""",
+}
+
+
+def _loss_sql(p: str) -> str:
+    q = f"least(greatest({p}, 1e-6), 1 - 1e-6)"
+    return f"avg(-(y * ln({q}) + (1 - y) * ln(1 - {q})))"
+
+
+@query("isotonic_calibrate", f"""
+SELECT count(*) AS n, {_loss_sql("r")} AS ll_raw, {_loss_sql("c")} AS ll_calibrated, avg((r - y) * (r - y)) AS brier_raw, avg((c - y) * (c - y)) AS brier_calibrated FROM cal""",
+       dbl="ll_raw ll_calibrated brier_raw brier_calibrated", ctes=ISOTONIC)
 def _(spark, sf):
-    return mo.isotonic_calibrate(scored(spark, sf), "y_win", "p_win")
+    """Scores in per mille, so that the SQL's pairs of scores stay few."""
+    rows = scored(spark, sf).withColumn("p_win", F.round(F.col("p_win") * 1000) / 1000)
+    return mo.isotonic_calibrate(rows, "y_win", "p_win")
 
 
 RESIDUAL = {
