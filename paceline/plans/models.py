@@ -57,7 +57,22 @@ def _(spark, sf):
     return mo.newton_step(mo.race_rows(anchor(spark, sf)), 1.0, 0.0)
 
 
-@query("cond_logit_fit")
+def cond_newton_sql(steps: int = 25) -> dict[str, str]:
+    """Newton steps of the two exponents from (1, 0), each a query over the one before; ``fit_<steps>`` is the last."""
+    clip = lambda x: f"greatest(-2, least(2, {x}))"
+    out = {"fit_0": "SELECT 1.0::DOUBLE AS a, 0.0::DOUBLE AS b, 0.0::DOUBLE AS nll, 0::BIGINT AS n_races"}
+    for k in range(1, steps + 1):
+        out[f"fit_{k}"] = f"""SELECT a - {clip("((hbb + 1e-12) * ga - hab * gb) / ((haa + 1e-12) * (hbb + 1e-12) - hab * hab)")} AS a,
+      b - {clip("((haa + 1e-12) * gb - hab * ga) / ((haa + 1e-12) * (hbb + 1e-12) - hab * hab)")} AS b, nll, n_races FROM (
+      SELECT any_value(a) AS a, any_value(b) AS b, count(*) AS n_races, avg(ln(s) - a * wq - b * wm) AS nll, avg(mq - wq) AS ga, avg(mm - wm) AS gb,
+        avg(qq - mq * mq) AS haa, avg(qm - mq * mm) AS hab, avg(m2 - mm * mm) AS hbb FROM (
+        SELECT race_no, any_value(a) AS a, any_value(b) AS b, sum(e) AS s, sum(e * q) / sum(e) AS mq, sum(e * m) / sum(e) AS mm, sum(e * q * q) / sum(e) AS qq,
+          sum(e * q * m) / sum(e) AS qm, sum(e * m * m) / sum(e) AS m2, sum(win * q) AS wq, sum(win * m) AS wm
+        FROM (SELECT *, exp(a * q + b * m) AS e FROM logs, fit_{k - 1}) GROUP BY 1))"""
+    return out
+
+
+@query("cond_logit_fit", "SELECT a, b, nll, n_races, true AS converged FROM fit_25", dbl="a b nll", ctes={**ANCHOR, **cond_newton_sql()})
 def _(spark, sf):
     return mo.cond_logit_fit(mo.race_rows(anchor(spark, sf)))
 
@@ -104,13 +119,51 @@ def _(spark, sf):
     return mo.forward_eval_monthly(anchor(spark, sf), history)
 
 
-@query("blend_logit")
+def blend_newton_sql(rows: str, steps: int = 15) -> dict[str, str]:
+    """Newton steps of the blend (an intercept and two slopes, C = 1) for each ``fit`` of ``rows``; ``blend_<steps>`` is the last."""
+    h = {"h00": "sum(v)", "h01": "sum(v * x1)", "h02": "sum(v * x2)", "h11": "sum(v * x1 * x1) + 1", "h12": "sum(v * x1 * x2)", "h22": "sum(v * x2 * x2) + 1"}
+    adj = {"00": "h11 * h22 - h12 * h12", "01": "h02 * h12 - h01 * h22", "02": "h01 * h12 - h02 * h11", "11": "h00 * h22 - h02 * h02",
+           "12": "h01 * h02 - h00 * h12", "22": "h00 * h11 - h01 * h01"}
+    cell = lambda i, j: f"({adj[f'{min(i, j)}{max(i, j)}']})"
+    out = {"blend_0": f"SELECT DISTINCT fit, 0.0::DOUBLE AS c0, 0.0::DOUBLE AS c1, 0.0::DOUBLE AS c2 FROM {rows}"}
+    for k in range(1, steps + 1):
+        step = [" + ".join(f"{cell(i, j)} * g{j}" for j in range(3)) for i in range(3)]
+        news = ", ".join(f"c{i} - greatest(-2, least(2, ({step[i]}) / det)) AS c{i}" for i in range(3))
+        out[f"blend_{k}"] = f"""SELECT fit, {news} FROM (SELECT *, h00 * {cell(0, 0)} + h01 * {cell(0, 1)} + h02 * {cell(0, 2)} AS det FROM (
+      SELECT fit, any_value(c0) AS c0, any_value(c1) AS c1, any_value(c2) AS c2, sum(p - y) AS g0, sum((p - y) * x1) + any_value(c1) AS g1,
+        sum((p - y) * x2) + any_value(c2) AS g2, {", ".join(f"{f} AS {n}" for n, f in h.items())}
+      FROM (SELECT *, p * (1 - p) AS v FROM (SELECT *, 1 / (1 + exp(-(c0 + c1 * x1 + c2 * x2))) AS p FROM {rows} JOIN blend_{k - 1} USING (fit))) GROUP BY 1))"""
+    return out
+
+
+def _logit_sql(p: str) -> str:
+    return f"ln(least(greatest({p}, 1e-4), 1 - 1e-4) / (1 - least(greatest({p}, 1e-4), 1 - 1e-4)))"
+
+
+BLEND = {**ANCHOR, "xy": f"SELECT 0 AS fit, {_logit_sql('p_win')} AS x1, {_logit_sql('mkt_win')} AS x2, CAST(win AS DOUBLE) AS y FROM anchor", **blend_newton_sql("xy")}
+
+
+@query("blend_logit", "SELECT c0 AS intercept, c1 AS coef_model, c2 AS coef_market FROM blend_15", dbl="intercept coef_model coef_market", ctes=BLEND)
 def _(spark, sf):
     c = mo.blend_logit(anchor(spark, sf), "p_win", "mkt_win", "win")
     return spark.createDataFrame([tuple(c.values())], "intercept double, coef_model double, coef_market double")
 
 
-@query("walk_forward")
+WALK = {
+    **ANCHOR,
+    "blocked": f"""SELECT {_logit_sql('p_win')} AS x1, {_logit_sql('mkt_win')} AS x2, CAST(win AS DOUBLE) AS y, p_win, mkt_win, blk FROM anchor JOIN (
+      SELECT {R}, CAST(floor((row_number() OVER (ORDER BY {R}) - 1) * 5 / count(*) OVER ()) AS INT) AS blk FROM (SELECT DISTINCT {R} FROM anchor)) USING ({R})""",
+    "earlier": "SELECT fit, x1, x2, y FROM blocked JOIN (SELECT unnest(range(1, 5)) AS fit) ON blk < fit",
+    **blend_newton_sql("earlier"),
+    "oof": "SELECT blk, y, p_win, mkt_win, 1 / (1 + exp(-(c0 + c1 * x1 + c2 * x2))) AS blend FROM blocked JOIN blend_15 ON blk = fit",
+}
+WALK_SCORES = ", ".join(
+    f"avg(-(y * ln(least(greatest({p}, 1e-4), 1 - 1e-4)) + (1 - y) * ln(1 - least(greatest({p}, 1e-4), 1 - 1e-4)))) AS ll_{n}, avg(({p} - y) * ({p} - y)) AS brier_{n}"
+    for n, p in (("model", "p_win"), ("market", "mkt_win"), ("blend", "blend")))
+
+
+@query("walk_forward", f"SELECT CAST(blk AS BIGINT) AS blk, count(*) AS n, {WALK_SCORES} FROM oof GROUP BY 1",
+       dbl="ll_model brier_model ll_market brier_market ll_blend brier_blend", ctes=WALK)
 def _(spark, sf):
     return mo.walk_forward_scores(mo.walk_forward(anchor(spark, sf), "p_win", "mkt_win", "win"), "p_win", "mkt_win", "win")
 
