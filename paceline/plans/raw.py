@@ -119,7 +119,10 @@ def _(spark, sf):
     return raw.to_results(race_pages(spark, sf)).select(*CAR, "tyaku", "kojin_state", "tyaku_note", "tenki")
 
 
-@query("raw_to_payouts", f"SELECT {R}, bet_type, kumi_ban, payout, CAST(length(kumi_ban) AS INT) AS popularity FROM payouts", dt="race_date")
+BET_NAME_SQL = "CASE bet_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in raw.BET_NAMES.items()) + " END"
+
+
+@query("raw_to_payouts", f"SELECT {R}, bet_type, {BET_NAME_SQL} AS bet_name, kumi_ban, payout, CAST(length(kumi_ban) AS INT) AS popularity FROM payouts", dt="race_date")
 def _(spark, sf):
     return raw.to_payouts(payout_pages(spark, sf))
 

@@ -115,6 +115,15 @@ def to_results(captures: DataFrame) -> DataFrame:
         clean_text(first["tyakuNote"]).alias("tyaku_note"), text("tenki", "tenki"), text("husoku", "husoku"))
 
 
+# The names under which tickets are sold.
+BET_NAMES = {"WH2": "枠複", "WT2": "枠単", "SH2": "二車複", "ST2": "二車単", "RH3": "三連複", "RT3": "三連単", "W": "ワイド"}
+
+
+def bet_name(bet_type: Column) -> Column:
+    """The name of a bet type, NULL for an unknown one."""
+    return F.element_at(F.create_map(*[F.lit(x) for pair in BET_NAMES.items() for x in pair]), bet_type)
+
+
 def to_payouts(captures: DataFrame) -> DataFrame:
     """Seven lists of winners to long rows; tickets that are not shown or were not sold are left out."""
     lists = F.array(*[
@@ -123,7 +132,7 @@ def to_payouts(captures: DataFrame) -> DataFrame:
         "race_date", "place_code", "race_no", "bet_type", F.explode("items").alias("i"))
     paid = clean_text(F.col("i.haraiGaku"))
     shown = rows.where(F.coalesce("i.kumiDispFlg", F.lit(False)) & paid.isNotNull() & ~paid.isin(UNSOLD))
-    return shown.select("race_date", "place_code", "race_no", "bet_type", clean_text(F.col("i.kumiBan")).alias("kumi_ban"),
+    return shown.select("race_date", "place_code", "race_no", "bet_type", bet_name(F.col("bet_type")).alias("bet_name"), clean_text(F.col("i.kumiBan")).alias("kumi_ban"),
                         money(F.col("i.haraiGaku")).alias("payout"), money(F.col("i.ninki")).alias("popularity"))
 
 

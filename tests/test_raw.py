@@ -60,7 +60,7 @@ def test_payouts_skip_unsold_and_hidden(spark):
     body = '{"haraiGakuSubData": {"SH2HaraiGakuDispItemSubData": [%s, %s, %s], "WHaraiGakuDispItemSubData": [%s]}}' % (
         item % ("1=2", "8,460", "true"), item % ("1=3", "-", "true"), item % ("1=4", "500", "false"), item % ("2=3", "【未発売】", "true"))
     rows = raw.to_payouts(page(spark, "JSJ012", body)).collect()
-    assert [(r["bet_type"], r["kumi_ban"], r["payout"], r["popularity"]) for r in rows] == [("SH2", "1=2", 8460, 3)]
+    assert [(r["bet_type"], r["bet_name"], r["kumi_ban"], r["payout"], r["popularity"]) for r in rows] == [("SH2", "二車複", "1=2", 8460, 3)]
 
 
 def test_price_lists(spark):
