@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from paceline.functions.numeric import settle
 from paceline.keys import RACE
-from paceline.operators.ordered import distribution, n_values, share
+from paceline.operators.ordered import distributions, share
 from paceline.operators.stats import bh_qvalues, bootstrap_paired, t_pvalues
 
 # Fixed values of the gates.
@@ -42,39 +42,43 @@ def gate_timing(entries: DataFrame, log: DataFrame, wedges: DataFrame, missing:
     days = F.col("race_date").between(F.date_sub(last, 7 * GATE_WEEKS - 1), last)
     in_weeks = lambda df: df.where(days).withColumn("week", week_before(end)).where(weeks)
     key = ["target_offset_min", "week"]
-    planned = in_weeks(entries).groupBy("week").agg(F.countDistinct(*RACE).alias("planned"))
     logged = in_weeks(log)
     ok = logged.where(F.col("status") == "ok")
-    caught = ok.groupBy(*key).agg(
-        F.countDistinct(*RACE).alias("ok_races"), F.count(F.when(F.col("seconds_before_start") < 0, 1)).alias("post_start"),
-        F.avg(F.col("capture_lag_sec").isNull().cast("int")).alias("lag_null"))
-    lag = distribution(ok, key, F.abs("capture_lag_sec"), {"lag_p95": 0.95})
     measured = in_weeks(wedges.where(F.col("bet_type").isin(GATE_BETS)))
-    settled = measured.groupBy(*key).agg(F.countDistinct(*RACE).alias("settled"))
+    lag = F.abs("capture_lag_sec")
+    lags = distributions(
+        ok, key, {"lag": lag, "late": F.when(F.col("seconds_before_start") < 0, 1), "row": F.lit(1)}, {"lag_p95": ("lag", 0.95)},
+        [F.count("late").alias("post_start"), (1 - F.count("lag") / F.sum("c")).alias("lag_null")])
     value = settle(F.col("wedge"), 6)
-    medians = distribution(measured, [*key, "bet_type"], value, {"median": 0.5}, [share(F.abs(F.col("v")) > 0.10).alias("share10"), n_values().alias("n")])
-    p90 = distribution(measured, [*key, "bet_type"], F.abs(value), {"p90": 0.90})
-
-    # Offsets in use in these weeks; one retired earlier is not judged.
-    spine = logged.select("target_offset_min").distinct().withColumn("week", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(GATE_WEEKS - 1).cast("long"))))
-    rows = spine.join(planned, "week", "left").join(caught, key, "left").join(lag, key, "left").join(settled, key, "left")
-    zero = lambda c: F.coalesce(c, F.lit(0))
+    bets = distributions(
+        measured, [*key, "bet_type"], {"v": value, "size": F.abs(value)}, {"median": ("v", 0.5), "p90": ("size", 0.90)},
+        [share(F.col("size") > 0.10).alias("share10")])
+
+    # One row per offset, week and race with what is known of it, then one per offset and week.
+    fact = lambda df, **flags: df.select(*key, *RACE, *[flags.get(n, F.lit(0)).alias(n) for n in ("ok", "won")])
+    races = fact(logged, ok=(F.col("status") == "ok").cast("int")).unionByName(fact(measured, won=F.lit(1)))
+    per_race = races.groupBy(*key, *RACE).agg(F.max("ok").alias("ok"), F.max("won").alias("won"), F.min("won").alias("unlogged"))
+    caught = per_race.groupBy(*key).agg(F.sum("ok").alias("ok_races"), F.sum("won").alias("settled"), F.min("unlogged").alias("unlogged"))
+    planned = in_weeks(entries).groupBy("week").agg(F.countDistinct(*RACE).alias("planned")).agg(
+        F.map_from_entries(F.collect_list(F.struct("week", "planned"))))  # an entry per week of the gate
+    rows = caught.join(lags, key, "left").withColumn("planned", F.try_element_at(planned.scalar(), F.col("week")))
     lag_null = F.coalesce("lag_null", F.lit(1.0))
     shared = (
-        (zero("settled") >= min_settled) & (F.coalesce(F.try_divide(zero("ok_races"), F.col("planned")), F.lit(0.0)) >= MIN_COVERAGE)
-        & (zero("post_start") == 0) & (lag_null <= MAX_LAG_NULL) & (F.coalesce("lag_p95", F.lit(1e9)) <= MAX_LAG_P95)
+        (F.col("settled") >= min_settled) & (F.coalesce(F.try_divide("ok_races", "planned"), F.lit(0.0)) >= MIN_COVERAGE)
+        & (F.coalesce("post_start", F.lit(0)) == 0) & (lag_null <= MAX_LAG_NULL) & (F.coalesce("lag_p95", F.lit(1e9)) <= MAX_LAG_P95)
     )
-    by_offset = rows.withColumn("_ok", shared).groupBy("target_offset_min").agg(
-        F.bool_and("_ok").alias("shared_pass"), F.sum(zero("settled")).alias("settled"))
-    bets = spine.withColumn("bet_type", F.explode(F.array(*[F.lit(x) for x in GATE_BETS])))
-    bet_ok = F.coalesce(
-        (F.abs("median") <= MAX_MEDIAN) & (F.col("p90") <= MAX_P90) & (F.col("share10") <= MAX_SHARE10), F.lit(False))
-    by_bet = bets.join(medians, [*key, "bet_type"], "left").join(p90, [*key, "bet_type"], "left").withColumn("_ok", bet_ok).groupBy(
-        "target_offset_min", "bet_type").agg(F.bool_and("_ok").alias("bet_pass"))
+    # A week without rows has not passed; an offset without a log in these weeks, as one retired earlier, is not judged.
+    by_offset = rows.groupBy("target_offset_min").agg(
+        (F.count(F.when(shared, 1)) == GATE_WEEKS).alias("shared_pass"), F.sum("settled").alias("settled"), F.min("unlogged").alias("unlogged"))
+    bet_ok = (F.abs("median") <= MAX_MEDIAN) & (F.col("p90") <= MAX_P90) & (F.col("share10") <= MAX_SHARE10)
+    passed = bets.groupBy("target_offset_min", "bet_type").agg((F.count(F.when(bet_ok, 1)) == GATE_WEEKS).alias("bet_pass"))
     gone = missing.agg(F.count(F.lit(1)).alias("missing_14d"))
-    out = by_bet.join(by_offset, "target_offset_min").withColumn("missing_14d", gone.scalar())
+    judged = by_offset.where(F.col("unlogged") == 0).drop("unlogged").withColumn("bet_type", F.explode(F.array(*[F.lit(x) for x in GATE_BETS])))
+    out = judged.join(passed, ["target_offset_min", "bet_type"], "left").withColumn("bet_pass", F.coalesce("bet_pass", F.lit(False)))
+    out = out.withColumn("missing_14d", gone.scalar())
     clean = F.col("shared_pass") & (F.col("missing_14d") == 0)
-    return out.withColumn("shared_pass", clean).withColumn("verdict", clean & F.col("bet_pass"))
+    out = out.withColumn("shared_pass", clean).withColumn("verdict", clean & F.col("bet_pass"))
+    return out.select("target_offset_min", "bet_type", "bet_pass", "shared_pass", "settled", "missing_14d", "verdict")
 
 
 def gate_timing_count(gate: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from paceline.functions.text import truthy
 from paceline.keys import CAPTURE_OFFSETS, CAR, RACE, VENUE_DAY
 from paceline.operators.aggregates import daily_counts
 from paceline.operators.joins import completion_counts, two_level_default
-from paceline.operators.ordered import distribution, n_values
+from paceline.operators.ordered import distributions
 
 # Coverage limits and snapshots per race.
 LINES_WARN, SNAPS_WARN, NOTE_BELOW = 0.50, 0.80, 0.95
@@ -185,11 +185,11 @@ def capture_timing(timing: DataFrame) -> DataFrame:
     """Completion lag, fetch time and after-start captures of good captures by offset."""
     ok = timing.where(F.col("status") == "ok")
     key = ["target_offset_min"]
-    lag = distribution(ok, key, F.abs("done_lag_sec"), {"done_lag_p95": 0.95}, [n_values().alias("n")])
-    fetch = distribution(ok, key, F.col("fetch_sec"), {"fetch_p95": 0.95})
-    rest = ok.groupBy(*key).agg(
-        F.max("done_lag_sec").alias("done_lag_max"), F.count(F.when(F.col("seconds_before_done") < 0, 1)).alias("after_start"))
-    return lag.join(fetch, key, "left").join(rest, key)
+    early = F.when(F.col("seconds_before_done") < 0, 1)
+    return distributions(
+        ok, key, {"row": F.lit(1), "lag": F.abs("done_lag_sec"), "fetch": F.col("fetch_sec"), "done_lag": F.col("done_lag_sec"), "early": early},
+        {"done_lag_p95": ("lag", 0.95), "fetch_p95": ("fetch", 0.95)},
+        [F.count("lag").alias("n"), F.max("done_lag").alias("done_lag_max"), F.count("early").alias("after_start")])
 
 
 def lead_summary(log: DataFrame) -> DataFrame:

@@ -1,10 +1,11 @@
 """Slab-wise running totals, ranks and quantiles against brute force."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from paceline.operators import ranks, stats as st
-from paceline.operators.ordered import distribution, mean_value, n_values, positions, running, share
+from paceline.operators import ordered, ranks, stats as st
+from paceline.operators.ordered import distribution, distributions, mean_value, n_values, positions, running, share
 
 
 def skewed(spark, n=3000, seed=1):
@@ -51,12 +52,66 @@ def test_distribution_is_exact(spark):
         assert r["n"] == len(v) and abs(r["m"] - v.mean()) < 1e-9 and abs(r["neg"] - (v < 0).mean()) < 1e-9
 
 
+def test_groups_may_have_helper_like_names(spark):
+    df = spark.createDataFrame([(1, 1, 2.0), (1, 1, 4.0)], "_k int, _g int, v double")
+    assert distribution(df, ["_k", "_g"], F.col("v"), {"m": 0.5}).first()["m"] == 3.0
+
+
 def test_quantiles_of_one_value_and_nulls(spark):
     df = spark.createDataFrame([(1, 2.0), (1, None), (2, None)], "g int, v double")
     rows = distribution(df, ["g"], F.col("v"), {"m": 0.5}).collect()
     assert [(r["g"], r["m"]) for r in rows] == [(1, 2.0)]
 
 
+def test_quantiles_by_splitting_cells(spark, monkeypatch):
+    """Cells that hold several values are split until one value is left."""
+    monkeypatch.setattr(ordered, "_ORDERED_ROWS", 1)
+    monkeypatch.setattr(ordered, "_FEW_ROWS", 0)
+    rng = np.random.default_rng(7)
+    near = [(1, float(x)) for x in 1000 + rng.random(300)]
+    signs = [(2, float(x)) for x in np.concatenate([-(10.0 ** rng.uniform(-320, 300, 60)), [0.0, -0.0, 5e-324, 1e-323], 10.0 ** rng.uniform(-5, 300, 60)])]
+    ends = [(3, float("-inf")), (3, -1.0), (3, 2.0), (3, float("inf"))]
+    qs = {f"p{i}": i / 20 for i in range(21)}
+    got = {r["g"]: r for r in distribution(spark.createDataFrame(near + signs, "g int, v double"), ["g"], F.col("v"), qs).collect()}
+    for g, rows in ((1, near), (2, signs)):
+        v = np.array([x[1] for x in rows])
+        for name, p in qs.items():
+            assert np.isclose(got[g][name], np.quantile(v, p), rtol=1e-12, atol=1e-300)
+    r = distribution(spark.createDataFrame(ends, "g int, v double"), [], F.col("v"), {"a": 1 / 3, "b": 2 / 3}).first()
+    assert abs(r["a"] + 1) < 1e-9 and abs(r["b"] - 2) < 1e-9
+
+
+def test_quantiles_of_large_whole_numbers_are_exact(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "_ORDERED_ROWS", 1)
+    monkeypatch.setattr(ordered, "_FEW_ROWS", 0)
+    rows = [(2**60 + i * i,) for i in range(101)]
+    r = distribution(spark.createDataFrame(rows, "v long"), [], F.col("v"), {"m": 0.5}, [F.max("v").alias("top")]).first()
+    assert r["m"] == float(2**60 + 2500) and r["top"] == 2**60 + 10000
+
+
+@pytest.mark.parametrize("few", [0, 10**6])
+def test_quantiles_of_several_values_share_the_passes(spark, monkeypatch, few):
+    monkeypatch.setattr(ordered, "_FEW_ROWS", few)
+    rows, df = skewed(spark)
+    some = df.withColumn("w", F.when(F.col("id") % 3 == 0, F.abs("v")))
+    out = distributions(some, ["g"], {"v": F.col("v"), "w": F.col("w")}, {"v50": ("v", 0.5), "w95": ("w", 0.95), "w10": ("w", 0.1)},
+                        [F.count("v").alias("n"), F.count("w").alias("nw"), F.sum("c").alias("rows")])
+    for r in out.collect():
+        v = np.array([x[1] for x in rows if x[0] == r["g"]])
+        w = np.array([abs(x[1]) for x in rows if x[0] == r["g"] and x[2] % 3 == 0])
+        assert (r["n"], r["nw"], r["rows"]) == (len(v), len(w), len(v))
+        assert abs(r["v50"] - np.quantile(v, 0.5)) < 1e-9
+        assert abs(r["w95"] - np.quantile(w, 0.95)) < 1e-9 and abs(r["w10"] - np.quantile(w, 0.1)) < 1e-9
+
+
+@pytest.mark.parametrize("few", [-1, 10**6])
+def test_quantiles_of_no_rows(spark, monkeypatch, few):
+    monkeypatch.setattr(ordered, "_FEW_ROWS", few)
+    none = spark.createDataFrame([], "g int, v double")
+    assert distribution(none, ["g"], F.col("v"), {"m": 0.5}, [n_values().alias("n")]).collect() == []
+    assert tuple(distribution(none, [], F.col("v"), {"m": 0.5}, [n_values().alias("n")]).first()) == (None, None)
+
+
 def test_auc_counts_ties_half(spark):
     rng = np.random.default_rng(3)
     p = np.round(rng.random(400), 1)
