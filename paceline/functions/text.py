@@ -2,26 +2,74 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import functools
+import unicodedata
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, functions as F
 
 from paceline.keys import ORDERED_BETS
 
-# Full-width ASCII block U+FF01..U+FF5E and the ideographic space, with their half-width forms.
-_WIDE = "".join(chr(c) for c in range(0xFF01, 0xFF5F)) + "　"
-_HALF = "".join(chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)) + " "
 # Markers for tickets that were not sold.
 UNSOLD = ["-", "【未発売】"]
 
 
-def half_width(col: Column) -> Column:
-    return F.translate(col, _WIDE, _HALF)
+@functools.cache
+def _foldings() -> tuple[dict[str, str], dict[str, str], dict[str, str]]:
+    """NFKC of the Basic Multilingual Plane: one character to one, one to several, base plus mark to one."""
+    plane = [chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000]
+    folded = {c: unicodedata.normalize("NFKC", c) for c in plane}
+    single = {c: d for c, d in folded.items() if d != c and len(d) == 1}
+    several = {c: d for c, d in folded.items() if len(d) > 1}
+    pairs = {}
+    for c in plane:
+        parts = unicodedata.decomposition(c).split()
+        if len(parts) == 2 and not parts[0].startswith("<"):
+            pair = "".join(chr(int(x, 16)) for x in parts)
+            if unicodedata.normalize("NFC", pair) == c:
+                pairs[pair] = c
+    return single, several, pairs
+
+
+def _any_of(chars: Iterable[str]) -> str:
+    """A pattern for one of the characters, neighbours as ranges."""
+    codes = {ord(c) for c in chars}
+    starts = sorted(c for c in codes if c - 1 not in codes)
+    ends = sorted(c for c in codes if c + 1 not in codes)
+    return "[" + "".join(f"\\u{x:04X}-\\u{y:04X}" for x, y in zip(starts, ends)) + "]"
+
+
+def _lookup(table: dict[str, str]) -> Column:
+    """The table as one folded literal; control characters part its entries."""
+    text = "\x01".join(f"{k}\x02{v}" for k, v in table.items())
+    return F.str_to_map(F.lit(text), F.lit("\x01"), F.lit("\x02"))
+
+
+def nfkc(col: Column) -> Column:
+    """Compatibility forms to plain ones, as Unicode's NFKC does.
+
+    Characters of the Basic Multilingual Plane are folded, and a base is joined with the marks behind
+    it in their order. Marks are not reordered, and Hangul letters are not joined to syllables.
+    """
+    single, several, pairs = _foldings()
+    plain = F.translate(col, "".join(single), "".join(single.values()))
+    letters = lambda text: F.split(text, "")
+    spread = F.array_join(F.transform(letters(plain), lambda c: F.coalesce(F.try_element_at(_lookup(several), c), c)), "")
+    wide = F.when(plain.rlike(_any_of(several)), spread).otherwise(plain)
+
+    def join(done: Column, c: Column) -> Column:
+        size = F.length(done)
+        whole = F.try_element_at(_lookup(pairs), F.concat(F.right(done, F.lit(1)), c))
+        return F.when(whole.isNotNull(), F.concat(F.substring(done, F.lit(1), F.greatest(size - 1, F.lit(0))), whole)).otherwise(F.concat(done, c))
+
+    composed = F.when(wide.rlike(_any_of(k[1] for k in pairs)), F.aggregate(letters(wide), F.lit(""), join)).otherwise(wide)
+    # Plain ASCII, nearly every text, is left at the first look.
+    return F.when(col.rlike(r"[^\x00-\x7F]"), composed).otherwise(col)
 
 
 def clean_text(col: Column) -> Column:
-    """Full-width to half-width, then trim; blank and the word ``null`` become NULL."""
-    trimmed = F.trim(half_width(col))
+    """NFKC, then trim; blank and the word ``null`` become NULL."""
+    trimmed = F.trim(nfkc(col))
     return F.when((col == "null") | (trimmed == ""), None).otherwise(trimmed)
 
 

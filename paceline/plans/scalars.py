@@ -116,11 +116,12 @@ def _(spark, sf):
 
 @query("clean_text", """
 SELECT doc_id, CASE WHEN trim(lang) IN ('', 'null') THEN NULL ELSE trim(lang) END AS lang,
-  translate(concat('Ａ１', lang, '　Ｂ'), 'Ａ１Ｂ　', 'A1B ') AS wide, lang AS padded, NULL AS blank, length(trim(text, ' ')) AS n FROM documents""")
+  translate(concat('Ａ１', lang, '　Ｂ'), 'Ａ１Ｂ　', 'A1B ') AS wide, concat('1(株)', lang, 'ガ') AS folded, lang AS padded, NULL AS blank, length(trim(text, ' ')) AS n FROM documents""")
 def _(spark, sf):
     d = b.table(spark, sf, "documents")
     return d.select("doc_id", tx.clean_text(F.col("lang")).alias("lang"),
                     tx.clean_text(F.concat(F.lit("Ａ１"), "lang", F.lit("　Ｂ"))).alias("wide"),
+                    tx.clean_text(F.concat(F.lit("①㈱"), "lang", F.lit("ｶﾞ"))).alias("folded"),
                     tx.clean_text(F.concat(F.lit("　　"), "lang", F.lit("　 "))).alias("padded"), tx.clean_text(F.lit("　")).alias("blank"),
                     F.length(F.trim("text")).cast("long").alias("n"))
 

@@ -1,6 +1,7 @@
 """Page and message parsing, text cleaning, streams."""
 
 import datetime as dt
+import unicodedata
 
 from pyspark.sql import functions as F
 
@@ -101,3 +102,15 @@ def test_overround_window_waits_for_the_watermark(spark):
     src = feed(spark, folder, [("2026-01-01", 1, 1, 2.0, at(0, 1)), ("2026-01-01", 1, 1, 4.0, at(0, 59)), ("2026-01-01", 1, 1, 5.0, at(9, 0))], schema)
     cs.run_available(cs.to_files(cs.overround_windows(src), out), spark)
     assert [(r["overround"], r["n"]) for r in spark.read.parquet(out).collect()] == [(0.75, 2)]
+
+
+def test_nfkc_of_every_character_of_the_plane(spark):
+    chars = [(c, chr(c)) for c in range(1, 0x10000) if not 0xD800 <= c < 0xE000]
+    got = spark.createDataFrame(chars, "code int, s string").select("code", tx.nfkc(F.col("s")).alias("t")).collect()
+    assert [hex(r["code"]) for r in got if r["t"] != unicodedata.normalize("NFKC", chr(r["code"]))] == []
+
+
+def test_nfkc_of_texts(spark):
+    texts = ["", "plain", "ﾎﾟｯｷｰ ｶﾞ", "①㈱Ａ１　Ｂ", "e\u0301a\u0302\u0301", "か\u3099は\u309a", "㌔ﬁ½", "\u0301x", "競輪", None]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "s string").select(tx.nfkc(F.col("s"))).collect()]
+    assert got == [t if t is None else unicodedata.normalize("NFKC", t) for t in texts]
