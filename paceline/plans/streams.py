@@ -111,9 +111,10 @@ def _(spark, sf):
 @query("stream_late_rows", f"SELECT {R}, car_no, target_offset_min, seconds_before_start, 'late' AS side FROM capture_log WHERE seconds_before_start < 0",
        dbl="target_offset_min seconds_before_start", dt="race_date")
 def _(spark, sf):
-    main, late = scratch_path(spark, "main"), scratch_path(spark, "late")
-    cs.run_available(cs.split_late(log_feed(spark, sf), main, late), spark)
-    return spark.read.parquet(late).select(*RACE, "car_no", "target_offset_min", "seconds_before_start", F.lit("late").alias("side"))
+    path = scratch_path(spark, "sides")
+    cs.run_available(cs.split_late(log_feed(spark, sf), path), spark)
+    late = spark.read.parquet(path).where(F.col("side") == "late")
+    return late.select(*RACE, "car_no", "target_offset_min", "seconds_before_start", F.col("side").cast("string").alias("side"))
 
 
 @query("stream_join_schedule", """

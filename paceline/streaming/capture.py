@@ -106,15 +106,16 @@ def capture_health(attempts: DataFrame, width: str = "10 minutes", slide: str =
         F.col("w.start").alias("window_start"), "target_offset_min", "n_ok", "n_no_odds", "n_fail", "mean_lag")
 
 
-def split_late(log: DataFrame, main: str, late: str) -> DataStreamWriter:
-    """Captures made after the start go to a side table, all others to the main one."""
+def split_late(log: DataFrame, path: str) -> DataStreamWriter:
+    """Captures made after the start go to ``side=late``, all others to ``side=main``, in one pass per batch."""
+    after = F.coalesce(F.col("seconds_before_start") < 0, F.lit(False))
+    sided = log.withColumn("side", F.when(after, "late").otherwise("main"))
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        after = F.coalesce(F.col("seconds_before_start") < 0, F.lit(False))
-        batch.where(after).write.mode("overwrite").parquet(f"{late}/batch={batch_id}")
-        batch.where(~after).write.mode("overwrite").parquet(f"{main}/batch={batch_id}")
+        # A replayed batch overwrites its own folder.
+        batch.write.mode("overwrite").partitionBy("side").parquet(f"{path}/batch={batch_id}")
 
-    return log.writeStream.outputMode("append").foreachBatch(land)
+    return sided.writeStream.outputMode("append").foreachBatch(land)
 
 
 def reschedule(planned: DataFrame, program: DataFrame) -> DataFrame:

@@ -114,3 +114,15 @@ def test_nfkc_of_texts(spark):
     texts = ["", "plain", "ﾎﾟｯｷｰ ｶﾞ", "①㈱Ａ１　Ｂ", "e\u0301a\u0302\u0301", "か\u3099は\u309a", "㌔ﬁ½", "\u0301x", "競輪", None]
     got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "s string").select(tx.nfkc(F.col("s"))).collect()]
     assert got == [t if t is None else unicodedata.normalize("NFKC", t) for t in texts]
+
+
+def test_late_captures_are_parted_over_several_batches(spark, tmp_path):
+    schema = "id long, seconds_before_start double"
+    for rows in ([(1, 5.0), (2, -1.0)], [(3, None), (4, -0.5)], [(5, 0.0)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "feed"))
+    feed = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "feed"))
+    out = str(tmp_path / "sides")
+    cs.run_available(cs.split_late(feed, out), spark)
+    got = spark.read.parquet(out)
+    assert got.select("batch").distinct().count() == 3
+    assert {(r["id"], r["side"]) for r in got.collect()} == {(1, "main"), (2, "late"), (3, "main"), (4, "late"), (5, "main")}
