@@ -89,6 +89,19 @@ def _(spark, sf):
     return tb.partition_migrate(legacy, path, side, "first")
 
 
+@query("dedup_latest_closed", f"""
+SELECT {R}, bet_type, kumi_ban, odds, popularity, snapshot_dt, target_offset_min FROM snapshots WHERE odds > 0
+QUALIFY row_number() OVER (PARTITION BY {R}, bet_type, kumi_ban ORDER BY snapshot_dt DESC, target_offset_min DESC, odds DESC, max_odds DESC, popularity DESC) = 1""",
+       dbl="odds target_offset_min", dt="race_date", ts="snapshot_dt")
+def _(spark, sf):
+    path, latest = store(spark, sf), scratch_path(spark, "closed")
+    tb.close_months(spark, path, latest, "1996-01", ["target_offset_min"])
+    # A late batch of one bet type: its closed months are read from the store again until they are closed anew.
+    s = b.snapshots(spark, sf)
+    tb.append_snapshots(s.where((F.col("bet_type") == "W") & (F.col("race_date") < F.lit("1994-01-01").cast("date"))), path, "late")
+    return tb.scan_latest(spark, path, latest, ["target_offset_min"]).select(*COMBO, "odds", "popularity", "snapshot_dt", "target_offset_min")
+
+
 @query("salvage_rows", f"SELECT {R}, bet_type, kumi_ban, odds FROM snapshots WHERE bet_type = 'ST2'", dbl="odds", dt="race_date")
 def _(spark, sf):
     path = scratch_path(spark, "torn")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from paceline.keys import COMBO
 from paceline.operators.dedup import dedup_latest, dup_key_count, exact_duplicates
 from paceline.session import scratch_path
-from paceline.sources import tables as tb
+from paceline.sources import batches as vb, tables as tb
 
 DAYS = ["2026-05-16", "2026-05-31", "2026-06-01", "2026-06-15", "2026-07-20", "2026-08-31", "2026-09-01", "2026-09-04"]
 SCHEMA = ("race_date date, place_code int, race_no long, bet_type string, kumi_ban string, odds double, snapshot_dt timestamp_ntz, "
@@ -136,3 +136,68 @@ def test_a_corrected_quarantine_is_emptied(spark, tmp_path):
     assert first == {"bad": (1, 1), "1999-06": (1, 1)}
     again = {r.month: (r.n_in, r.n_out) for r in tb.partition_migrate(bad.where("race_no = 2"), store, side, "b").collect()}
     assert again == {"1999-06": (1, 1)}
+
+
+def test_a_killed_load_leaves_the_old_batch(spark, snaps):
+    store = scratch_path(spark, "t")
+    tb.append_snapshots(snaps.where("race_no = 1"), store, "a")
+    before = sorted(tuple(r) for r in tb.scan_partitions(spark, store, columns=COMBO).collect())
+    # A load that ends before its commit: all files are there, nothing reads them.
+    rows = tb.conform(snaps.where("race_no = 2"), "race_odds_prerace").withColumn("race_month", F.date_format("race_date", "yyyy-MM"))
+    version = tb.write_months(rows, store)
+    assert sorted(tuple(r) for r in tb.scan_partitions(spark, store, columns=COMBO).collect()) == before
+    vb.commit_batch(tb.month_counts(spark, store, version), store, "a", version)
+    assert {r.race_no for r in tb.scan_partitions(spark, store).collect()} == {2}
+    assert vb.superseded(spark, store).count() == 1
+    tb.append_snapshots(snaps.limit(0), store, "a")
+    assert tb.scan_partitions(spark, store).count() == 0
+
+
+def test_closed_months_equal_the_full_dedup_and_follow_their_versions(spark, snaps):
+    store, latest = scratch_path(spark, "t"), scratch_path(spark, "l")
+    tb.append_snapshots(snaps.where("target_offset_min > 1"), store, "a")
+    tb.append_snapshots(snaps.where("target_offset_min <= 1"), store, "b")
+    ties = ["target_offset_min"]
+
+    def same(start=None, end=None):
+        full = dedup_latest(tb.scan_partitions(spark, store, start, end), ties)
+        out = tb.scan_latest(spark, store, latest, ties, start, end)
+        assert sorted(map(str, out.select(*full.columns).collect())) == sorted(map(str, full.collect()))
+        return out.count()
+
+    assert same() > 0 and tb.close_months(spark, store, latest, "2026-08", ties) == ["2026-05", "2026-06", "2026-07"]
+    assert same() == same("2026-05-01", "2026-09-30") and same("2026-05-20", "2026-06-10") > 0
+    assert tb.close_months(spark, store, latest, "2026-08", ties) == []
+    # A late file of June and a batch without May: only these two months are stale, and read right before they are closed again.
+    later = snaps.where("race_date = '2026-06-15' AND odds > 0").withColumn("snapshot_dt", F.expr("snapshot_dt + interval 1 hour")).withColumn("odds", F.lit(99.0))
+    tb.append_snapshots(later, store, "late")
+    assert same("2026-06-01", "2026-06-30") > 0
+    assert tb.scan_latest(spark, store, latest, ties).where("odds = 99").count() == 12
+    assert tb.close_months(spark, store, latest, "2026-08", ties) == ["2026-06"] and same() > 0
+    tb.append_snapshots(snaps.where("target_offset_min <= 1 AND race_date > '2026-06-01'"), store, "b")
+    assert tb.close_months(spark, store, latest, "2026-09", ties) == ["2026-05", "2026-06", "2026-07", "2026-08"] and same() > 0
+
+
+def test_migration_reads_the_legacy_table_once_and_keeps_rejected_rows_whole(spark, snaps, tmp_path):
+    legacy = snaps.withColumn("race_date", F.col("race_date").cast("string")).withColumn("extra", F.lit("x"))
+    torn = legacy.limit(2).withColumn("race_date", F.lit("20x1-02-30")).withColumn("odds", F.lit(None).cast("double"))
+    far = legacy.limit(1).withColumn("race_date", F.lit("+12345-01-01"))
+    table = str(tmp_path / "legacy")
+    legacy.unionByName(torn).unionByName(far).unionByName(legacy.limit(1).withColumn("race_date", F.lit(None).cast("string"))).write.parquet(table)
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(rows):
+        for batch in rows:
+            seen.add(batch.num_rows)
+            yield batch
+
+    source = spark.read.parquet(table)
+    store, side = scratch_path(spark, "m"), scratch_path(spark, "q")
+    out = {r.month: (r.n_in, r.n_out, r.agrees) for r in tb.partition_migrate(source.mapInArrow(count, source.schema), store, side, "one").collect()}
+    n = legacy.count()
+    assert seen.value == n + 4 and out["bad"] == (4, 4, True) and sum(v[0] for v in out.values()) == n + 4
+    kept = tb.scan_quarantine(spark, side, source.schema).collect()
+    assert sorted(str(r.race_date) for r in kept) == ["+12345-01-01", "20x1-02-30", "20x1-02-30", "None"] and {r.extra for r in kept} == {"x"}
+    assert tb.scan_partitions(spark, store).count() == n
+    assert tb.partition_migrate(source.limit(0), store, side, "one").count() == 0 and tb.scan_partitions(spark, store).count() == 0
+    assert tb.scan_quarantine(spark, side, source.schema).count() == 0
