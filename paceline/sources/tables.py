@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from paceline.functions.moments import month_of
 from paceline.keys import RACE
@@ -194,7 +195,8 @@ def partition_migrate(legacy: DataFrame, store: str, quarantine: str, batch: str
     schema = stored_schema().add("rejected", legacy.schema)
     bad = vb.read_versions(spark, store, [version], schema).where(F.col(MONTH) == BAD).select("rejected.*")
     side = vb.write_version(bad, quarantine)
-    held = vb.read_versions(spark, quarantine, [side], legacy.schema.add(vb.VERSION, "string"))
+    # ``add`` changes the frame's own schema, so the version is put behind a copy.
+    held = vb.read_versions(spark, quarantine, [side], StructType(list(legacy.schema.fields)).add(vb.VERSION, "string"))
     kept = held.groupBy(F.lit(BAD).alias("month")).agg(F.count(F.lit(1)).alias("n_rows"))
     vb.commit_batch(kept, quarantine, batch, side)
     vb.commit_batch(month_counts(spark, store, version), store, batch, version)

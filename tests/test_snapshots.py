@@ -199,5 +199,7 @@ def test_migration_reads_the_legacy_table_once_and_keeps_rejected_rows_whole(spa
     kept = tb.scan_quarantine(spark, side, source.schema).collect()
     assert sorted(str(r.race_date) for r in kept) == ["+12345-01-01", "20x1-02-30", "20x1-02-30", "None"] and {r.extra for r in kept} == {"x"}
     assert tb.scan_partitions(spark, store).count() == n
+    same = {r.month: (r.n_in, r.n_out, r.agrees) for r in tb.partition_migrate(source, store, side, "one").collect()}
+    assert tb.partition_migrate(source, store, side, "one").count() == len(same) and same == out
     assert tb.partition_migrate(source.limit(0), store, side, "one").count() == 0 and tb.scan_partitions(spark, store).count() == 0
     assert tb.scan_quarantine(spark, side, source.schema).count() == 0
