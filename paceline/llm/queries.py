@@ -151,8 +151,25 @@ units AS (SELECT doc_id, 0 AS unit, text AS raw FROM lines WHERE len(l) > 1
 uw AS (SELECT doc_id, unit, string_split({norm("raw")}, ' ') AS w FROM units),
 ug AS (SELECT doc_id, unit, {pairs} AS g FROM uw WHERE len(w) > 1),
 m AS (SELECT doc_id, unit, license, len(ug.g) AS a, 2 * len(list_intersect(ug.g, tg.g)) / (len(ug.g) + len(tg.g)) AS dice FROM ug, tg
-  WHERE len(ug.g) <= 1.5 * len(tg.g) AND len(tg.g) <= 1.5 * len(ug.g))
-SELECT doc_id, CAST(unit AS INT) AS unit, license, max(dice) AS dice, CAST(max(a) AS INT) AS n_bigrams FROM m WHERE dice >= 0.8 GROUP BY 1, 2, 3"""
+  WHERE len(ug.g) <= 1.5 * len(tg.g) AND len(tg.g) <= 1.5 * len(ug.g)),
+sentences AS (SELECT doc_id, unit AS line, string_split(regexp_replace(raw, '([.!?;:])[ \t]+', '\\1' || chr(10), 'g'), chr(10)) AS l FROM units WHERE unit > 0),
+parts AS (SELECT doc_id, line, unnest(range(1, len(l) + 1)) AS nth, unnest(l) AS raw FROM sentences),
+pw AS (SELECT doc_id, line, nth, string_split({norm("raw")}, ' ') AS w FROM parts WHERE {norm("raw")} <> ''),
+pn AS (SELECT *, row_number() OVER o AS pos, CAST(sum(len(w)) OVER o AS BIGINT) AS upto, count(*) OVER (PARTITION BY doc_id, line) AS of_line,
+  count(*) OVER (PARTITION BY doc_id) AS of_text FROM pw WINDOW o AS (PARTITION BY doc_id ORDER BY line, nth)),
+dw AS (SELECT doc_id, flatten(list(w ORDER BY pos)) AS w FROM pn GROUP BY 1),
+most AS (SELECT CAST(floor(1.5 * max(len(g)) + 1e-9) AS BIGINT) + 1 AS n FROM tg),
+rw AS (SELECT x.doc_id, x.line AS unit, y.line AS last_line, x.pos AS f, y.pos AS l, dw.w[x.upto - len(x.w) + 1 : y.upto] AS w,
+  (x.line = y.line AND y.pos - x.pos + 1 = x.of_line) OR y.pos - x.pos + 1 = x.of_text AS whole
+  FROM pn x JOIN pn y ON y.doc_id = x.doc_id AND y.pos >= x.pos AND y.upto - x.upto + len(x.w) <= (SELECT n FROM most) JOIN dw ON dw.doc_id = x.doc_id),
+rg AS (SELECT doc_id, unit, last_line, f, l, whole, {pairs} AS g FROM rw WHERE len(w) > 1),
+rm AS (SELECT doc_id, unit, last_line, f, l, whole, license, max(2 * len(list_intersect(rg.g, tg.g)) / (len(rg.g) + len(tg.g))) AS dice, max(len(rg.g)) AS a FROM rg, tg
+  WHERE len(rg.g) <= 1.5 * len(tg.g) AND len(tg.g) <= 1.5 * len(rg.g) GROUP BY ALL HAVING dice >= 0.8),
+runs AS (SELECT * FROM rm r WHERE NOT whole AND NOT EXISTS (SELECT 1 FROM rm o WHERE o.doc_id = r.doc_id AND o.license = r.license AND o.f <= r.l AND o.l >= r.f
+  AND (o.dice > r.dice OR (o.dice = r.dice AND (o.l - o.f < r.l - r.f OR (o.l - o.f = r.l - r.f AND o.f < r.f))))))
+SELECT doc_id, CAST(unit AS INT) AS unit, license, max(dice) AS dice, CAST(max(a) AS INT) AS n_bigrams, CAST(NULL AS INT) AS last_line,
+  CAST(NULL AS INT) AS first_part, CAST(NULL AS INT) AS last_part FROM m WHERE dice >= 0.8 GROUP BY 1, 2, 3
+UNION ALL SELECT doc_id, CAST(unit AS INT), license, dice, CAST(a AS INT), CAST(last_line AS INT), CAST(f AS INT), CAST(l AS INT) FROM runs"""
 
 
 #: Training, hashing of placements, tokenising and byte runs have no SQL form; tests hold them against brute force.
