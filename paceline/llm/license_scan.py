@@ -1,14 +1,14 @@
 """Licence scan: Dice coefficient over word bigrams against licence templates, with size bounds.
 
 A text's units are its lines, the text as a whole, and runs of consecutive parts: a part is a sentence of
-a line, so runs hold notices that are wrapped over lines and notices inside a longer line. Each is normalised to lower-case words; two
-bigram sets of a and b members with s in common have the Dice coefficient 2 s / (a + b). As s is at
-most the smaller size, a coefficient of t needs sizes within a factor of (2 - t) / t of each other:
-templates out of these bounds are no candidates for a unit, and a unit that fits no template's bounds
-is left before its bigrams are looked up. A long unit is left even earlier: k different words make k - 1
-different bigrams at least, so a beginning with too many words settles it. Runs are built only round
-seeds: words of a template that touch so many of its bigrams that no unit without one of them can reach
-the coefficient. Everything is DataFrame functions.
+a line, so runs hold notices that are wrapped over lines and notices inside a longer line. Each is
+normalised to lower-case words; two bigram sets of a and b members with s in common have the Dice
+coefficient 2 s / (a + b). As s is at most the smaller size, a coefficient of t needs sizes within a factor
+of (2 - t) / t of each other: templates out of these bounds are no candidates for a unit, and a unit that
+fits no template's bounds is left before its bigrams are looked up. A long unit is left even earlier: k
+different words make k - 1 different bigrams at least, so a beginning with too many words settles it. Runs
+are built only round seeds: so many bigrams of each template that no unit without one of them can reach the
+coefficient. Everything is DataFrame functions.
 """
 
 from __future__ import annotations
@@ -61,41 +61,41 @@ def template_table(spark: SparkSession, templates: Sequence[tuple[str, str]] = T
     return spark.createDataFrame(list(templates), "license string, text string")
 
 
-def seed_words(texts: Sequence[str], dice: float) -> list[str]:
-    """Words of which every unit that matches a template holds one; the texts are normalised.
+def seed_pairs(texts: Sequence[str], dice: float) -> list[tuple[str, str]]:
+    """Bigrams of which every unit that matches a template holds one; the texts are normalised.
 
     A unit with s bigrams of a template's b has a coefficient of 2 s / (s + b) at most, so it needs
-    s >= dice / (2 - dice) b. The longest words of the template are taken until fewer are left without them.
+    s >= dice / (2 - dice) b. The longest bigrams are taken until fewer are left.
     """
-    seeds: set[str] = set()
+    seeds: set[tuple[str, str]] = set()
     for text in texts:
         words = text.split()
-        left = set(zip(words[:-1], words[1:], strict=True))
+        left = sorted(set(zip(words[:-1], words[1:], strict=True)), key=lambda p: (len(p[0]) + len(p[1]), p))
         need = dice / (2 - dice) * len(left) - 1e-9
-        for word in sorted(set(words), key=lambda w: (-len(w), w)):
-            if len(left) < need or not left:
-                break
-            seeds.add(word)
-            left = {pair for pair in left if word not in pair}
+        while left and len(left) >= need:
+            seeds.add(left.pop())
     return sorted(seeds)
 
 
-def part_runs(docs: DataFrame, id_col: str, text_col: str, seeds: Sequence[str] | None, low: float, most: int) -> DataFrame:
+def part_runs(docs: DataFrame, id_col: str, text_col: str, seeds: Sequence[tuple[str, str]] | None, low: float, most: int) -> DataFrame:
     """Runs of consecutive parts of a text with at most ``most`` words and more than ``low`` that hold a seed.
 
     Only texts that hold a seed are cut, and of these only parts within ``most`` words of a seed stay. The
     rows of a text meet in one window over its parts, which spills; a frame holds the words of one run.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    seeded = (lambda c: c.rlike("|".join(seeds))) if seeds is not None else (lambda c: F.lit(True))
+    any_seed = r"(?<![\p{L}\p{N}])(?:" + "|".join(rf"{x}[^\p{{L}}\p{{N}}]+{y}" for x, y in seeds or []) + ")"
+    seeded = (lambda c: c.rlike(any_seed)) if seeds is not None else (lambda c: F.lit(True))
     held = docs.where(seeded(F.lower(text))).select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(id_col), text).alias("_d"), text.alias("text"))
     lines = held.select("doc_id", "_d", F.posexplode(F.split("text", "\n", -1)).alias("line", "raw"))
     parts = lines.select("doc_id", "_d", F.col("line") + 1, F.posexplode(F.split("raw", r"(?<=[.!?;:])[ \t]+", -1)).alias("nth", "raw"))
     parts = parts.toDF("doc_id", "_d", "line", "nth", "raw").select("doc_id", "_d", "line", "nth", once(normalised(F.col("raw"))).alias("norm"))
-    parts = parts.where(F.col("norm") != "").distinct().withColumns({"k": F.size(F.split("norm", " ")), "seed": seeded(F.col("norm"))})
+    parts = parts.where(F.col("norm") != "").distinct().withColumn("k", F.size(F.split("norm", " ")))
 
     text_window = Window.partitionBy("doc_id", "_d")
     ordered = text_window.orderBy("line", "nth")
+    # A seed that goes on in the next part belongs to the part that it begins in.
+    parts = parts.withColumn("seed", seeded(F.concat_ws(" ", "norm", F.substring_index(F.lead("norm").over(ordered), " ", 1))))
     parts = parts.withColumns({"pos": F.row_number().over(ordered), "end": F.sum("k").over(ordered), "of_line": F.count("k").over(Window.partitionBy("doc_id", "_d", "line"))})
     parts = parts.withColumns({"begin": F.col("end") - F.col("k"), "of_text": F.count("k").over(text_window)})
     place = text_window.orderBy("begin")
@@ -192,7 +192,7 @@ def license_matches(
     seeds = None
     if few:
         named = templates.where(F.col("license").isNotNull()).select(normalised(F.col("text")).alias("norm"))
-        seeds = seed_words([r.norm for r in named.distinct().collect()], dice)
+        seeds = seed_pairs([r.norm for r in named.distinct().collect()], dice)
     most = math.floor(high + 1e-9) + 1
     runs = scored(part_runs(docs, id_col, text_col, seeds, low - 1e-9, most), ["doc_id", "_d", "unit", "last_line", "first_part", "last_part", "whole"])
     return best.unionByName(best_runs(runs, most).select(*best.columns).distinct())

@@ -2,7 +2,7 @@ import random
 import re
 
 from paceline.llm import license_scan
-from paceline.llm.license_scan import TEMPLATES, license_matches, seed_words, template_table
+from paceline.llm.license_scan import TEMPLATES, license_matches, seed_pairs, template_table
 
 
 def pairs(text):
@@ -130,8 +130,8 @@ def test_runs_same_as_brute_force(docs, spark):
 def test_seeds_leave_no_match_without_one(docs, spark):
     rnd = random.Random(3)
     for name, body in TEMPLATES:
-        seeds = seed_words([re.sub(r"[\W_]+", " ", body.lower()).strip()], 0.8)
-        free = [pair for pair in pairs(body) if not set(pair) & set(seeds)]
+        seeds = seed_pairs([re.sub(r"[\W_]+", " ", body.lower()).strip()], 0.8)
+        free = pairs(body) - set(seeds)
         assert seeds and len(free) < 2 / 3 * len(pairs(body)), name
     # More template bigrams than are broadcast: no seeds, the same runs.
     rows = [(k, "x y z\n" + wrapped(rnd.choice(TEMPLATES)[1], 30) + "\nend of it") for k in range(12)]
