@@ -56,6 +56,11 @@ def devig_contains_marginal(odds: DataFrame) -> DataFrame:
     return rows.where(full).select(*CAR, (F.col("m") / F.col("total")).alias("mkt_top2"))
 
 
+def _winners(paid: DataFrame) -> DataFrame:
+    """Winners are a handful per race, prices a multiple: each partition's are hashed, and the prices are not sorted."""
+    return paid.hint("shuffle_hash")
+
+
 def join_ev(combos: DataFrame, odds: DataFrame) -> DataFrame:
     """Combination probability times price."""
     return combos.join(odds, COMBO).withColumn("ev", F.col("p_combo") * F.col("odds"))
@@ -80,7 +85,7 @@ def overround(odds: DataFrame) -> DataFrame:
 
 def allbuy_roi(odds: DataFrame, payouts: DataFrame) -> DataFrame:
     """Return of buying every combination, with equal stakes and with stakes in proportion to 1/odds."""
-    hit = odds.join(payouts.select(*COMBO, "payout"), COMBO, "left")
+    hit = odds.join(_winners(payouts.select(*COMBO, "payout")), COMBO, "left")
     inverse = 1 / F.col("odds")
     per_race = hit.groupBy(*MARKET).agg(
         F.count(F.lit(1)).alias("n_combos"),
@@ -98,7 +103,7 @@ def allbuy_roi(odds: DataFrame, payouts: DataFrame) -> DataFrame:
 def settlement_wedge(snaps: DataFrame, payouts: DataFrame) -> DataFrame:
     """Winning combinations only: realised odds against the snapshot (W: middle of its range)."""
     won = snaps.where(F.col("odds") > 0).join(
-        payouts.select(*COMBO, (F.col("payout") / 100).alias("realized_odds")), COMBO
+        _winners(payouts.select(*COMBO, (F.col("payout") / 100).alias("realized_odds"))), COMBO
     )
     middle = F.coalesce((F.col("odds") + F.col("max_odds")) / 2, F.col("odds"))
     basis = F.when(F.col("bet_type") == "W", middle).otherwise(F.col("odds"))
@@ -154,7 +159,7 @@ def wedge_verdict(wedges: DataFrame) -> DataFrame:
 
 def drift_by_offset(snaps: DataFrame, payouts: DataFrame) -> DataFrame:
     """Price drift in percent from the snapshot to the final odds, per offset and bet type."""
-    won = snaps.where(F.col("odds") > 0).join(payouts.where(F.col("payout") > 0).select(*COMBO, "payout"), COMBO)
+    won = snaps.where(F.col("odds") > 0).join(_winners(payouts.where(F.col("payout") > 0).select(*COMBO, "payout")), COMBO)
     drift = settle((F.col("payout") / 100 / F.col("odds") - 1) * 100, 6)
     out = distribution(
         won, ["target_offset_min", "bet_type"], drift, {"drift_med": 0.5, "drift_p25": 0.25, "drift_p75": 0.75},
