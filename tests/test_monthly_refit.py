@@ -63,3 +63,25 @@ def test_registered_refit_covers_all_months(spark):
     for r in got:
         assert r.train_date_max < f"{r.apply_month}-01" and r.train_races >= mo.MIN_TRAIN_RACES
         assert r.blend_b_ci_low < r.blend_b < r.blend_b_ci_high and r.converged and r.unconverged == 0
+
+
+def test_resamples_from_tables_are_those_of_passes(spark, frame, monkeypatch):
+    """Nearly all resamples come from one pass over the races, with the coefficients that passes of their own give."""
+    from pyspark.sql import functions as F
+
+    races = mo.race_rows(frame(ANCHOR, market_rows(4000, seed=2, info=0.6)))
+    blocks = mo.race_blocks(races, F.when(F.col("race_no") <= 20, 0).otherwise(1), 40, "t")
+    points = mo.fit_all(blocks, [mo.Fit(before=1), mo.Fit(before=2)])
+    direct = mo.fit_all(blocks, [mo.Fit(p.a, p.b, p.before, r) for p in points for r in range(40)], tol=1e-9)
+    passed, passes = [], mo.fit_all
+    monkeypatch.setattr(mo, "GRID", 12)
+    monkeypatch.setattr(mo, "fit_all", lambda blocks, fits, **kw: passed.extend(fits) or passes(blocks, fits, **kw))
+    got = [f for fits in mo.resampled_all(blocks, points, 40) for f in fits]
+    assert len(passed) <= 4 and all(f.converged for f in got)
+    for one, two in zip(got, direct, strict=True):
+        assert (one.n, one.a, one.b) == (two.n, pytest.approx(two.a, abs=1e-8), pytest.approx(two.b, abs=1e-8))
+    monkeypatch.setattr(mo, "GRID", 2)
+    again = [f for fits in mo.resampled_all(blocks, points, 40) for f in fits]
+    assert len(passed) >= 80
+    for one, two in zip(again, direct, strict=True):
+        assert (one.a, one.b) == (pytest.approx(two.a, abs=1e-6), pytest.approx(two.b, abs=1e-6))
