@@ -122,3 +122,29 @@ def test_registered_queries_end_with_rows(spark):
     assert len(found) == len(plans.NUMERIC) + len(plans.CATEGORICAL) and sum(r.total for r in found) == pytest.approx(1)
     assert sum(r.total_splits for r in found) > 0
     assert {r.arm for r in queries["ab_score"](spark, SMALL).collect()} == {"A", "B"}
+
+
+def test_a_tree_is_walked_node_by_node_as_level_by_level():
+    """Blocks hold many rows, so that a tree costs a pass over them per level and not a gather per row."""
+    rng = np.random.default_rng(5)
+    tree = bo.Tree(4)
+    for node in (0, 1, 2, 4, 5, 9, 10, 11):
+        tree.feature[node], tree.left[node] = rng.integers(6), rng.integers(1 << 63, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    tree.value[:] = rng.normal(size=len(tree.value))
+    x = rng.integers(0, bo.BINS, (6, 3000)).astype(np.uint8)
+    assert tree._walked(x).tolist() == tree.leaves(x).tolist()
+    wide = np.concatenate([x, x], axis=1)
+    assert tree.margins(wide).tolist() == [*tree.margins(x), *tree.margins(x)]
+
+
+def test_blocks_join_small_batches(rows, monkeypatch):
+    layout = bo.layout_of(rows, ["x", "noise"], ["c"])
+    args = (rows.repartition(1), layout, ["y"], [], [(0.0, None)], F.col("held"))
+    whole = bo._blocks(*args).selectExpr("sum(n) n", "count(*) k", "max(n) m").first()
+    spark = rows.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        small = bo._blocks(*args).selectExpr("sum(n) n", "count(*) k", "max(n) m").first()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert small == whole and whole.n == 2400
