@@ -46,6 +46,13 @@ _LAST = np.iinfo(np.int64).max
 # --- Burrows-Wheeler transforms of a collection of short strings ---------------------------------
 
 
+def _stable(keys: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """``order`` sorted by the keys (below 2^32) of its items, stably: key and place in one number, which is sorted as a value."""
+    packed = (keys[order].astype(np.uint64) << np.uint64(32)) | np.arange(len(order), dtype=np.uint64)
+    packed.sort()
+    return order[(packed & np.uint64(0xFFFFFFFF)).astype(np.int64)]
+
+
 def transform(strings: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The transform of strings (rows of a zero-padded matrix without zero bytes inside).
 
@@ -68,18 +75,25 @@ def transform(strings: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.
     key, tail = np.zeros(len(text), np.uint64), np.concatenate([text, np.zeros(8, np.uint8)])
     for k in range(8):
         key = (key << np.uint64(8)) | np.where(left > k, tail[k : k + len(text)], 0).astype(np.uint64)
-    order, span = np.argsort(key, kind="stable"), 8
+    low, high = key & np.uint64(0xFFFFFFFF), key >> np.uint64(32)
+    order, span = _stable(high, _stable(low, np.arange(len(text)))), 8
+    ordered = key[order]
+    fresh = ordered[1:] != ordered[:-1]
     while True:
-        ordered = key[order]
         rank = np.empty(len(text), np.int64)
-        rank[order] = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
+        rank[order] = np.concatenate([[0], np.cumsum(fresh)])
         if span > width:
             break
         ahead = np.zeros(len(text), np.int64)
         ahead[:-span] = rank[span:] + 1
         ahead[left <= span] = 0
-        key = rank * (len(text) + 1) + ahead
-        order, span = np.argsort(key, kind="stable"), span * 2
+        # The order by what lies ahead is the present order moved back, behind the suffixes that end before.
+        moved = order - span
+        moved = moved[moved >= 0]
+        moved = moved[left[moved] > span]
+        order, span = _stable(rank, np.concatenate([np.flatnonzero(left <= span), moved])), span * 2
+        ordered, beyond = rank[order], ahead[order]
+        fresh = (ordered[1:] != ordered[:-1]) | (beyond[1:] != beyond[:-1])
     before = text[order - 1]
     before[place[order] == 0] = 0
     return before, rank_of[row[order]], place[order]
@@ -178,8 +192,15 @@ def _contexts(shard: _Shard, at: np.ndarray, owner: np.ndarray) -> tuple[np.ndar
     lead = np.minimum(side, at - shard.edges[owner])
     after = np.minimum(side, shard.edges[owner + 1] - at - shard.width)
     col = np.arange(2 * side + 1)
-    source = (at - lead)[:, None] + col + np.where(col > lead[:, None], shard.width - 1, 0)
-    out = shard.body[np.minimum(source, max(len(shard.body) - 1, 0))]
+    out = np.empty((len(at), 2 * side + 1), np.uint8)
+    # Where the text goes on to both sides, the bytes are those of a window; only at its ends are they picked one by one.
+    inner = (lead == side) & (after == side)
+    if inner.any():
+        windows = np.lib.stride_tricks.sliding_window_view(shard.body, 2 * side + shard.width)[at[inner] - side]
+        out[inner] = np.concatenate([windows[:, : side + 1], windows[:, side + shard.width :]], axis=1)
+    edge = ~inner
+    source = (at - lead)[edge][:, None] + col + np.where(col > lead[edge][:, None], shard.width - 1, 0)
+    out[edge] = shard.body[np.minimum(source, max(len(shard.body) - 1, 0))]
     out[out == 0] = _NUL_SYMBOL
     out[col == lead[:, None]] = _ANCHOR_SYMBOL
     lengths = lead + 1 + after

@@ -104,3 +104,33 @@ def test_equal_runs_hold_equal_anchors(length, width):
             held[t[s : s + length]] = held.get(t[s : s + length], inside) & inside
     assert all(held.values())
     assert all(any(a <= x and x + width <= b for a, b in zip(bounds[:-1], bounds[1:], strict=True)) for x in at)
+
+
+def test_contexts_inside_and_at_the_ends_of_texts():
+    """Contexts of anchors inside a text are windows of the shard; all are the bytes round the anchor, and none of the next text."""
+    rnd = random.Random(8)
+    texts = ["".join(rnd.choice("ab\0c") for _ in range(n)) for n in (50, 51, 120, 400, 60)]
+    shard = S._Shard(pa.table({"doc_id": list(range(5)), "text": texts}), 50, 32)
+    at, _, owner = shard.anchors
+    rows, lengths, lead = S._contexts(shard, at, owner)
+    whole = shard.body.tobytes().replace(b"\0", bytes([S._NUL_SYMBOL]))
+    assert len(at) > 30
+    for k, p in enumerate(at):
+        before = whole[max(p - 18, shard.edges[owner[k]]) : p]
+        after = whole[p + 32 : min(p + 50, shard.edges[owner[k] + 1])]
+        want = before + bytes([S._ANCHOR_SYMBOL]) + after
+        assert (rows[k].tobytes(), lengths[k], lead[k]) == (want.ljust(37, b"\0"), len(want), len(before))
+
+
+def test_transform_sorts_numbers_and_not_places(monkeypatch):
+    """Sorting packed numbers takes a fraction of the time of an indirect sort of wide keys."""
+    rnd = np.random.default_rng(6)
+    strings = rnd.integers(1, 3, (200, 37)).astype(np.uint8)
+    strings[100:] = strings[:100]
+    lengths = np.full(200, 37)
+    indirect, wide = np.argsort, []
+    monkeypatch.setattr(S.np, "argsort", lambda a, **kw: (wide.append(len(a)) if a.dtype.itemsize == 8 else None) or indirect(a, **kw))
+    _, row, place = S.transform(strings, lengths)
+    assert not wide
+    suffixes = [strings[r, p:].tobytes() for r, p in zip(row, place, strict=True)]
+    assert suffixes == sorted(suffixes)
