@@ -38,6 +38,9 @@ SHARD_BYTES = 8 << 20
 MARKS_SHARDS = 4
 #: Places of an anchor from which on its runs are compared one by one.
 HOT_PLACES = 20_000
+#: Text bytes whose anchors are chosen at once, and contexts transformed and merged at once: their arrays stay in a core's cache.
+ANCHOR_BYTES = 1 << 17
+MERGE_CONTEXTS = 1000
 #: Symbols that UTF-8 never uses: the anchor, a NUL byte of the text, and the end of a context (0).
 _ANCHOR_SYMBOL, _NUL_SYMBOL = 0xC0, 0xC1
 _LAST = np.iinfo(np.int64).max
@@ -106,22 +109,22 @@ def interleave(first: np.ndarray, second: np.ndarray, depth: int) -> tuple[np.nd
     of suffixes with equal first ``depth`` symbols, and its longest common prefix with the suffix
     before it, as far as ``depth``.
     """
-    size = len(first) + len(second)
+    size, both = len(first) + len(second), np.concatenate([first, second])
     of_second = np.zeros(size, bool)
     of_second[len(first) :] = True
     interval = np.zeros(size, np.int32)
-    common = np.full(size, depth, np.int16)
-    symbols = np.empty(size, np.uint8)
-    for k in range(depth):
-        symbols[~of_second] = first
-        symbols[of_second] = second
+    common = np.zeros(size, np.int16)
+    part, here = np.ones(size, bool), np.arange(size)
+    for _ in range(depth):
+        # Each collection's symbols come in their own order.
+        earlier = np.cumsum(of_second)
+        symbols = both[np.where(of_second, earlier + (len(first) - 1), here - earlier)]
         moved = np.argsort(symbols, kind="stable")
         of_second = of_second[moved]
         ahead, was = symbols[moved], interval[moved]
-        part = np.empty(size, bool)
-        part[:1] = True
         part[1:] = (ahead[1:] != ahead[:-1]) | (was[1:] != was[:-1])
-        common[part & (common == depth)] = k
+        # Neighbours that part in one round stay parted.
+        common += ~part
         interval = np.cumsum(part, dtype=np.int32) - 1
     return of_second, interval, common
 
@@ -168,7 +171,7 @@ class _Shard:
         """Place, hash and owner (among the kept texts) of all anchors, piece by piece of the shard."""
         at, hashes, begin = [], [], 0
         while begin < len(self.kept):
-            end = max(begin + 1, int(np.searchsorted(self.edges, self.edges[begin] + W.PIECE, "right")) - 1)
+            end = max(begin + 1, int(np.searchsorted(self.edges, self.edges[begin] + ANCHOR_BYTES, "right")) - 1)
             a, b = self.edges[begin], self.edges[end]
             found, h = anchors(self.body[a:b], self.edges[begin : end + 1] - a, self.length, self.width)
             at.append(found + a)
@@ -238,24 +241,25 @@ def _first_owners(hashes: np.ndarray, rows: np.ndarray, lengths: np.ndarray, lea
     """For each context (distinct) and run in it, the smallest document that holds that run."""
     best = np.repeat(owner[:, None], depth, axis=1)
     order = np.argsort(hashes, kind="stable")
-    same = np.concatenate([[False], hashes[order][1:] == hashes[order][:-1]])
-    several = np.zeros(len(hashes), bool)
-    several[order[same]] = True
-    several[order[np.flatnonzero(same) - 1]] = True
-    pick = np.flatnonzero(several)
-    if not len(pick):
-        return best
-    row, place, interval = repeated_runs(rows[pick], lengths[pick], depth)
-    row = pick[row]
-    holds = (place <= lead[row]) & (place + depth > lead[row])
-    row, place, interval = row[holds], place[holds], interval[holds]
-    if not len(row):
-        return best
-    group = np.lexsort((hashes[row], interval))
-    row, place, interval = row[group], place[group], interval[group]
-    fresh = np.concatenate([[True], (interval[1:] != interval[:-1]) | (hashes[row][1:] != hashes[row][:-1])])
-    least = np.minimum.reduceat(owner[row], np.flatnonzero(fresh))[np.cumsum(fresh) - 1]
-    best[row, place] = np.minimum(best[row, place], least)
+    fresh = np.flatnonzero(np.concatenate([[True], hashes[order][1:] != hashes[order][:-1]])[: len(order)])
+    sizes = np.diff(np.append(fresh, len(order)))
+    several = order[np.repeat(sizes > 1, sizes)]
+    # Contexts of one anchor stay together; anchors are merged some at a time.
+    ends = np.cumsum(sizes[sizes > 1])
+    for pick in np.split(several, ends[:-1][np.diff(ends // MERGE_CONTEXTS) > 0]):
+        if not len(pick):
+            continue
+        row, place, interval = repeated_runs(rows[pick], lengths[pick], depth)
+        row = pick[row]
+        holds = (place <= lead[row]) & (place + depth > lead[row])
+        row, place, interval = row[holds], place[holds], interval[holds]
+        if not len(row):
+            continue
+        group = np.lexsort((hashes[row], interval))
+        row, place, interval = row[group], place[group], interval[group]
+        fresh = np.concatenate([[True], (interval[1:] != interval[:-1]) | (hashes[row][1:] != hashes[row][:-1])])
+        least = np.minimum.reduceat(owner[row], np.flatnonzero(fresh))[np.cumsum(fresh) - 1]
+        best[row, place] = np.minimum(best[row, place], least)
     return best
 
 

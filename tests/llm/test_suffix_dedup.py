@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from paceline.llm import anchors as A
 from paceline.llm import suffix_dedup as S
 from paceline.llm import words as W
 from paceline.llm.anchors import anchors
@@ -134,3 +135,41 @@ def test_transform_sorts_numbers_and_not_places(monkeypatch):
     assert not wide
     suffixes = [strings[r, p:].tobytes() for r, p in zip(row, place, strict=True)]
     assert suffixes == sorted(suffixes)
+
+
+def test_only_chosen_runs_are_hashed(monkeypatch):
+    """Numbers of 32 bits choose the anchors; 64-bit hashes are made of those alone."""
+    mix, sizes = W.mix, []
+    monkeypatch.setattr(W, "mix", lambda x: sizes.append(len(x)) or mix(x))
+    raw, bounds = W.text_buffer(pa.array(random.Random(5).randbytes(4000).hex() for _ in range(5)))
+    at, hashes = anchors(raw, bounds, 50, 32)
+    assert len(at) == len(hashes) == max(sizes) < len(raw) // 5
+
+
+def test_runs_whose_number_would_be_nought_are_anchors(monkeypatch):
+    monkeypatch.setattr(A, "_CODE", np.zeros(256, np.uint32))
+    raw, bounds = W.text_buffer(pa.array(["a" * 49, "b" * 60, "", "c" * 50]))
+    at, _ = anchors(raw, bounds, 50, 32)
+    assert at.tolist() == [*range(49, 78), *range(109, 128)]
+
+
+def test_anchors_are_merged_some_at_a_time(monkeypatch):
+    """The contexts of many anchors do not go into one transform, and the smallest documents are those of all runs."""
+    monkeypatch.setattr(S, "MERGE_CONTEXTS", 40, raising=False)
+    transform, sizes = S.transform, []
+    monkeypatch.setattr(S, "transform", lambda strings, lengths: sizes.append(len(strings)) or transform(strings, lengths))
+    rnd = np.random.default_rng(9)
+    side, depth, n = 3, 4, 600
+    lead, after = rnd.integers(0, side + 1, n), rnd.integers(0, side + 1, n)
+    hashes, owner = rnd.integers(0, 150, n).astype(np.uint64), rnd.integers(0, 50, n)
+    rows = np.zeros((n, 2 * side + 1), np.uint8)
+    for k in range(n):
+        rows[k, : lead[k] + 1 + after[k]] = rnd.integers(97, 99, lead[k] + 1 + after[k])
+        rows[k, lead[k]] = S._ANCHOR_SYMBOL
+    best = S._first_owners(hashes, rows, lead + 1 + after, lead, owner, depth)
+    assert max(sizes) < 40 and sum(sizes) > 500
+    first = {}
+    runs = [(k, o, (hashes[k], rows[k, o : o + depth].tobytes())) for k in range(n) for o in range(lead[k] + 1) if o + depth <= lead[k] + 1 + after[k]]
+    for k, _, run in runs:
+        first[run] = min(first.get(run, owner[k]), owner[k])
+    assert all(best[k, o] == first[run] for k, o, run in runs) and any(best[k, o] < owner[k] for k, o, _ in runs)
