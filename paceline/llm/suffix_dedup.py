@@ -109,16 +109,16 @@ def interleave(first: np.ndarray, second: np.ndarray, depth: int) -> tuple[np.nd
     of suffixes with equal first ``depth`` symbols, and its longest common prefix with the suffix
     before it, as far as ``depth``.
     """
-    size, both = len(first) + len(second), np.concatenate([first, second])
+    size = len(first) + len(second)
     of_second = np.zeros(size, bool)
     of_second[len(first) :] = True
     interval = np.zeros(size, np.int32)
     common = np.zeros(size, np.int16)
-    part, here = np.ones(size, bool), np.arange(size)
+    symbols, part = np.empty(size, np.uint8), np.ones(size, bool)
     for _ in range(depth):
         # Each collection's symbols come in their own order.
-        earlier = np.cumsum(of_second)
-        symbols = both[np.where(of_second, earlier + (len(first) - 1), here - earlier)]
+        symbols[np.flatnonzero(of_second)] = second
+        symbols[np.flatnonzero(~of_second)] = first
         moved = np.argsort(symbols, kind="stable")
         of_second = of_second[moved]
         ahead, was = symbols[moved], interval[moved]
@@ -186,7 +186,14 @@ def _binary(*arrays: np.ndarray) -> list[pa.Array]:
 
 
 def _parts(values: np.ndarray, parts: int) -> np.ndarray:
-    return ((values >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+    """The part of each hash (of less than 2^32 parts); larger hashes have no smaller part."""
+    return (((values >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
+
+
+def _slices(parts: np.ndarray) -> list[tuple[int, int, int]]:
+    """Each part that occurs in the ascending parts, where it begins and where it ends."""
+    begins = np.flatnonzero(np.diff(parts, prepend=-1))
+    return list(zip(parts[begins].tolist(), begins.tolist(), np.append(begins, len(parts))[1:].tolist(), strict=True))
 
 
 def _contexts(shard: _Shard, at: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -233,7 +240,8 @@ def _among(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     table, low = np.zeros(1 << 22, bool), np.uint64((1 << 22) - 1)
     table[(wanted & low).astype(np.int64)] = True
     out = table[(keys & low).astype(np.int64)]
-    out[out] = np.isin(keys[out], wanted)
+    wanted, left = np.sort(wanted), keys[out]
+    out[out] = wanted[np.minimum(np.searchsorted(wanted, left), len(wanted) - 1)] == left
     return out
 
 
@@ -303,7 +311,7 @@ def repeated_passages(
     def fingerprints(rows: pa.Table) -> pa.Table:
         shard = _Shard(rows, length, anchor)
         _, hashes, owner = shard.anchors
-        order = np.argsort(hashes, kind="stable")
+        order = np.argsort(hashes)
         sorted_hashes, documents = hashes[order], shard.ids[shard.kept[owner[order]]]
         fresh = np.flatnonzero(np.concatenate([[True], sorted_hashes[1:] != sorted_hashes[:-1]])[: len(sorted_hashes)])
         if not len(fresh):
@@ -312,7 +320,7 @@ def repeated_passages(
         # Places of each anchor, as the next power of two.
         places = np.ceil(np.log2(np.diff(np.append(fresh, len(sorted_hashes))))).astype(np.uint8)
         marks, part = sorted_hashes[fresh], _parts(sorted_hashes[fresh], marks_parts)
-        out = [(int(p), marks[part == p], several[part == p], places[part == p]) for p in np.unique(part)]
+        out = [(p, marks[a:b], several[a:b], places[a:b]) for p, a, b in _slices(part)]
         return pa.table({
             "marks_part": pa.array([p for p, *_ in out], pa.int64()), "shard": pa.array([rows.column("shard")[0].as_py()] * len(out), pa.int64()),
             # Inside a part the low half tells marks apart; a chance agreement costs a context, not a wrong result.
@@ -326,11 +334,17 @@ def repeated_passages(
         flat, ends = np.concatenate(marks), np.cumsum([len(m) for m in marks])[:-1]
         multi = np.concatenate([np.unpackbits(np.frombuffer(x.as_buffer(), np.uint8))[: len(m)] for x, m in zip(rows.column("multi"), marks, strict=True)])
         places = np.concatenate([np.left_shift(1, np.frombuffer(x.as_buffer(), np.uint8).astype(np.int64)) for x in rows.column("places")])
-        # One sort of the part's marks; what holds for a mark is looked up by its number.
-        _, number, counts = np.unique(flat, return_inverse=True, return_counts=True)
-        wanted = (counts > 1) | (np.bincount(number, multi, len(counts)) > 0)
-        hot = np.bincount(number, places, len(counts)) > most
-        of = lambda keep: pa.array([m[k].tobytes() for m, k in zip(marks, np.split(keep[number], ends), strict=True)], pa.binary())
+        # One sort of the part's marks, each with its place in one number.
+        packed = (flat.astype(np.uint64) << np.uint64(32)) | np.arange(len(flat), dtype=np.uint64)
+        packed.sort()
+        place, mark = (packed & np.uint64(0xFFFFFFFF)).astype(np.int64), packed >> np.uint64(32)
+        fresh = np.flatnonzero(np.concatenate([[True], mark[1:] != mark[:-1]]))
+        counts = np.diff(np.append(fresh, len(mark)))
+        several = (counts > 1) | np.logical_or.reduceat(multi[place] > 0, fresh)
+        many = np.add.reduceat(places[place], fresh) > most
+        wanted, hot = np.empty(len(flat), bool), np.empty(len(flat), bool)
+        wanted[place], hot[place] = np.repeat(several, counts), np.repeat(many, counts)
+        of = lambda keep: pa.array([m[k].tobytes() for m, k in zip(marks, np.split(keep, ends), strict=True)], pa.binary())
         return pa.table({"shard": rows.column("shard"), "marks_part": rows.column("marks_part"), "marks": of(wanted & ~hot), "hot": of(wanted & hot)})
 
     def hits(shard: _Shard, marks: pa.Table, kind: str = "marks") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -348,6 +362,11 @@ def repeated_passages(
         at, hashes, owner = hits(shard, marks)
         rows, lengths, lead = _contexts(shard, at, owner)
         first, inverse = _distinct_rows(hashes, rows, lead) if len(at) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        # By hash, so that a part is a slice.
+        order = np.argsort(hashes[first], kind="stable")
+        number = np.empty(len(order), np.int64)
+        number[order] = np.arange(len(order))
+        first, inverse = first[order], number[inverse]
         least = np.full(len(first), _LAST)
         np.minimum.at(least, inverse, shard.ids[shard.kept[owner]])
         return at, owner, lead, inverse, hashes[first], rows[first], lengths[first], lead[first], least
@@ -381,13 +400,11 @@ def repeated_passages(
         out: dict[str, list] = {"part": [], "shard": [], "hashes": [], "rows": [], "lengths": [], "lead": [], "least": []}
         if rows.num_rows and marks.num_rows:
             *_, hashes, strings, lengths, lead, least = local_contexts(_Shard(rows, length, anchor), marks)
-            part = _parts(hashes, shards)
-            for p in np.unique(part):
-                k = part == p
-                out["part"].append(int(p))
+            for p, a, b in _slices(_parts(hashes, shards)):
+                out["part"].append(p)
                 out["shard"].append(rows.column("shard")[0].as_py())
                 for name, x in (("hashes", hashes), ("rows", strings), ("lengths", lengths.astype(np.uint8)), ("lead", lead.astype(np.uint8)), ("least", least)):
-                    out[name].append(np.ascontiguousarray(x[k]).tobytes())
+                    out[name].append(x[a:b].tobytes() if name != "rows" else pa.compress(x[a:b].tobytes(), codec="zstd", asbytes=True))
         kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 5]
         return pa.table({n: pa.array(v, t) for (n, v), t in zip(out.items(), kinds, strict=True)})
 
@@ -396,7 +413,8 @@ def repeated_passages(
         hashes, lengths, lead, least = (load(n, k) for n, k in (("hashes", np.uint64), ("lengths", np.uint8), ("lead", np.uint8), ("least", np.int64)))
         ends = np.cumsum([len(x) for x in hashes])
         all_hashes, all_least = np.concatenate(hashes), np.concatenate(least)
-        strings = np.concatenate(load("rows", np.uint8)).reshape(-1, width)
+        texts = [pa.decompress(x.as_buffer(), len(n) * width, codec="zstd") for x, n in zip(rows.column("rows"), lengths, strict=True)]
+        strings = np.concatenate([np.frombuffer(x, np.uint8) for x in texts]).reshape(-1, width)
         lead_of = np.concatenate(lead).astype(np.int64)
         first, inverse = _distinct_rows(all_hashes, strings, lead_of)
         owner = np.full(len(first), _LAST)
@@ -411,30 +429,31 @@ def repeated_passages(
         out: dict[str, list] = {"doc_id": [], "n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": [], "kept": []}
         if rows.num_rows:
             shard = _Shard(rows, length, anchor)
-            change = np.zeros(len(shard.body) + 1, np.int32)
+            removed = np.zeros(len(shard.body) + 1, bool)  # where removed runs begin
             if marks.num_rows:
                 at, owner, lead, inverse, hashes, _, lengths, _, least = local_contexts(shard, marks)
                 bits = np.zeros(len(hashes), np.uint32)
-                part = _parts(hashes, shards)
+                where = {p: (a, b) for p, a, b in _slices(_parts(hashes, shards))}
                 for p, b in zip(marks.column("part"), marks.column("bits"), strict=True):
                     if p.is_valid and b.is_valid:
-                        bits[part == p.as_py()] = np.frombuffer(b.as_buffer(), np.uint32)
+                        bits[slice(*where[p.as_py()])] = np.frombuffer(b.as_buffer(), np.uint32)
+                # Runs that hold the anchor and lie inside the context; in a later document of this shard all of them come again.
+                fits = np.clip(np.minimum(lead, lengths[inverse] - depth) + 1, 0, depth).astype(np.uint64)
+                inside = ((np.uint64(1) << fits) - np.uint64(1)).astype(np.uint32)
                 mine = shard.ids[shard.kept[owner]] > least[inverse]
-                for o in range(depth):
-                    # Runs that hold the anchor and lie inside the context; in a later document of this shard all of them come again.
-                    fits = (o <= lead) & (o + depth <= lengths[inverse])
-                    begin = (at - lead + o)[fits & (mine | ((bits[inverse] >> np.uint32(o)) & 1 == 1))]
-                    np.add.at(change, begin, 1)
-                    np.add.at(change, begin + length, -1)
+                again = inside & np.where(mine, inside, bits[inverse])
+                context, place = np.nonzero(np.unpackbits(again.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little"))
+                removed[(at - lead)[context] + place] = True
                 begin, owner, runs, number, least = local_runs(shard, marks)
                 before = np.zeros(len(runs), bool)
                 for numbers in marks.column("numbers"):
                     if numbers.is_valid:
                         before[np.array(numbers.as_py(), np.int64)] = True
-                begin = begin[before[number] | (shard.ids[shard.kept[owner]] > least[number])]
-                np.add.at(change, begin, 1)
-                np.add.at(change, begin + length, -1)
-            gone = np.cumsum(change[:-1]) > 0
+                removed[begin[before[number] | (shard.ids[shard.kept[owner]] > least[number])]] = True
+            begin, change = np.flatnonzero(removed), np.zeros(len(shard.body) + 1, np.int32)
+            change[begin] = 1
+            change[begin + length] -= 1
+            gone = np.cumsum(change[:-1], dtype=np.int32) > 0
             place = {int(k): j for j, k in enumerate(shard.kept)}
             for k, text in enumerate(shard.texts):
                 j = place[shard.first[text]]

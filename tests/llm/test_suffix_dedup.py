@@ -173,3 +173,15 @@ def test_anchors_are_merged_some_at_a_time(monkeypatch):
     for k, _, run in runs:
         first[run] = min(first.get(run, owner[k]), owner[k])
     assert all(best[k, o] == first[run] for k, o, run in runs) and any(best[k, o] < owner[k] for k, o, _ in runs)
+
+
+@pytest.mark.parametrize("parts", [1, 7, 1000])
+def test_parts_of_sorted_hashes_are_slices(parts):
+    """A shard's rows for the parts are cut from sorted hashes, not looked up once for each part."""
+    hashes = np.sort(np.random.default_rng(2).integers(0, 1 << 64, 500, dtype=np.uint64))
+    part = S._parts(hashes, parts)
+    assert part.min() >= 0 and part.max() < parts
+    found = S._slices(part)
+    assert [p for p, *_ in found] == np.unique(part).tolist()
+    assert all((np.flatnonzero(part == p) == np.arange(a, b)).all() for p, a, b in found)
+    assert S._slices(part[:0]) == [] and S._parts(np.array([0, (1 << 64) - 1], np.uint64), parts).tolist() == [0, parts - 1]
