@@ -148,3 +148,57 @@ def test_blocks_join_small_batches(rows, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert small == whole and whole.n == 2400
+
+
+def same_trees(some, others):
+    for name, b in some.items():
+        assert len(b.trees) == len(others[name].trees) and b.history == pytest.approx(others[name].history, abs=1e-9)
+        for one, two in zip(b.trees, others[name].trees):
+            assert one.feature.tolist() == two.feature.tolist() and one.left.tolist() == two.left.tolist()
+            assert one.value == pytest.approx(two.value, abs=1e-9) and one.gain == pytest.approx(two.gain, rel=1e-6, abs=1e-6)
+
+
+def test_tables_beyond_one_task_need_no_job_per_step(rows, monkeypatch):
+    """Tasks that hold the rows go through the steps together; a step is a job only where memory does not do."""
+    shape = bo.Shape(rounds=4, depth=3, rate=0.3, patience=4, min_rows=20)
+    alone = fitted(rows, shape)
+    monkeypatch.setattr(bo, "ONE_TASK_BYTES", 0)
+    by_steps, called = bo._by_steps, []
+    monkeypatch.setattr(bo, "_by_steps", lambda *a: called.append(1) or by_steps(*a))
+    same_trees(fitted(rows, shape), alone)
+    assert not called
+    monkeypatch.setattr(bo, "HELD_BYTES", 0)
+    same_trees(fitted(rows, shape), alone)
+    assert called == [1]
+
+
+def test_a_gang_takes_tasks_without_rows(frame, monkeypatch):
+    """Equal rows are all dealt to one task; the others hold none and take part all the same."""
+    schema = "i long, x double, c string, noise double, y int, r double, off double, held boolean"
+    few = frame(schema, [(i, float(i % 2), "a", 0.0, int(i % 2 and i % 5 > 0), 2.0 + i % 2, 0.0, i % 10 > 7) for i in range(400)])
+    alone = fitted(few)
+    monkeypatch.setattr(bo, "ONE_TASK_BYTES", 0)
+    same_trees(fitted(few), alone)
+    assert alone["y"].trees
+
+
+def test_packed_columns_give_the_bins_of_each_feature():
+    """Bins counted in packed columns are those of the features, levels not seen before included."""
+    layout = bo.Layout(("a", "b", "e"), ("c", "d"), (tuple(range(40)), (0.5,), tuple(range(60))), (("u", "v"), ()))
+    rng = np.random.default_rng(3)
+    x = np.stack([rng.integers(0, len(e) + 2, 900) for e in layout.edges] + [rng.choice([0, 1, 2, 63], 900), rng.choice([0, 63], 900)]).astype(np.uint8)
+    runs = [bo._Run(bo.Fit("p", "y", "log", ("a", "b", "c", "d")), 0, 0, 0.0), bo._Run(bo.Fit("q", "y", "l1", layout.names), 1, 0, 0.0)]
+    y, keys = rng.integers(0, 2, (1, 900)).astype(float), rng.integers(0, 1 << 32, 900).astype(np.uint32)
+    held = bo._Rows([(x[:, :500], y[:, :500], np.zeros((2, 500)), np.zeros(500, bool), keys[:500]),
+                     (x[:, 500:], y[:, 500:], np.zeros((2, 400)), np.zeros(400, bool), keys[500:])], layout, runs, (5, 1, 2))
+    assert len(held.columns) < 5
+    for at, loss, used in ((0, "log", [0, 1, 3]), (1, "l1", [0, 2, 3, 4])):
+        task = {"at": at, "label": 0, "loss": loss, "bag": None}
+        held.begin(task, 1.0)
+        got, begin = held.histogram(task, [0], held.packs.counters(np.array(used))), 0
+        g, h = bo._gradients(loss, np.zeros(900), y[0])
+        for f in used:
+            bins = held.packs.bins[f]
+            want = np.stack([np.bincount(x[f], w, 64) for w in (g, h, np.ones(900))])
+            assert got[:, 0, begin : begin + len(bins)] == pytest.approx(want[:, bins]) and want[2, bins].sum() == 900
+            begin += len(bins)
