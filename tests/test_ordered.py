@@ -122,6 +122,19 @@ def test_auc_counts_ties_half(spark):
     assert abs(st.auc(df, "y", "p").first()["auc"] - want) < 1e-12
 
 
+def test_auc_counts_rows_without_a_score(spark):
+    """As SQL ranks them: above all scores, with ties among themselves; no arm and no row is left out."""
+    rng = np.random.default_rng(8)
+    rows = [(g, None if i % 7 == 0 or g == "c" else float("nan") if i % 11 == 0 else float(np.round(rng.random(), 1)), int(rng.random() < 0.4))
+            for g in "abc" for i in range(150)]
+    got = {r["g"]: r for r in st.auc(spark.createDataFrame(rows, "g string, p double, y int"), "y", "p", ["g"]).collect()}
+    place = lambda p: (2, 0.0) if p is None else (1, 0.0) if p != p else (0, p)
+    for g in "abc":
+        pos, neg = ([place(p) for h, p, y in rows if h == g and y == k] for k in (1, 0))
+        want = np.mean([(a > b) + 0.5 * (a == b) for a in pos for b in neg])
+        assert (got[g]["n_pos"], got[g]["n_neg"]) == (len(pos), len(neg)) and abs(got[g]["auc"] - want) < 1e-12
+
+
 def test_block_split_is_even(spark):
     df = spark.createDataFrame([(f"2026-01-{1 + i % 9:02d}", i % 4, i) for i in range(103)], "race_date string, place_code int, race_no int")
     rows = ranks.block_split(df, 5).orderBy("race_date", "place_code", "race_no").collect()
